@@ -1,0 +1,56 @@
+"""Runs a query in Spark and its oracle in DuckDB and tells how the results differ."""
+
+import math
+from datetime import date, datetime
+from decimal import Decimal
+
+import duckdb
+
+from checks.pairs import TABLES
+
+
+def plain(value):
+    if isinstance(value, Decimal):
+        return float(value)
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+    if isinstance(value, (datetime, date)):
+        return value.isoformat()
+    if isinstance(value, (list, tuple)):
+        return tuple(plain(v) for v in value)
+    return value
+
+
+def rows(columns, records):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    listed = [tuple(plain(r[i]) for i in order) for r in records]
+    return [columns[i] for i in order], sorted(listed, key=repr)
+
+
+def expected(sf_dir: str, sql: str):
+    with duckdb.connect() as connection:
+        for name in TABLES:
+            connection.execute(
+                f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
+            )
+        cursor = connection.execute(sql)
+        names = [d[0] for d in cursor.description]
+        return rows(names, cursor.fetchall())
+
+
+def actual(df):
+    return rows(df.columns, [tuple(r) for r in df.collect()])
+
+
+def problem(spark, sf_dir: str, query, sql: str) -> str | None:
+    """None where both agree."""
+    names, found = actual(query(spark, sf_dir))
+    wanted_names, wanted = expected(sf_dir, sql)
+    if names != wanted_names:
+        return f"columns {names} instead of {wanted_names}"
+    if len(found) != len(wanted):
+        return f"{len(found)} rows instead of {len(wanted)}"
+    for got, want in zip(found, wanted):
+        if got != want:
+            return f"row {got} instead of {want}"
+    return None
