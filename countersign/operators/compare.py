@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from countersign.functions.equality import values_match
 from countersign.functions.metrics import COUNT, METRICS, metric_alias
-from countersign.functions.names import quoted
+from countersign.functions.names import literal, quoted
 from countersign.functions.text import value_text
 from countersign.operators.partitions import partition_range
 from countersign.operators.profile import profile
@@ -47,7 +47,7 @@ def merge_profiles(
     for side, df in sides.items():
         fields = [c for c in df.columns if c != by] if by else df.columns
         packed[side] = df.select(
-            key.alias("pt"), F.struct(*[F.col(quoted(c)) for c in fields]).alias(side)
+            key.alias("pt"), F.expr(f"struct({', '.join(map(quoted, fields))})").alias(side)
         )
     types = {side: df.schema[side].dataType for side, df in packed.items()}
     united = (
@@ -60,6 +60,30 @@ def merge_profiles(
     return merged if by else merged.withColumn("pt", F.lit(None).cast("string"))
 
 
+def _widest(dtype: T.DataType) -> T.DataType:
+    """One type for all integers and one for all floating values, which loses nothing."""
+    if isinstance(dtype, T.IntegralType):
+        return T.LongType()
+    return T.DoubleType() if isinstance(dtype, T.FloatType) else dtype
+
+
+def _by_type(merged: DataFrame, columns: Sequence[tuple[str, str]]) -> dict:
+    """Metrics grouped by the types on both sides, so that each rule is planned once, not per metric."""
+    types = {
+        side: {f.name: _widest(f.dataType) for f in merged.schema[side].dataType.fields}
+        for side in ("l", "r")
+    }
+    groups: dict = {}
+    order = 2
+    for column, label in columns:
+        for metric in METRICS:
+            name = metric_alias(column, metric)
+            kind = (types["l"][name], types["r"][name], metric == "sum")
+            groups.setdefault(kind, []).append((order, column, label, metric))
+            order += 1
+    return groups
+
+
 def metric_rows(
     merged: DataFrame,
     columns: Sequence[tuple[str, str]],
@@ -76,54 +100,78 @@ def metric_rows(
     the single difference ``partition`` (MISSING/EXISTS), and its other rows are only listed;
     a count-only table has the difference ``count`` against 0.
     """
-    left_types = {f.name: f.dataType for f in merged.schema["l"].dataType.fields}
-    right_types = {f.name: f.dataType for f in merged.schema["r"].dataType.fields}
     in_left, in_right = F.col("l").isNotNull(), F.col("r").isNotNull()
     on_both = in_left & in_right
     presence_counts = partitioned and bool(columns)
 
-    def row(order, column, label, metric, left_value, right_value, match: Column, diff: Column):
+    def row(order, column, label, metric, left_value, right_value, match, diff) -> Column:
         return F.struct(
-            F.lit(order).alias("ord"), F.lit(column).alias("column"), F.lit(label).alias("type"),
-            F.lit(metric).alias("metric"), left_value.alias("left_value"),
+            order.alias("ord"), column.alias("column"), label.alias("type"),
+            metric.alias("metric"), left_value.alias("left_value"),
             right_value.alias("right_value"), match.alias("match"), diff.alias("diff"),
         )
 
+    def whole_row(order, metric, left_value, right_value, match, diff) -> Column:
+        return row(F.lit(order), F.lit("*"), F.lit("-"), F.lit(metric), left_value, right_value,
+                   match, diff)
+
     def presence(side: Column) -> Column:
         return F.when(side, "EXISTS").otherwise("MISSING")
 
+    def counts_as_diff(match: Column) -> Column:
+        return ~match & on_both if presence_counts else ~match
+
+    def rule(left_type: T.DataType, right_type: T.DataType, is_sum: bool):
+        def compared(entry: Column) -> Column:
+            label, left, right = entry["0"], entry["1"], entry["2"]
+            match = values_match(
+                left, right, left_type, right_type,
+                nan_equal=nan_equal, rel_tol=rel_tol if is_sum else None,
+            )
+            return row(
+                label["ord"], label["column"], label["type"], label["metric"],
+                value_text(left, left_type), value_text(right, right_type),
+                match, counts_as_diff(match),
+            )
+        return compared
+
     left_count = F.coalesce(F.col(f"l.{COUNT}"), F.lit(0).cast("bigint"))
     right_count = F.coalesce(F.col(f"r.{COUNT}"), F.lit(0).cast("bigint"))
     same_count = left_count == right_count
-    rows = [
-        row(1, "*", "-", "count", left_count.cast("string"), right_count.cast("string"),
-            same_count, ~same_count & on_both if presence_counts else ~same_count)
+    listings = [
+        F.array(whole_row(1, "count", left_count.cast("string"), right_count.cast("string"),
+                          same_count, counts_as_diff(same_count)))
     ]
-    order = 2
-    for column, label in columns:
-        for metric in METRICS:
-            name = metric_alias(column, metric)
-            left, right = F.col(f"l.{quoted(name)}"), F.col(f"r.{quoted(name)}")
-            match = values_match(
-                left, right, left_types[name], right_types[name],
-                nan_equal=nan_equal, rel_tol=rel_tol if metric == "sum" else None,
-            )
-            rows.append(
-                row(order, column, label, metric, value_text(left, left_types[name]),
-                    value_text(right, right_types[name]), match,
-                    ~match & on_both if presence_counts else ~match)
-            )
-            order += 1
-    listing = F.array(*rows)
     if presence_counts:
-        one_sided = row(0, "*", "-", "partition", presence(in_left), presence(in_right),
-                        F.lit(False), F.lit(True))
-        listing = F.when(on_both, listing).otherwise(F.concat(F.array(one_sided), listing))
+        one_sided = whole_row(0, "partition", presence(in_left), presence(in_right),
+                              F.lit(False), F.lit(True))
+        listings.insert(0, F.when(~on_both, F.array(one_sided)).otherwise(F.array()))
+
+    for (left_type, right_type, is_sum), members in _by_type(merged, columns).items():
+        labels = ", ".join(
+            f"named_struct('ord', {order}, 'column', {literal(column)}, 'type', {literal(label)}, "
+            f"'metric', {literal(metric)})"
+            for order, column, label, metric in members
+        )
+        values = {
+            side: ", ".join(
+                f"CAST({side}.{quoted(metric_alias(column, metric))} AS {dtype.simpleString()})"
+                for _, column, _, metric in members
+            )
+            for side, dtype in (("l", left_type), ("r", right_type))
+        }
+
+        zipped = F.arrays_zip(
+            F.expr(f"array({labels})"), F.expr(f"array({values['l']})"),
+            F.expr(f"array({values['r']})"),
+        )
+        listings.append(F.transform(zipped, rule(left_type, right_type, is_sum)))
+
     return merged.select(
         F.lit(table_name).alias("table_name"),
         F.lit(partitioned).alias("partitioned"),
         F.col("pt").cast("string").alias("pt"),
-        F.inline(listing),
+        F.inline(F.concat(*listings)),
     )
 
 

@@ -125,6 +125,7 @@ class _Runner:
         # Jobs of one pool run in order, pools share the cluster when the scheduler is FAIR.
         context.setLocalProperty("spark.scheduler.pool", threading.current_thread().name)
         context.addJobTag(attempt.tag)
+        context.setInterruptOnCancel(True)  # a table past its limit frees its executors at once
         try:
             if isinstance(spec, Exception):
                 raise spec

@@ -1,0 +1,188 @@
+"""Small pairs of tables with known differences.
+
+Rows, changes and expected values are fixed values of the comparison being rebuilt; the
+generated families follow their rule instead of being listed.
+"""
+
+from countersign.sources.storage import update_rows
+from countersign.sources.tables import TableSpec
+
+FLAT = "id int, name string, value double, score int"
+KEYED = "id int, name string, amount double, score int, pt string"
+TEXTS = "name string, city string, status string, pt string"
+
+FLAT_ROWS = [
+    (1, "alice", 10.5, 80), (2, "bob", 20.3, 90), (3, "charlie", 30.7, 85),
+    (4, "david", 40.1, 70), (5, "eve", 50.9, 95),
+]
+KEYED_ROWS = [
+    (1, "alice", 100.0, 80, "20250101"), (2, "bob", 200.0, 90, "20250101"),
+    (3, "charlie", 150.0, 85, "20250101"), (4, "david", 300.0, 70, "20250102"),
+    (5, "eve", 250.0, 95, "20250102"), (6, "frank", 180.0, 88, "20250102"),
+]
+EQUAL_ROWS = [
+    (1, "alice", 100.0, 80, "20250101"), (2, "bob", 200.0, 90, "20250101"),
+    (3, "charlie", 300.0, 70, "20250102"), (4, "david", 400.0, 95, "20250102"),
+]
+TEXT_ROWS = [
+    ("alice", "beijing", "active", "20250101"), ("bob", "shanghai", "inactive", "20250101"),
+    ("charlie", "guangzhou", "active", "20250101"), ("david", "shenzhen", "active", "20250102"),
+    ("eve", "hangzhou", "inactive", "20250102"), ("frank", "nanjing", "active", "20250102"),
+    ("henry", "wuhan", "inactive", "20250103"), ("iris", "xian", "active", "20250103"),
+]
+ONE_MORE_TEXT = ("grace", "chengdu", "active", "20250102")
+
+# column.metric: left, right
+FLAT_DIFFS = {
+    ("*", "count"): (6, 5), ("id", "sum"): (21, 15), ("id", "max"): (6, 5),
+    ("value", "sum"): (261.5, 152.5), ("value", "max"): (99.9, 50.9), ("score", "sum"): (508, 420),
+}
+KEYED_DIFFS = {
+    "20250101": {
+        ("amount", "sum"): (1349, 450), ("amount", "max"): (999, 200), ("amount", "min"): (150, 100),
+    },
+    "20250102": {
+        ("*", "count"): (4, 3), ("id", "sum"): (22, 15), ("id", "max"): (7, 6),
+        ("amount", "sum"): (1130, 730), ("amount", "max"): (400, 300), ("score", "sum"): (345, 253),
+    },
+}
+
+
+def added(df, *rows):
+    return df.unionByName(df.sparkSession.createDataFrame(list(rows), df.schema))
+
+
+def flat(spark):
+    right = spark.createDataFrame(FLAT_ROWS, FLAT)
+    left = added(update_rows(right, {"value": "99.9"}, "id = 5"), (6, "frank", 60.0, 88))
+    return left, right
+
+
+def keyed(spark):
+    right = spark.createDataFrame(KEYED_ROWS, KEYED)
+    left = update_rows(right, {"amount": "999.0"}, "id = 1 AND pt = '20250101'")
+    return added(left, (7, "grace", 400.0, 92, "20250102")), right
+
+
+def equal(spark):
+    same = spark.createDataFrame(EQUAL_ROWS, KEYED)
+    return same, same
+
+
+def texts(spark, n_rows=len(TEXT_ROWS)):
+    """Count-only copies of the first rows; the left one has a row more on 20250102."""
+    right = spark.createDataFrame(TEXT_ROWS[:n_rows], TEXTS)
+    return added(right, ONE_MORE_TEXT), right
+
+
+def flat_family(spark, i):
+    right = spark.createDataFrame(
+        [(r, f"user_{r}", 10.5 * r, 50 + 10 * r, f"cat_{r % 3}") for r in range(1, 6)],
+        "id int, name string, amount double, score int, category string",
+    )
+    if i % 5 == 0:
+        return right, right
+    left = [
+        lambda: update_rows(right, {"amount": "amount * 2"}, "id = 1"),
+        lambda: added(right, (6, "extra", 99.9, 100, "cat_x")),
+        lambda: update_rows(right, {"score": "score + 50"}, "id <= 2"),
+    ][i % 3]()
+    return left, right
+
+
+FLAT_FAMILY_DIFFS = [
+    {("amount", "sum"): (168, 157.5), ("amount", "min"): (21, 10.5)},
+    {("*", "count"): (6, 5), ("id", "sum"): (21, 15), ("id", "max"): (6, 5),
+     ("amount", "sum"): (257.4, 157.5), ("amount", "max"): (99.9, 52.5), ("score", "sum"): (500, 400)},
+    {("score", "sum"): (500, 400), ("score", "max"): (120, 100), ("score", "min"): (80, 60)},
+]
+
+
+def keyed_family(spark, i):
+    right = spark.createDataFrame(
+        [
+            (r + shift, f"user_{r}", 100.0 * r, 60 + 10 * r, pt)
+            for pt, shift in (("20250101", 0), ("20250102", 3)) for r in range(1, 4)
+        ],
+        KEYED,
+    )
+    if i % 5 == 0:
+        return right, right
+    left = [
+        lambda: update_rows(right, {"amount": "999.0"}, "id = 1 AND pt = '20250101'"),
+        lambda: added(right, (7, "extra", 500.0, 95, "20250102")),
+        lambda: update_rows(right, {"score": "score + 100"}, "pt = '20250101'"),
+    ][i % 3]()
+    return left, right
+
+
+KEYED_FAMILY_DIFFS = [
+    {"20250101": {("amount", "sum"): (1499, 600), ("amount", "max"): (999, 300),
+                  ("amount", "min"): (200, 100)}},
+    {"20250102": {("*", "count"): (4, 3), ("id", "sum"): (22, 15), ("id", "max"): (7, 6),
+                  ("amount", "sum"): (1100, 600), ("amount", "max"): (500, 300),
+                  ("score", "sum"): (335, 240), ("score", "max"): (95, 90)}},
+    {"20250101": {("score", "sum"): (540, 240), ("score", "max"): (190, 90),
+                  ("score", "min"): (170, 70)}},
+]
+
+
+def other_family(spark, i):
+    """Partitioned by another column than pt, hence compared as a whole."""
+    key = ["dt", "date_key", "region"][i % 3]
+    values, amount, base, step, extra = (
+        (("us", "eu"), 50.0, 40, 15, "ap") if key == "region"
+        else (("20250101", "20250102"), 75.0, 55, 12, "20250103")
+    )
+    right = spark.createDataFrame(
+        [
+            (r + 3 * at, f"user_{r}", amount * r, base + step * r, value)
+            for at, value in enumerate(values) for r in range(1, 4)
+        ],
+        f"id int, name string, amount double, score int, {key} string",
+    )
+    if i % 5 == 0:
+        return right, right
+    if i % 2 == 0:
+        return update_rows(right, {"amount": "amount + 999"}, "id = 1"), right
+    return added(right, (7, "extra", 888.0, 99, extra)), right
+
+
+def other_family_diffs(i):
+    by_region = i % 3 == 2
+    total, top, score = (600, 150, 420) if by_region else (900, 225, 474)
+    if i % 2 == 0:
+        return {("amount", "sum"): (total + 999, total),
+                ("amount", "max"): ((50 if by_region else 75) + 999, top)}
+    return {
+        ("*", "count"): (7, 6), ("id", "sum"): (28, 21), ("id", "max"): (7, 6),
+        ("amount", "sum"): (total + 888, total), ("amount", "max"): (888, top),
+        ("score", "sum"): (score + 99, score), ("score", "max"): (99, 85 if by_region else 91),
+    }
+
+
+def suite(spark):
+    """93 specs: three written out, three families of 30."""
+    specs = [
+        TableSpec("w.d.flat", *flat(spark)),
+        TableSpec("w.d.keyed", *keyed(spark), "pt"),
+        TableSpec("w.d.equal", *equal(spark), "pt"),
+    ]
+    for i in range(1, 31):
+        specs.append(TableSpec(f"w.d.flat_{i:03d}", *flat_family(spark, i)))
+        specs.append(TableSpec(f"w.d.keyed_{i:03d}", *keyed_family(spark, i), "pt"))
+        specs.append(TableSpec(f"w.d.other_{i:03d}", *other_family(spark, i)))
+    return {spec.table_name: spec for spec in specs}
+
+
+def diffs_of(metrics):
+    """{pt: {(column, metric): (left, right)}} of the differences, numbers as floats."""
+    found = {}
+    for row in metrics.filter("diff").collect():
+        def number(text):
+            return float(text) if text not in (None, "MISSING", "EXISTS") else text
+
+        found.setdefault(row.pt, {})[(row.column, row.metric)] = (
+            number(row.left_value), number(row.right_value)
+        )
+    return found
