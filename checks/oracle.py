@@ -2,7 +2,7 @@
 
 from checks.pairs import (
     DOCUMENTS, DOCUMENTS_BY_PT, EVENTS, EVENTS_HOURLY, EVENTS_NULL_KEY, LINEITEM, MIXED, ORDERS,
-    ORDERS_BY_PT, SUITE, TABLES, Pair, duckdb_date,
+    ORDERS_BY_PT, SUITE, TABLES, Pair, day,
 )
 
 
@@ -13,11 +13,11 @@ def source(sql: str) -> str:
 
 
 def left(pair: Pair) -> str:
-    return source(pair.left(duckdb_date))
+    return source(pair.left)
 
 
 def right(pair: Pair) -> str:
-    return source(pair.right(duckdb_date))
+    return source(pair.right)
 
 
 def sum_of(column: str, label: str) -> str:
@@ -101,6 +101,7 @@ PARTITIONS = """
 VERDICTS = """
     SELECT table_name, partitioned,
            count(*) FILTER (WHERE metric = 'count' AND partitioned) AS partitions_compared,
+           min(pt) AS first_pt, max(pt) AS last_pt,
            count(*) FILTER (WHERE diff) AS n_diffs, NOT bool_or(diff) AS match,
            CASE WHEN bool_or(diff) THEN 'FAIL' ELSE 'PASS' END AS status
     FROM ({metrics}) AS m GROUP BY table_name, partitioned"""
@@ -212,7 +213,6 @@ def metric_report() -> str:
 def oracle_sql() -> dict[str, str]:
     suite = all_metrics(SUITE)
     verdicts = VERDICTS.format(metrics=suite)
-    day = duckdb_date("ts", "yyyyMMdd")
     events_both = f"(SELECT pt FROM ({left(EVENTS)}) AS a UNION ALL SELECT pt FROM ({right(EVENTS)}) AS b)"
     return {
         "numeric_columns": " UNION ALL ".join(matching(t, c) for t, c in NUMERIC_COLUMNS.items()),
@@ -263,5 +263,5 @@ def oracle_sql() -> dict[str, str]:
         "multi_table_run": run_statuses(),
         "report_lines": metric_report(),
         "partition_counts": f"""
-            SELECT {day} AS pt, count(*) AS total_count FROM events GROUP BY 1""",
+            SELECT {day("ts")} AS pt, count(*) AS total_count FROM events GROUP BY 1""",
     }

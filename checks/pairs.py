@@ -4,32 +4,37 @@ The right copy differs from the left one by dropped rows and changed values. Dou
 decimals, whose sums do not depend on the order of addition.
 """
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
-STRFTIME = {"yyyyMM": "%Y%m", "yyyyMMdd": "%Y%m%d", "yyyyMMddHH": "%Y%m%d%H"}
 
 
-def spark_date(column: str, pattern: str) -> str:
-    return f"date_format({column}, '{pattern}')"
+def month(ts: str) -> str:
+    """``yyyyMM`` as text."""
+    return f"CAST(year({ts}) * 100 + month({ts}) AS STRING)"
 
 
-def duckdb_date(column: str, pattern: str) -> str:
-    return f"strftime({column}, '{STRFTIME[pattern]}')"
+def day(ts: str) -> str:
+    """``yyyyMMdd`` as text."""
+    return f"CAST(year({ts}) * 10000 + month({ts}) * 100 + day({ts}) AS STRING)"
+
+
+def hour(ts: str) -> str:
+    """``yyyyMMddHH`` as text."""
+    return f"CAST(year({ts}) * 1000000 + month({ts}) * 10000 + day({ts}) * 100 + hour({ts}) AS STRING)"
 
 
 @dataclass(frozen=True)
 class Pair:
-    """``left``/``right`` give SQL for a date formatter; tables are written ``{name}``."""
+    """SQL of both copies, in which tables are written ``{name}``."""
 
     table_name: str
     columns: tuple[tuple[str, str], ...]
-    left: Callable[[Callable[[str, str], str]], str]
-    right: Callable[[Callable[[str, str], str]], str]
+    left: str
+    right: str
     key: str | None = None
     right_columns: tuple[tuple[str, str], ...] | None = None  # where its types differ
 
@@ -46,15 +51,13 @@ LINEITEM_COLUMNS = (
 )
 
 
-def _lineitem(quantity: str, where: str = ""):
-    def sql(date):
-        return f"""
-            SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
-                   CAST({quantity} AS DECIMAL(12,2)) AS l_quantity,
-                   {decimal("l_extendedprice")}, {decimal("l_discount")}, {decimal("l_tax")},
-                   l_returnflag, l_linestatus, {date("l_shipdate", "yyyyMM")} AS pt
-            FROM {{lineitem}} {where}"""
-    return sql
+def _lineitem(quantity: str, where: str = "") -> str:
+    return f"""
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+               CAST({quantity} AS DECIMAL(12,2)) AS l_quantity,
+               {decimal("l_extendedprice")}, {decimal("l_discount")}, {decimal("l_tax")},
+               l_returnflag, l_linestatus, {month("l_shipdate")} AS pt
+        FROM {{lineitem}} {where}"""
 
 
 LINEITEM = Pair(
@@ -69,14 +72,12 @@ LINEITEM = Pair(
 )
 
 
-def _orders(price: str, where: str = ""):
-    def sql(date):
-        return f"""
-            SELECT o_orderkey, o_custkey, o_orderstatus,
-                   CAST({price} AS DECIMAL(12,2)) AS o_totalprice,
-                   o_orderpriority, {date("o_orderdate", "yyyyMM")} AS pt
-            FROM {{orders}} {where}"""
-    return sql
+def _orders(price: str) -> str:
+    return f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CAST({price} AS DECIMAL(12,2)) AS o_totalprice,
+               o_orderpriority, {month("o_orderdate")} AS pt
+        FROM {{orders}}"""
 
 
 ORDERS_COLUMNS = (
@@ -91,13 +92,10 @@ ORDERS_BY_PT = Pair(
 EVENTS_COLUMNS = (("event_id", "bigint"), ("user_id", "bigint"), ("value", "decimal(12,2)"))
 
 
-def _events(value: str, dropped_day: str, key=lambda date: date("ts", "yyyyMMdd")):
-    def sql(date):
-        return f"""
-            SELECT event_id, user_id, event_type, CAST({value} AS DECIMAL(12,2)) AS value,
-                   {key(date)} AS pt
-            FROM {{events}} WHERE {date("ts", "yyyyMMdd")} <> '{dropped_day}'"""
-    return sql
+def _events(value: str, dropped_day: str, key: str = day("ts")) -> str:
+    return f"""
+        SELECT event_id, user_id, event_type, CAST({value} AS DECIMAL(12,2)) AS value, {key} AS pt
+        FROM {{events}} WHERE {day("ts")} <> '{dropped_day}'"""
 
 
 EVENTS_CHANGED = "CASE WHEN event_type = 'error' AND value > 300 THEN value * 2 ELSE value END"
@@ -107,29 +105,20 @@ EVENTS = Pair(
 )
 
 
-def _null_for_errors(date):
-    return f"CASE WHEN event_type = 'error' THEN NULL ELSE {date('ts', 'yyyyMMdd')} END"
-
-
+NULL_FOR_ERRORS = f"CASE WHEN event_type = 'error' THEN NULL ELSE {day('ts')} END"
 EVENTS_NULL_KEY = Pair(
     "events_null_key", EVENTS_COLUMNS,
-    _events("value", "20240105", _null_for_errors),
-    _events(EVENTS_CHANGED, "20240110", _null_for_errors), key="pt",
+    _events("value", "20240105", NULL_FOR_ERRORS),
+    _events(EVENTS_CHANGED, "20240110", NULL_FOR_ERRORS), key="pt",
 )
-
-
-def _hour(date):
-    return date("ts", "yyyyMMddHH")
-
-
 EVENTS_HOURLY = Pair(
     "events_hourly", EVENTS_COLUMNS,
-    _events("value", "20240105", _hour), _events(EVENTS_CHANGED, "20240110", _hour), key="pt",
+    _events("value", "20240105", hour("ts")), _events(EVENTS_CHANGED, "20240110", hour("ts")), key="pt",
 )
 
 
-def _documents(where: str = ""):
-    return lambda date: f"SELECT text, source, lang AS pt FROM {{documents}} {where}"
+def _documents(where: str = "") -> str:
+    return f"SELECT text, source, lang AS pt FROM {{documents}} {where}"
 
 
 DOCUMENTS = Pair("documents", (), _documents(), _documents("WHERE n_chars >= 20"))
@@ -139,8 +128,8 @@ DOCUMENTS_BY_PT = Pair(
 )
 
 
-def _same(sql: str):
-    return {"left": lambda date: sql, "right": lambda date: sql}
+def _same(sql: str) -> dict[str, str]:
+    return {"left": sql, "right": sql}
 
 
 CUSTOMER = Pair(
@@ -166,11 +155,11 @@ MIXED = Pair(
     "orders_migrated",
     (("o_orderkey", "bigint"), ("o_custkey", "int"), ("o_totalprice", "decimal(12,2)"),
      ("o_cents", "bigint")),
-    left=lambda date: f"""
+    left=f"""
         SELECT o_orderkey, CAST(o_custkey AS INT) AS o_custkey, {decimal("o_totalprice")},
                CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) AS o_cents
         FROM {{orders}}""",
-    right=lambda date: """
+    right="""
         SELECT CAST(o_orderkey AS DOUBLE) AS o_orderkey, o_custkey,
                CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(18,4)) AS o_totalprice,
                CAST(floor(o_totalprice * 100 + 0.5) AS DOUBLE)

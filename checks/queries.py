@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 import countersign as cs
 from checks.pairs import (
     DOCUMENTS, DOCUMENTS_BY_PT, EVENTS, EVENTS_HOURLY, EVENTS_NULL_KEY, LINEITEM, MIXED, ORDERS,
-    ORDERS_BY_PT, ORDERS_CHANGED, SUITE, TABLES, Pair, spark_date,
+    ORDERS_BY_PT, ORDERS_CHANGED, SUITE, TABLES, Pair, day,
 )
 from countersign.plans.report import metric_lines
 from countersign.sources.storage import drop_table, update_rows, work_folder, write_table
@@ -29,8 +29,8 @@ def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 def sides(spark: SparkSession, sf_dir: str, pair: Pair) -> tuple[DataFrame, DataFrame]:
     return (
-        derived(spark, sf_dir, pair.left(spark_date)),
-        derived(spark, sf_dir, pair.right(spark_date)),
+        derived(spark, sf_dir, pair.left),
+        derived(spark, sf_dir, pair.right),
     )
 
 
@@ -168,7 +168,7 @@ def metadata_join(spark, sf_dir):
     """Catalog tables written from the test tables, looked up and joined to a manifest."""
     folder, tag = work_folder(spark, "tables"), uuid.uuid4().hex
     names = {n: f"{n}_{tag}" for n in ("events_by_day", "orders_whole", "not_there")}
-    days = table(spark, sf_dir, "events").withColumn("pt", F.date_format("ts", "yyyyMMdd"))
+    days = table(spark, sf_dir, "events").withColumn("pt", F.expr(day("ts")))
     write_table(days, names["events_by_day"], "pt", f"{folder}/events_by_day")
     write_table(table(spark, sf_dir, "orders"), names["orders_whole"], None, f"{folder}/orders_whole")
     listed = spark.createDataFrame(
@@ -237,7 +237,7 @@ def report_lines(spark, sf_dir):
 
 
 def partition_counts(spark, sf_dir):
-    days = table(spark, sf_dir, "events").withColumn("pt", F.date_format("ts", "yyyyMMdd"))
+    days = table(spark, sf_dir, "events").withColumn("pt", F.expr(day("ts")))
     return cs.row_counts(days, by="pt")
 
 

@@ -36,7 +36,9 @@ def main() -> None:
         spark, manifest, metadata=metadata, left_format=args.left_format, workers=args.workers,
         timeout_s=args.timeout, start=args.pt_start, end=args.pt_end, out=args.output,
     )
-    write_report(result, f"{args.output.rstrip('/')}/report", start=args.pt_start, end=args.pt_end)
+    write_report(result, f"{args.output.rstrip('/')}/report")
+    verdicts = result.tables.orderBy("line_no").select("table_name", "status", "n_diffs", "elapsed_s")
+    verdicts.show(max(len(names), 1), truncate=False)
     result.runs.show(truncate=False)
     spark.stop()
 

@@ -41,24 +41,16 @@ def partition_status(metrics: DataFrame, keys: Sequence[str] = TABLE_KEY) -> Dat
 
 
 def table_status(metrics: DataFrame, keys: Sequence[str] = TABLE_KEY) -> DataFrame:
-    """One row per table that has metrics: partitions compared and failed, differences, verdict."""
-    return _table_verdict(
-        metrics.groupBy(*keys).agg(
-            F.bool_or("partitioned").alias("partitioned"),
-            F.count_if((F.col("metric") == "count") & F.col("partitioned")).alias(
-                "partitions_compared"
-            ),
-            F.count_if("diff").alias("n_diffs"),
-            F.bool_and(~F.col("diff")).alias("all_match"),
-        )
-    )
-
-
-def _table_verdict(grouped: DataFrame) -> DataFrame:
-    match = F.coalesce(F.col("all_match"), F.lit(True))
-    return grouped.withColumn("match", match).withColumn("status", status_label(match)).drop(
-        "all_match"
+    """One row per table that has metrics: partitions compared, differences, verdict."""
+    grouped = metrics.groupBy(*keys).agg(
+        F.bool_or("partitioned").alias("partitioned"),
+        F.count_if((F.col("metric") == "count") & F.col("partitioned")).alias("partitions_compared"),
+        F.min("pt").alias("first_pt"),
+        F.max("pt").alias("last_pt"),
+        F.count_if("diff").alias("n_diffs"),
+        F.bool_and(~F.col("diff")).alias("match"),
     )
+    return grouped.withColumn("status", status_label(F.col("match")))
 
 
 def partition_reasons(

@@ -1,5 +1,7 @@
 """The findings of a run as readable text, projected from its result tables."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,11 +99,11 @@ def summary_lines(tables: DataFrame, reasons: DataFrame) -> DataFrame:
     )
 
 
-def table_lines(tables: DataFrame, labels: tuple[str, str], bounds: Column) -> DataFrame:
+def table_lines(tables: DataFrame, labels: tuple[str, str]) -> DataFrame:
     """What surrounds the values of each table: preamble, heading, SQL, conclusion, time."""
     name, branch = F.col("table_name"), F.col("branch")
     verdict = status_label(F.col("match"))
-    partitioned, failed = F.col("partitioned"), branch == "error"
+    failed = branch == "error"
     by_partition, whole = branch == "numeric_by_partition", branch == "numeric_global"
     counts, counts_by_partition = branch == "count_only_global", branch == "count_only_by_partition"
     numeric, counted = by_partition | whole, counts | counts_by_partition
@@ -113,7 +115,7 @@ def table_lines(tables: DataFrame, labels: tuple[str, str], bounds: Column) -> D
     preamble = part(PREAMBLE, [
         F.lit(""), F.lit("---"), _text("## Table: `", name, "`"),
         _text("- Partitioned: ", F.coalesce(_text("Yes (", F.col("partition_column"), ")"), F.lit("No"))),
-        F.when(partitioned, bounds),
+        _text("- Partition range: from ", F.col("pt_start"), " through ", F.col("pt_end")),
         _text("- Started: ", F.date_format("started", "yyyy-MM-dd HH:mm:ss")), F.lit(""),
     ])
     heading = part(
@@ -202,30 +204,17 @@ def execution_lines(runs: DataFrame) -> DataFrame:
     ])
 
 
-def report_lines(
-    result: RunResult,
-    *,
-    start: str | None = None,
-    end: str | None = None,
-    labels: tuple[str, str] = LABELS,
-) -> DataFrame:
-    """Every line of the report with its position; ``start`` and ``end`` only for the text."""
-    bounds = (
-        F.lit(f"- Partition range: from {start or 'first'} through {end or 'last'}")
-        if start or end else F.lit(None).cast("string")
-    )
+def report_lines(result: RunResult, labels: tuple[str, str] = LABELS) -> DataFrame:
+    """Every line of the report with its position."""
     parts = [
         header_lines(result.runs),
         summary_lines(result.tables, result.reasons),
-        table_lines(result.tables, labels, bounds),
+        table_lines(result.tables, labels),
         partition_lines(result.partitions, result.tables, labels),
         metric_lines(result.metrics, result.tables, labels),
         execution_lines(result.runs),
     ]
-    lines = parts[0]
-    for part in parts[1:]:
-        lines = lines.unionByName(part)
-    return lines
+    return reduce(DataFrame.unionByName, parts)
 
 
 def in_report_order(lines: DataFrame) -> DataFrame:
@@ -233,14 +222,7 @@ def in_report_order(lines: DataFrame) -> DataFrame:
     return lines.orderBy(*order)
 
 
-def write_report(
-    result: RunResult,
-    path: str,
-    *,
-    start: str | None = None,
-    end: str | None = None,
-    labels: tuple[str, str] = LABELS,
-) -> None:
+def write_report(result: RunResult, path: str, labels: tuple[str, str] = LABELS) -> None:
     """Write the report as text files whose names sort in reading order."""
-    lines = report_lines(result, start=start, end=end, labels=labels)
-    in_report_order(lines).select("line").write.mode("overwrite").text(path)
+    lines = in_report_order(report_lines(result, labels))
+    lines.select("line").write.mode("overwrite").text(path)

@@ -229,7 +229,7 @@ def run(
 
     partitions = stored(partition_status(metrics, RUN_KEY), "partitions")
     reasons = stored(table_reasons(metrics, RUN_KEY, labels), "reasons")
-    tables = stored(tables_result(compared, metrics, reasons), "tables")
+    tables = stored(tables_result(compared, metrics, reasons, start, end), "tables")
     totals = run_totals(tables).select(
         "n_tables", "n_failed",
         F.lit(start).cast("string").alias("pt_start"), F.lit(end).cast("string").alias("pt_end"),
@@ -239,14 +239,25 @@ def run(
     return RunResult(metrics, partitions, tables, reasons, stored(totals, "runs"))
 
 
-def tables_result(compared: DataFrame, metrics: DataFrame, reasons: DataFrame) -> DataFrame:
-    """One row per manifest line. A table without any partition in range passes, with 0 compared."""
+def tables_result(
+    compared: DataFrame,
+    metrics: DataFrame,
+    reasons: DataFrame,
+    start: str | None = None,
+    end: str | None = None,
+) -> DataFrame:
+    """One row per manifest line. A table without any partition in range passes, with 0 compared.
+
+    ``pt_start`` and ``pt_end`` are the bounds as given; a missing one is the first or last
+    partition found on either side, which the metrics tell without another scan.
+    """
     verdicts = table_status(metrics, RUN_KEY).select(
-        "line_no", "partitions_compared", "n_diffs", "match"
+        "line_no", "partitions_compared", "first_pt", "last_pt", "n_diffs", "match"
     )
     whole = reasons.filter(~F.col("spread")).select("line_no", "reason")
     failed = F.col("error").isNotNull()
     match = ~failed & F.coalesce("match", F.lit(True))
+    compared_by_partition = F.col("partitioned") & ~failed
     nothing_found = F.col("partitioned") & (F.coalesce("partitions_compared", F.lit(0)) == 0)
     joined = compared.join(verdicts, "line_no", "left").join(whole, "line_no", "left")
     return joined.select(
@@ -256,6 +267,8 @@ def tables_result(compared: DataFrame, metrics: DataFrame, reasons: DataFrame) -
         match.alias("match"),
         F.when(failed, "ERROR").when(match, "PASS").otherwise("FAIL").alias("status"),
         F.coalesce("partitions_compared", F.lit(0).cast("bigint")).alias("partitions_compared"),
+        F.when(compared_by_partition, F.coalesce(F.lit(start), "first_pt")).alias("pt_start"),
+        F.when(compared_by_partition, F.coalesce(F.lit(end), "last_pt")).alias("pt_end"),
         F.coalesce("n_diffs", F.lit(0).cast("bigint")).alias("n_diffs"),
         F.when(failed, F.concat(F.lit("ERROR: "), "error")).otherwise(F.col("reason")).alias("reason"),
         "error", "sql", "started", "elapsed_s",

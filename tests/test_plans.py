@@ -65,3 +65,21 @@ def test_hot_partition_ships_one_row_per_task(spark):
     metrics = cs.compare(df, df, table_name="t", partition_column="pt")
     assert cs.differences(metrics).count() == 0
     assert cs.partition_status(metrics).filter("pt = 'hot'").first().left_count == 10000
+
+
+def test_sides_whose_shuffles_are_coalesced_differently_still_meet(spark):
+    """The united profiles are grouped where they lie, which must hold for any coalescing."""
+    setting = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "false")
+    spark.conf.set(size, "128k")
+    try:
+        def keyed(n):
+            return spark.range(n).select("id", F.col("id").cast("string").alias("pt"))
+
+        metrics = cs.compare(keyed(60000), keyed(3000), table_name="t", partition_column="pt")
+        counts = cs.partition_status(metrics).groupBy("presence").count().collect()
+        assert {r["presence"]: r["count"] for r in counts} == {"BOTH": 3000, "LEFT_ONLY": 57000}
+    finally:
+        spark.conf.unset(setting)
+        spark.conf.unset(size)
