@@ -1,5 +1,6 @@
 """Comparison of two copies of a table, as rows of metrics."""
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,13 +15,15 @@ from countersign.operators.partitions import partition_range
 from countersign.operators.profile import profile
 from countersign.operators.schema import field_type, numeric_columns
 
+log = logging.getLogger(__name__)
+
 METRICS_SCHEMA = (
     "table_name string, partitioned boolean, pt string, ord int, column string, type string, "
     "metric string, left_value string, right_value string, match boolean, diff boolean"
 )
 
 
-def _key_type(left: DataFrame, right: DataFrame, column: str) -> None:
+def _check_key_types(left: DataFrame, right: DataFrame, column: str) -> None:
     left_type, right_type = field_type(left, column), field_type(right, column)
     both_integral = isinstance(left_type, T.IntegralType) and isinstance(right_type, T.IntegralType)
     if left_type != right_type and not both_integral:
@@ -193,9 +196,11 @@ def compare(
     columns only row counts are compared. With a partition column the comparison is per key,
     narrowed to ``start``..``end`` where given; without one the bounds do not apply.
     """
+    if left.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
+        log.warning("spark.sql.ansi.enabled is off: sums that overflow will not raise an error")
     columns = numeric_columns(left)
     if partition_column:
-        _key_type(left, right, partition_column)
+        _check_key_types(left, right, partition_column)
         left = partition_range(left, partition_column, start, end)
         right = partition_range(right, partition_column, start, end)
     merged = merge_profiles(left, right, [name for name, _ in columns], partition_column)
