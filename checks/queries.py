@@ -138,7 +138,7 @@ def reasons(spark, sf_dir):
 
 
 def reasons_spread(spark, sf_dir):
-    return cs.table_reasons(compared(spark, sf_dir, LINEITEM), max_partitions=1)
+    return cs.table_reasons(compared(spark, sf_dir, LINEITEM), max_differences=1)
 
 
 def run_summary(spark, sf_dir):

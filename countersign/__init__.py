@@ -10,7 +10,7 @@ from countersign.operators.schema import is_partitioned, numeric_columns
 from countersign.operators.sqltext import check_sql
 from countersign.plans.report import report_lines, write_report
 from countersign.plans.run import RunResult, run
-from countersign.sources.catalog import attach_metadata, prefetch_metadata
+from countersign.sources.catalog import attach_metadata, prefetch_metadata, table_metadata
 from countersign.sources.manifest import read_manifest
 from countersign.sources.tables import Stored, TableSpec
 
@@ -19,5 +19,5 @@ __all__ = [
     "differences", "failing_tables", "in_order", "is_partitioned", "numeric_columns",
     "partition_bounds", "partition_keys", "partition_range", "partition_reasons",
     "partition_status", "prefetch_metadata", "profile", "read_manifest", "report_lines",
-    "row_counts", "run", "run_totals", "table_reasons", "table_status", "write_report",
+    "row_counts", "run", "run_totals", "table_metadata", "table_reasons", "table_status", "write_report",
 ]

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from countersign.plans.report import write_report
 from countersign.plans.run import TIMEOUT_S, WORKERS, run
-from countersign.sources.catalog import prefetch_metadata, table_metadata
+from countersign.sources.catalog import table_metadata
 from countersign.sources.manifest import read_manifest
 
 
@@ -29,16 +29,13 @@ def main() -> None:
             name = ".".join([args.left_catalog, *name.split(".")[-2:]])
         return table_metadata(session, name)
 
-    manifest = read_manifest(spark, args.manifest)
-    names = [row.table_name for row in manifest.select("table_name").distinct().collect()]
-    metadata = prefetch_metadata(spark, names, lookup, args.workers)
     result = run(
-        spark, manifest, metadata=metadata, left_format=args.left_format, workers=args.workers,
+        spark, read_manifest(spark, args.manifest), lookup=lookup, left_format=args.left_format, workers=args.workers,
         timeout_s=args.timeout, start=args.pt_start, end=args.pt_end, out=args.output,
     )
     write_report(result, f"{args.output.rstrip('/')}/report")
     verdicts = result.tables.orderBy("line_no").select("table_name", "status", "n_diffs", "elapsed_s")
-    verdicts.show(max(len(names), 1), truncate=False)
+    verdicts.show(max(verdicts.count(), 1), truncate=False)  # a short row per manifest line
     result.runs.show(truncate=False)
     spark.stop()
 

@@ -48,7 +48,7 @@ def merge_profiles(
     key = F.col(quoted(by)) if by else F.lit(None).cast("string")
     packed = {}
     for side, df in sides.items():
-        fields = [c for c in df.columns if c != by] if by else df.columns
+        fields = df.columns[1:] if by else df.columns
         packed[side] = df.select(
             key.alias("pt"), F.expr(f"struct({', '.join(map(quoted, fields))})").alias(side)
         )

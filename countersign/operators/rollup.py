@@ -10,7 +10,7 @@ from countersign.operators.compare import differences
 
 TABLE_KEY = ("table_name",)
 LABELS = ("Left", "Right")
-REASON_PARTITIONS = 1000
+REASON_DIFFERENCES = 10_000
 
 
 def partition_status(metrics: DataFrame, keys: Sequence[str] = TABLE_KEY) -> DataFrame:
@@ -67,7 +67,7 @@ def partition_reasons(
     return (
         differences(metrics)
         .groupBy(*keys, "partitioned", "pt")
-        .agg(F.array_join(listed["text"], "; ").alias("reason"))
+        .agg(F.count(F.lit(1)).alias("n_diffs"), F.array_join(listed["text"], "; ").alias("reason"))
     )
 
 
@@ -75,18 +75,17 @@ def table_reasons(
     metrics: DataFrame,
     keys: Sequence[str] = TABLE_KEY,
     labels: tuple[str, str] = LABELS,
-    max_partitions: int = REASON_PARTITIONS,
+    max_differences: int = REASON_DIFFERENCES,
 ) -> DataFrame:
     """Why each failing table fails, in partition and metric order, joined with ``"; "``.
 
-    One row per table with a NULL ``from_pt``, as long as at most ``max_partitions`` of its
-    partitions fail. A table beyond that gets one row per failing partition instead, to be
-    read in the order of ``from_pt``: all text is kept, and no cell grows with the number of
-    partitions.
+    One row per table with a NULL ``from_pt``, as long as it has at most ``max_differences``.
+    A table beyond that gets one row per failing partition instead, to be read in the order
+    of ``from_pt``: all text is kept, and no cell grows with the number of partitions.
     """
     parts = partition_reasons(metrics, keys, labels)
-    failing = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_failing"))
-    spread = F.col("n_failing") > max_partitions
+    failing = parts.groupBy(*keys).agg(F.sum("n_diffs").alias("n_table_diffs"))
+    spread = F.col("n_table_diffs") > max_differences
     listed = F.array_sort(F.collect_list(F.struct("pt", "reason")))
     return (
         parts.join(failing, list(keys))

@@ -69,7 +69,8 @@ def header_lines(runs: DataFrame) -> DataFrame:
             F.lit(TITLE), F.lit(""), _text("- Generated: ", stamp),
             _text("- Tables: ", F.col("n_tables").cast("string")),
             _text("- Workers: ", F.col("workers").cast("string")),
-            F.when(given, bounds), F.lit(""),
+            F.when(given, bounds),
+            _text("- Metadata pre-fetch: ", F.format_string("%.1f", "prefetch_s"), "s"), F.lit(""),
         ],
     )
 

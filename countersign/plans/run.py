@@ -22,7 +22,9 @@ from countersign.operators.schema import (
     PARTITION_COLUMN, field_type, is_partitioned, numeric_columns,
 )
 from countersign.operators.sqltext import check_sql
-from countersign.sources.catalog import attach_metadata
+from countersign.sources.catalog import (
+    Lookup, attach_metadata, prefetch_metadata, table_metadata,
+)
 from countersign.sources.storage import work_folder
 from countersign.sources.tables import Stored, TableSpec, open_side
 
@@ -78,27 +80,27 @@ def spec_from_metadata(entry: Row, left_format: str = "parquet") -> TableSpec:
 
 
 def _entries(
+    spark: SparkSession,
     manifest: DataFrame,
     specs: Mapping[str, TableSpec],
-    metadata: DataFrame | None,
+    lookup: Lookup | None,
     left_format: str,
+    workers: int,
 ) -> list[tuple[str, TableSpec | Exception]]:
-    """The manifest on the driver: names and specs, no table data."""
+    """The manifest on the driver: names and how to open them, no table data."""
     if "line_no" not in manifest.columns:
         manifest = manifest.withColumn("line_no", F.monotonically_increasing_id())
-    lines = attach_metadata(manifest, metadata) if metadata is not None else manifest
-    entries = []
-    for entry in sorted(lines.collect(), key=lambda row: row.line_no):
-        if entry.table_name in specs:
-            entries.append((entry.table_name, specs[entry.table_name]))
-        elif metadata is None:
-            problem = LookupError(f"No storage location found for table {entry.table_name}")
-            entries.append((entry.table_name, problem))
-        else:
-            try:
-                entries.append((entry.table_name, spec_from_metadata(entry, left_format)))
-            except LookupError as problem:
-                entries.append((entry.table_name, problem))
+    names = [row.table_name for row in manifest.select("table_name").collect()]
+    metadata = prefetch_metadata(
+        spark, [n for n in names if lookup and n not in specs], lookup or table_metadata, workers
+    )
+    entries: list[tuple[str, TableSpec | Exception]] = []
+    for entry in sorted(attach_metadata(manifest, metadata).collect(), key=lambda e: e.line_no):
+        try:
+            spec = specs.get(entry.table_name) or spec_from_metadata(entry, left_format)
+        except LookupError as problem:
+            spec = problem
+        entries.append((entry.table_name, spec))
     return entries
 
 
@@ -176,7 +178,7 @@ def run(
     manifest: DataFrame,
     specs: Mapping[str, TableSpec] | None = None,
     *,
-    metadata: DataFrame | None = None,
+    lookup: Lookup | None = None,
     left_format: str = "parquet",
     workers: int = WORKERS,
     timeout_s: float = TIMEOUT_S,
@@ -189,8 +191,8 @@ def run(
 ) -> RunResult:
     """Compare every table of the manifest and write the result tables below ``out``.
 
-    A table is opened as its spec says, or from its metadata: the left copy by location, the
-    right one by name. Tables are compared by concurrent Spark jobs, each of which writes its
+    A table is opened as its spec says, or else by what ``lookup`` tells about it (location
+    and partition columns): the left copy by location, the right one by name. Tables are compared by concurrent Spark jobs, each of which writes its
     metrics to a folder of its own; the driver keeps names, times and error messages. A table
     that fails or exceeds ``timeout_s`` is reported as ERROR and does not touch the others.
     """
@@ -199,20 +201,27 @@ def run(
     out = (out or work_folder(spark, "run")).rstrip("/")
     folder = f"{out}/metrics/run_id={run_id}"
     runner = _Runner(spark, folder, timeout_s, start, end, nan_equal, rel_tol)
-    entries = _entries(manifest, specs or {}, metadata, left_format)
+    entries = _entries(spark, manifest, specs or {}, lookup, left_format, workers)
+    prefetch_s = time.time() - began
 
-    compare_table = inheritable_thread_target(spark)(runner.compare_table)
     attempts = [_Attempt(i, f"countersign-{run_id}-{i}") for i in range(1, len(entries) + 1)]
+    outcomes = []
     with ThreadPoolExecutor(max_workers=workers, thread_name_prefix="countersign") as pool:
         pending: set[Future] = {
-            pool.submit(compare_table, attempt, name, spec)
+            # Wrapped one by one: each wrapper hands its own copy of the job settings to its thread.
+            pool.submit(inheritable_thread_target(spark)(runner.compare_table), attempt, name, spec)
             for attempt, (name, spec) in zip(attempts, entries)
         }
-        outcomes = []
-        while pending:
-            done, pending = wait(pending, timeout=POLL_S, return_when=FIRST_COMPLETED)
-            outcomes += [future.result() for future in done]
-            _stop_late(spark, attempts)
+        try:
+            while pending:
+                done, pending = wait(pending, timeout=POLL_S, return_when=FIRST_COMPLETED)
+                outcomes += [future.result() for future in done]
+                _stop_late(spark, attempts)
+        except BaseException:  # an interrupted run leaves no jobs behind
+            pool.shutdown(wait=False, cancel_futures=True)
+            for attempt in attempts:
+                spark.sparkContext.cancelJobsWithTag(attempt.tag)
+            raise
 
     written = [runner.table_folder(o["line_no"]) for o in outcomes if o["error"] is None]
     if written:
@@ -220,7 +229,7 @@ def run(
         metrics = reader.parquet(*written)
     else:
         metrics = spark.createDataFrame([], RUN_METRICS_SCHEMA)
-    compared = spark.createDataFrame([tuple(o.values()) for o in outcomes], OUTCOME_SCHEMA)
+    compared = spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
 
     def stored(result: DataFrame, name: str) -> DataFrame:
         path = f"{out}/{name}/run_id={run_id}"
@@ -233,7 +242,8 @@ def run(
     totals = run_totals(tables).select(
         "n_tables", "n_failed",
         F.lit(start).cast("string").alias("pt_start"), F.lit(end).cast("string").alias("pt_end"),
-        F.lit(run_id).alias("run_id"), F.lit(workers).alias("workers"), F.lit(time.time() - began).alias("elapsed_s"),
+        F.lit(workers).alias("workers"), F.lit(prefetch_s).alias("prefetch_s"),
+        F.lit(time.time() - began).alias("elapsed_s"),
         F.lit(datetime.fromtimestamp(began)).alias("started"),
     )
     return RunResult(metrics, partitions, tables, reasons, stored(totals, "runs"))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from countersign.functions.names import quoted_table
 
+Lookup = Callable[[SparkSession, str], tuple[str, list[str]]]
+
 METADATA_SCHEMA = "table_name string, location string, partition_cols array<string>, error string"
 
 
@@ -22,7 +24,7 @@ def table_metadata(spark: SparkSession, name: str) -> tuple[str, list[str]]:
 def prefetch_metadata(
     spark: SparkSession,
     names: Iterable[str],
-    lookup: Callable[[SparkSession, str], tuple[str, list[str]]] = table_metadata,
+    lookup: Lookup = table_metadata,
     workers: int = 15,
 ) -> DataFrame:
     """``table_name, location, partition_cols, error`` of each name.

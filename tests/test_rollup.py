@@ -49,7 +49,7 @@ def test_reasons_in_partition_and_metric_order(spark):
 
 
 def test_reasons_of_many_partitions_are_spread_whole(spark):
-    rows = cs.table_reasons(both(spark), max_partitions=1).orderBy("table_name", "from_pt").collect()
+    rows = cs.table_reasons(both(spark), max_differences=6).orderBy("table_name", "from_pt").collect()
     assert [(r.table_name, r.spread, r.from_pt) for r in rows] == [
         ("flat", False, None), ("keyed", True, "20250101"), ("keyed", True, "20250102")]
     assert [r.reason for r in rows[1:]] == ["; ".join(KEYED_1), "; ".join(KEYED_2)]

@@ -81,12 +81,24 @@ def test_time_limit_stops_the_jobs_of_that_table_only(spark):
     assert spark.range(5).count() == 5  # nothing lingers on this session
 
 
+def test_several_late_tables_are_stopped_each_and_others_finish(spark):
+    """Tags must not leak between workers: every slow table ends at its own limit."""
+    specs = {f"slow{i}": cs.TableSpec(f"slow{i}", slow(spark, 40), slow(spark, 40)) for i in range(2)}
+    specs |= {f"quick{i}": cs.TableSpec(f"quick{i}", *fx.flat(spark)) for i in range(6)}
+    listed = ["slow0", "quick0", "quick1", "quick2", "slow1", "quick3", "quick4", "quick5"]
+    result = cs.run(spark, names(spark, listed), specs, workers=3, timeout_s=8)
+    rows = {r.table_name: r for r in result.tables.collect()}
+    assert {n for n, r in rows.items() if r.status == "ERROR"} == {"slow0", "slow1"}
+    assert all(8 <= rows[n].elapsed_s < 20 for n in ("slow0", "slow1"))
+    assert all(rows[n].n_diffs == 6 for n in rows if n.startswith("quick"))
+
+
 def test_empty_manifest(spark):
     result = cs.run(spark, names(spark, ["x"]).limit(0), {})
     assert result.tables.count() == 0 and tuple(result.runs.first())[:2] == (0, 0)
 
 
-def test_specs_from_metadata(spark, tmp_path):
+def test_copies_looked_up(spark, tmp_path):
     """Left copy by location, right copy by name; only pt makes it a partitioned comparison."""
     left, right = fx.keyed(spark)
     for name, key in (("run_keyed", "pt"), ("run_by_name", "name")):
@@ -100,8 +112,7 @@ def test_specs_from_metadata(spark, tmp_path):
         return str(tmp_path / name), ["pt" if name == "run_keyed" else "name"]
 
     manifest = names(spark, ["run_keyed", "run_by_name", "run_gone"])
-    metadata = cs.prefetch_metadata(spark, ["run_keyed", "run_by_name", "run_gone"], lookup)
-    rows = cs.run(spark, manifest, metadata=metadata).tables.orderBy("line_no").collect()
+    rows = cs.run(spark, manifest, lookup=lookup).tables.orderBy("line_no").collect()
     assert [(r.branch, r.status, r.n_diffs) for r in rows] == [
         ("numeric_by_partition", "FAIL", 9), ("numeric_global", "FAIL", rows[1].n_diffs), ("error", "ERROR", 0)]
     assert rows[1].n_diffs > 0
@@ -192,8 +203,42 @@ def test_spread_reasons_take_a_line_each(spark):
 
     left, right = fx.keyed(spark)
     result = cs.run(spark, names(spark, ["t"]), {"t": cs.TableSpec("t", left, right, "pt")})
-    reasons = cs.table_reasons(result.metrics, ("line_no", "table_name"), max_partitions=1)
+    reasons = cs.table_reasons(result.metrics, ("line_no", "table_name"), max_differences=6)
     tables = result.tables.withColumn("reason", F.lit(None).cast("string"))
     lines = [r.line for r in in_report_order(summary_lines(tables, reasons)).collect()]
     assert [line[:40] for line in lines if line.startswith("| 1 ")] == [
         "| 1 | t | FAIL | pt=20250101: `amount`.s", "| 1 | t | FAIL | pt=20250102: `*`.count:"[:40]]
+
+
+def test_job(tmp_path):
+    """The command line in a session of its own: both copies from catalog tables, results and report written."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    repo = Path(__file__).resolve().parents[1]
+    (tmp_path / "tables.csv").write_text("table_name\ndefault.jobs_orders\ndefault.jobs_gone\n")
+    # Tables are made in the same process, since the default catalog lives in memory.
+    script = f"""
+import sys
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+         .config("spark.sql.warehouse.dir", "{tmp_path}/warehouse").getOrCreate())
+spark.createDataFrame([(1, 2.5, "20250101"), (2, 3.5, "20250102")], "id int, price double, pt string"
+    ).write.partitionBy("pt").saveAsTable("jobs_orders")
+from countersign.__main__ import main
+sys.argv = ["countersign", "--manifest", "{tmp_path}/tables.csv", "--output", "{tmp_path}/out",
+            "--workers", "2", "--pt-start", "20250101", "--pt-end", "20250101"]
+main()
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", script], capture_output=True, text=True, timeout=180, cwd=tmp_path,
+        env={**os.environ, "PYTHONPATH": str(repo)})
+    assert done.returncode == 0, done.stderr[-2000:]
+    report = "".join(f.read_text() for f in sorted((tmp_path / "out" / "report").glob("part-*")))
+    assert "Tables with differences: **1** / 2" in report
+    assert "- Partition filter: from 20250101 through 20250101" in report
+    assert "#### Partition pt=20250101 — **PASS**" in report and "pt=20250102" not in report
+    assert "### ERROR for `default.jobs_gone`" in report
+    assert "default.jobs_orders" in done.stdout
