@@ -16,17 +16,66 @@ HEADER, SUMMARY, TABLES, EXECUTION = range(4)
 PREAMBLE, HEADING, BODY, CONCLUSION, CLOSING = range(5)
 TOP, ROWS, DIFFERENCES = range(3)
 
-# The wording of the report.
+# The wording of the report. {} stands for a value.
 TITLE = "# Table Comparison Report"
+GENERATED = "- Generated: {}"
+N_TABLES = "- Tables: {}"
+N_WORKERS = "- Workers: {}"
+FILTERED = "- Partition filter: from {} through {}"
+PREFETCH = "- Metadata pre-fetch: {}s"
+SUMMARY_TITLE = "## Difference Summary"
+SUMMARY_COUNT = "Tables with differences: **{}** / {}"
+SUMMARY_HEAD = "| # | Table | Status | Difference Reason |"
+SUMMARY_RULE = "|---|-------|--------|-------------------|"
+SUMMARY_ROW = "| {} | {} | FAIL | {} |"
 ALL_PASS = "All tables PASS - no differences found."
+SEPARATOR = "---"
+TABLE_TITLE = "## Table: `{}`"
+PARTITIONED_BY = "- Partitioned: Yes ({})"
+NOT_PARTITIONED = "- Partitioned: No"
+TABLE_RANGE = "- Partition range: from {} through {}"
+STARTED = "- Started: {}"
+WHOLE_TITLE = "### {} — Aggregate Check: **{}**"
+BY_PARTITION_TITLE = "### {} — Partitioned Aggregate Check: **{}**"
+COUNT_TITLE = "### {} — Count Only (no numeric columns)"
+EMPTY_TITLE = "### {} — No partitions found"
+ERROR_TITLE = "### ERROR for `{}`"
+PARTITION_TITLE = "#### Partition pt={} — **{}**"
+SQL_TITLE = "**SQL:**"
+RESULTS_TITLE = "**Results:**"
+METRIC_HEAD = "| Column | Type | Metric | {} | {} | Match |"
 METRIC_RULE = "|--------|------|--------|-------|---------|-------|"
+METRIC_ROW = "| {} | {} | {} | {} | {} | {} |"
+COUNT_HEAD = "| pt | {} Count | {} Count | Match |"
 COUNT_RULE = "|----|-------------|---------------|-------|"
-SIDE_HEAD = ("| Side | Count |", "|------|-------|")
-SUMMARY_HEAD = ("| # | Table | Status | Difference Reason |", "|---|-------|--------|-------------------|")
+COUNT_ROW = "| {} | {} | {} | {} |"
+SIDE_HEAD = "| Side | Count |"
+SIDE_RULE = "|------|-------|"
+SIDE_ROW = "| {} | {} |"
+CONCLUDED = "**Conclusion: {}**"
+COUNT_CONCLUDED = "> **{}**"
+DIFFERENCES_TITLE = "Differences:"
+DIFFERENCE_ITEM = "- {}"
+COMPLETED = "> Completed in {}s"
+FAILED = "> Failed after {}s"
+EXECUTION_TITLE = "## Execution Summary"
+EXECUTION_TABLES = "- Total tables: {}"
+EXECUTION_TIME = "- Comparison time: {}s"
 
+STAMP = "yyyy-MM-dd HH:mm:ss"
 
-def _text(*parts) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+def _text(template: str, *values: Column | str) -> Column:
+    """The template filled in; NULL where a value is NULL."""
+    fixed = [F.lit(part) for part in template.split("{}")]
+    parts = [fixed[0]]
+    for value, after in zip(values, fixed[1:], strict=True):
+        parts += [(F.lit(value) if isinstance(value, str) else value).cast("string"), after]
+    return F.concat(*parts)
+
+
+def _seconds(column: str) -> Column:
+    return F.format_string("%.1f", column)
 
 
 def _placed(df: DataFrame, section, line_no, block, pt, part, order, line) -> DataFrame:
@@ -48,102 +97,88 @@ def _paragraph(df: DataFrame, section, line_no, block, pt, part, lines: list[Col
     return _placed(exploded, section, line_no, block, pt, part, F.col("at"), F.col("text"))
 
 
-def _metric_head(labels) -> list[str]:
-    return [f"| Column | Type | Metric | {labels[0]} | {labels[1]} | Match |", METRIC_RULE]
+def _metric_head(labels: tuple[str, str]) -> list[Column]:
+    return [_text(METRIC_HEAD, *labels), F.lit(METRIC_RULE)]
 
 
-def _when_lines(condition: Column, lines: list) -> list[Column]:
-    return [F.when(condition, F.lit(x) if isinstance(x, str) else x) for x in lines]
+def _if(condition: Column, lines: list[Column | str]) -> list[Column]:
+    return [F.when(condition, F.lit(line) if isinstance(line, str) else line) for line in lines]
 
 
 def header_lines(runs: DataFrame) -> DataFrame:
     given = F.col("pt_start").isNotNull() | F.col("pt_end").isNotNull()
     bounds = _text(
-        "- Partition filter: from ", F.coalesce("pt_start", F.lit("first")),
-        " through ", F.coalesce("pt_end", F.lit("last")),
-    )
-    stamp = F.date_format("started", "yyyy-MM-dd HH:mm:ss")
-    return _paragraph(
-        runs, HEADER, 0, 0, None, 0,
-        [
-            F.lit(TITLE), F.lit(""), _text("- Generated: ", stamp),
-            _text("- Tables: ", F.col("n_tables").cast("string")),
-            _text("- Workers: ", F.col("workers").cast("string")),
-            F.when(given, bounds),
-            _text("- Metadata pre-fetch: ", F.format_string("%.1f", "prefetch_s"), "s"), F.lit(""),
-        ],
+        FILTERED, F.coalesce("pt_start", F.lit("first")), F.coalesce("pt_end", F.lit("last"))
     )
+    return _paragraph(runs, HEADER, 0, 0, None, 0, [
+        F.lit(TITLE), F.lit(""),
+        _text(GENERATED, F.date_format("started", STAMP)),
+        _text(N_TABLES, F.col("n_tables")), _text(N_WORKERS, F.col("workers")),
+        F.when(given, bounds), _text(PREFETCH, _seconds("prefetch_s")), F.lit(""),
+    ])
 
 
 def summary_lines(tables: DataFrame, reasons: DataFrame) -> DataFrame:
     """Failing tables with their reasons; a table whose reason is spread takes a row per cell."""
     some = F.col("n_failed") > 0
-    total = _text(
-        "Tables with differences: **", F.col("n_failed").cast("string"), "** / ",
-        F.col("n_tables").cast("string"),
-    )
+    total = _text(SUMMARY_COUNT, F.col("n_failed"), F.col("n_tables"))
     top = _paragraph(
         run_totals(tables), SUMMARY, 0, 0, None, TOP,
-        [F.lit("## Difference Summary"), F.lit("")]
-        + _when_lines(some, [total, "", *SUMMARY_HEAD])
-        + _when_lines(~some, [ALL_PASS]),
+        [F.lit(SUMMARY_TITLE), F.lit("")]
+        + _if(some, [total, "", SUMMARY_HEAD, SUMMARY_RULE])
+        + _if(~some, [ALL_PASS]),
     )
     cells = reasons.filter("spread").select("line_no", "from_pt", F.col("reason").alias("cell"))
     rows = failing_tables(tables, ("table_name", "line_no")).join(cells, "line_no", "left")
-    line = _text(
-        "| ", F.col("number").cast("string"), " | ", F.col("table_name"), " | FAIL | ",
-        F.translate(F.coalesce("reason", "cell", F.lit("Unknown")), "\r\n", "  "), " |",
-    )
+    reason = F.translate(F.coalesce("reason", "cell"), "\r\n", "  ")
     # Rows are placed by their number, which takes the place of the manifest line here.
-    return top.unionByName(
-        _placed(rows, SUMMARY, F.col("number"), 0, F.col("from_pt"), ROWS, 0, line)
-    )
+    return top.unionByName(_placed(
+        rows, SUMMARY, F.col("number"), 0, F.col("from_pt"), ROWS, 0,
+        _text(SUMMARY_ROW, F.col("number"), F.col("table_name"), F.coalesce(reason, F.lit("Unknown"))),
+    ))
 
 
 def table_lines(tables: DataFrame, labels: tuple[str, str]) -> DataFrame:
     """What surrounds the values of each table: preamble, heading, SQL, conclusion, time."""
     name, branch = F.col("table_name"), F.col("branch")
-    verdict = status_label(F.col("match"))
-    failed = branch == "error"
+    verdict, failed = status_label(F.col("match")), branch == "error"
     by_partition, whole = branch == "numeric_by_partition", branch == "numeric_global"
     counts, counts_by_partition = branch == "count_only_global", branch == "count_only_by_partition"
     numeric, counted = by_partition | whole, counts | counts_by_partition
-    seconds = F.format_string("%.1f", "elapsed_s")
 
-    def part(block, lines):
+    def part(block: int, lines: list[Column]) -> DataFrame:
         return _paragraph(tables, TABLES, F.col("line_no"), block, None, TOP, lines)
 
     preamble = part(PREAMBLE, [
-        F.lit(""), F.lit("---"), _text("## Table: `", name, "`"),
-        _text("- Partitioned: ", F.coalesce(_text("Yes (", F.col("partition_column"), ")"), F.lit("No"))),
-        _text("- Partition range: from ", F.col("pt_start"), " through ", F.col("pt_end")),
-        _text("- Started: ", F.date_format("started", "yyyy-MM-dd HH:mm:ss")), F.lit(""),
+        F.lit(""), F.lit(SEPARATOR), _text(TABLE_TITLE, name),
+        F.coalesce(_text(PARTITIONED_BY, F.col("partition_column")), F.lit(NOT_PARTITIONED)),
+        _text(TABLE_RANGE, F.col("pt_start"), F.col("pt_end")),
+        _text(STARTED, F.date_format("started", STAMP)), F.lit(""),
     ])
+    title = (
+        F.when(whole, _text(WHOLE_TITLE, name, verdict))
+        .when(by_partition, _text(BY_PARTITION_TITLE, name, verdict))
+        .when(counted, _text(COUNT_TITLE, name))
+        .when(failed, _text(ERROR_TITLE, name))
+        .otherwise(_text(EMPTY_TITLE, name))
+    )
     heading = part(
         HEADING,
-        [
-            F.when(whole, _text("### ", name, " — Aggregate Check: **", verdict, "**"))
-            .when(by_partition, _text("### ", name, " — Partitioned Aggregate Check: **", verdict, "**"))
-            .when(counted, _text("### ", name, " — Count Only (no numeric columns)"))
-            .when(failed, _text("### ERROR for `", name, "`"))
-            .otherwise(_text("### ", name, " — No partitions found")),
-            F.lit(""),
-        ]
-        + _when_lines(numeric | counted, ["**SQL:**", "```sql", F.col("sql"), "```", ""])
-        + _when_lines(whole, ["**Results:**", "", *_metric_head(labels)])
-        + _when_lines(counts_by_partition,
-                      [f"| pt | {labels[0]} Count | {labels[1]} Count | Match |", COUNT_RULE])
-        + _when_lines(counts, [*SIDE_HEAD])
-        + _when_lines(failed, ["```", F.col("error"), "```"]),
+        [title, F.lit("")]
+        + _if(numeric | counted, [SQL_TITLE, "```sql", F.col("sql"), "```", ""])
+        + _if(whole, [RESULTS_TITLE, "", *_metric_head(labels)])
+        + _if(counts_by_partition, [_text(COUNT_HEAD, *labels), COUNT_RULE])
+        + _if(counts, [SIDE_HEAD, SIDE_RULE])
+        + _if(failed, ["```", F.col("error"), "```"]),
     )
     conclusion = part(
         CONCLUSION,
-        _when_lines(numeric, ["", _text("**Conclusion: ", verdict, "**")])
-        + _when_lines(counted, ["", _text("> **", verdict, "**")])
-        + _when_lines(whole & ~F.col("match"), ["", "Differences:"]),
+        _if(numeric, ["", _text(CONCLUDED, verdict)])
+        + _if(counted, ["", _text(COUNT_CONCLUDED, verdict)])
+        + _if(whole & ~F.col("match"), ["", DIFFERENCES_TITLE]),
     )
-    ending = F.when(failed, _text("> Failed after ", seconds, "s")).otherwise(
-        _text("> Completed in ", seconds, "s")
+    ending = F.when(failed, _text(FAILED, _seconds("elapsed_s"))).otherwise(
+        _text(COMPLETED, _seconds("elapsed_s"))
     )
     closing = part(CLOSING, [F.lit(""), ending])
     return preamble.unionByName(heading).unionByName(conclusion).unionByName(closing)
@@ -155,23 +190,23 @@ def partition_lines(
     """Partition headings of numeric tables, and the counts of the others."""
     rows = partitions.join(tables.select("line_no", "branch"), "line_no")
     line_no, pt = F.col("line_no"), F.col("pt")
-    left, right = F.col("left_count").cast("string"), F.col("right_count").cast("string")
+    left, right = F.col("left_count"), F.col("right_count")
     numeric = rows.filter("branch = 'numeric_by_partition'")
     heading = _paragraph(numeric, TABLES, line_no, BODY, pt, TOP, [
-        F.lit(""), _text("#### Partition pt=", shown(pt), " — **", F.col("status"), "**"), F.lit(""),
-        *map(F.lit, _metric_head(labels)),
+        F.lit(""), _text(PARTITION_TITLE, shown(pt), F.col("status")), F.lit(""),
+        *_metric_head(labels),
     ])
     listed = _paragraph(
         numeric.filter("n_diffs > 0"), TABLES, line_no, BODY, pt, DIFFERENCES,
-        [F.lit(""), F.lit("Differences:")],
+        [F.lit(""), F.lit(DIFFERENCES_TITLE)],
     ).withColumn("ord", F.col("ord") - 2)  # ahead of the list, which starts at 0
     counts = _placed(
         rows.filter("branch = 'count_only_by_partition'"), TABLES, line_no, BODY, pt, ROWS, 0,
-        _text("| ", shown(pt), " | ", left, " | ", right, " | ", yes_no(F.col("match")), " |"),
+        _text(COUNT_ROW, shown(pt), left, right, yes_no(F.col("match"))),
     )
     sides = _paragraph(
         rows.filter("branch = 'count_only_global'"), TABLES, line_no, BODY, pt, ROWS,
-        [_text(f"| {labels[0]} | ", left, " |"), _text(f"| {labels[1]} | ", right, " |")],
+        [_text(SIDE_ROW, labels[0], left), _text(SIDE_ROW, labels[1], right)],
     )
     return heading.unionByName(listed).unionByName(counts).unionByName(sides)
 
@@ -182,11 +217,10 @@ def metric_lines(metrics: DataFrame, tables: DataFrame, labels: tuple[str, str])
         tables.filter("branch LIKE 'numeric%'").select("line_no"), "line_no"
     )
     row = _text(
-        "| ", F.col("column"), " | ", F.col("type"), " | ", F.col("metric"), " | ",
-        shown(F.col("left_value")), " | ", shown(F.col("right_value")), " | ",
-        yes_no(F.col("match")), " |",
+        METRIC_ROW, F.col("column"), F.col("type"), F.col("metric"), shown(F.col("left_value")),
+        shown(F.col("right_value")), yes_no(F.col("match")),
     )
-    item = _text("- ", difference_text(", ", labels))
+    item = _text(DIFFERENCE_ITEM, difference_text(", ", labels))
     line_no, pt, order = F.col("line_no"), F.col("pt"), F.col("ord")
     # Differences of a whole table are listed after its conclusion, those of a partition below it.
     block = F.when(F.col("partitioned"), BODY).otherwise(CONCLUSION)
@@ -199,9 +233,8 @@ def metric_lines(metrics: DataFrame, tables: DataFrame, labels: tuple[str, str])
 
 def execution_lines(runs: DataFrame) -> DataFrame:
     return _paragraph(runs, EXECUTION, 0, 0, None, 0, [
-        F.lit(""), F.lit("---"), F.lit("## Execution Summary"), F.lit(""),
-        _text("- Total tables: ", F.col("n_tables").cast("string")),
-        _text("- Comparison time: ", F.format_string("%.1f", "elapsed_s"), "s"),
+        F.lit(""), F.lit(SEPARATOR), F.lit(EXECUTION_TITLE), F.lit(""),
+        _text(EXECUTION_TABLES, F.col("n_tables")), _text(EXECUTION_TIME, _seconds("elapsed_s")),
     ])
 
 

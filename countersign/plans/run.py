@@ -69,8 +69,8 @@ def spec_from_metadata(entry: Row, left_format: str = "parquet") -> TableSpec:
     """
     if not entry.location:
         if entry.error:
-            raise LookupError(f"Pre-fetch failed: {entry.error}")
-        raise LookupError(f"No storage location found for table {entry.table_name}")
+            raise LookupError(f"metadata lookup failed: {entry.error}")
+        raise LookupError(f"no location known for {entry.table_name}")
     return TableSpec(
         entry.table_name,
         left=Stored(entry.location, left_format),
@@ -120,7 +120,8 @@ class _Runner:
         context = self.spark.sparkContext
         outcome = {
             "line_no": attempt.line_no, "table_name": name, "partitioned": False,
-            "partition_column": None, "branch": "error", "sql": None, "error": None, "started": None, "elapsed_s": 0.0,
+            "partition_column": None, "branch": "error", "sql": None, "error": None,
+            "started": datetime.now(), "elapsed_s": 0.0,
         }
         began = time.time()
         attempt.deadline = began + self.timeout_s
@@ -157,7 +158,6 @@ class _Runner:
         finally:
             attempt.deadline = None
             context.removeJobTag(attempt.tag)
-        outcome["started"] = datetime.fromtimestamp(began)
         outcome["elapsed_s"] = time.time() - began
         log.info("%s: %s", name, outcome["error"] or "compared")
         return outcome
@@ -192,9 +192,10 @@ def run(
     """Compare every table of the manifest and write the result tables below ``out``.
 
     A table is opened as its spec says, or else by what ``lookup`` tells about it (location
-    and partition columns): the left copy by location, the right one by name. Tables are compared by concurrent Spark jobs, each of which writes its
-    metrics to a folder of its own; the driver keeps names, times and error messages. A table
-    that fails or exceeds ``timeout_s`` is reported as ERROR and does not touch the others.
+    and partition columns): the left copy by location, the right one by name. Tables are
+    compared by concurrent Spark jobs, each of which writes its metrics to a folder of its
+    own; the driver keeps names, times and error messages. A table that fails or exceeds
+    ``timeout_s`` is reported as ERROR and does not touch the others.
     """
     began = time.time()
     run_id = f"r{uuid.uuid4().hex}"

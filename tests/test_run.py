@@ -45,7 +45,7 @@ def test_errors_stay_with_their_table(spark, tmp_path):
         "FAIL", "PASS", "ERROR", "ERROR", "ERROR", "ERROR", "PASS", "ERROR", "PASS"]
     assert rows[0].n_diffs == 9 and rows[0].partitions_compared == 2
     assert rows[6].branch == "no_partitions" and rows[6].partitions_compared == 0
-    assert rows[7].error == "No storage location found for table w.d.unknown"
+    assert rows[7].error == "no location known for w.d.unknown"
     assert "overflow" in rows[3].error.lower()
     assert all(r.reason == f"ERROR: {r.error}" for r in rows if r.status == "ERROR")
     totals = result.runs.first()
@@ -116,7 +116,7 @@ def test_copies_looked_up(spark, tmp_path):
     assert [(r.branch, r.status, r.n_diffs) for r in rows] == [
         ("numeric_by_partition", "FAIL", 9), ("numeric_global", "FAIL", rows[1].n_diffs), ("error", "ERROR", 0)]
     assert rows[1].n_diffs > 0
-    assert rows[2].error == "Pre-fetch failed: 404"
+    assert rows[2].error == "metadata lookup failed: 404"
     for name in ("run_keyed", "run_by_name"):
         drop_table(spark, name)
 
@@ -144,7 +144,7 @@ def test_report(spark, tmp_path):
     summary = [line for line in lines if line.startswith(("| 1 ", "| 2 ", "| 3 ", "| 4 ", "| 5 "))]
     assert [s.split(" | ")[1] for s in summary] == ["w.counted", "w.flat", "w.keyed", "w.unknown", "w.whole"]
     assert summary[0].endswith("| FAIL | pt=20250102: `*`.count: Left=3 vs Right=2 |")
-    assert summary[3].endswith("| FAIL | ERROR: No storage location found for table w.unknown |")
+    assert summary[3].endswith("| FAIL | ERROR: no location known for w.unknown |")
 
     def section(name):
         begin = lines.index(f"## Table: `{name}`")
