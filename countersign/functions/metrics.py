@@ -20,3 +20,8 @@ def aggregate_expressions(columns: Iterable[str]) -> list[str]:
             alias = quoted(metric_alias(column, metric))
             expressions.append(f"{metric}({quoted(column)}) AS {alias}")
     return expressions
+
+
+def profile_expression(columns: Iterable[str]) -> str:
+    """All aggregates as one struct, so that a wide table takes one expression to plan."""
+    return f"struct({', '.join(aggregate_expressions(columns))})"

@@ -5,21 +5,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def value_text(value: Column, dtype: T.DataType) -> Column:
-    """Readable text of a metric value.
+def value_text(value: str, dtype: T.DataType) -> str:
+    """SQL of the readable text of a metric value.
 
     Doubles from 1e-4 up to 1e16 are written in positional notation (``10000000.0``), where
     a plain cast gives ``1.0E7``; float values are widened to double first.
     """
     if not isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return value.cast("string")
-    double = value.cast("double")
-    plain = double.cast("string")
-    size = F.abs(double)
-    scientific = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
-    digits = F.regexp_replace(plain.try_cast("decimal(38,21)").cast("string"), "0+$", "")
-    positional = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
-    return F.when(scientific, positional).otherwise(plain)
+        return f"CAST({value} AS STRING)"
+    double = f"CAST({value} AS DOUBLE)"
+    plain, size = f"CAST({double} AS STRING)", f"abs({double})"
+    digits = f"regexp_replace(CAST(try_cast({plain} AS DECIMAL(38,21)) AS STRING), '0+$', '')"
+    return (
+        f"CASE WHEN ({size} >= 1e7D AND {size} < 1e16D) OR ({size} >= 1e-4D AND {size} < 1e-3D)"
+        f" THEN if(endswith({digits}, '.'), concat({digits}, '0'), {digits}) ELSE {plain} END"
+    )
 
 
 def status_label(match: Column) -> Column:

@@ -3,16 +3,15 @@
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from countersign.functions.equality import values_match
-from countersign.functions.metrics import COUNT, METRICS, metric_alias
+from countersign.functions.metrics import COUNT, METRICS, metric_alias, profile_expression
 from countersign.functions.names import literal, quoted
 from countersign.functions.text import value_text
 from countersign.operators.partitions import partition_range
-from countersign.operators.profile import profile
 from countersign.operators.schema import field_type, numeric_columns
 
 log = logging.getLogger(__name__)
@@ -36,7 +35,7 @@ def _check_key_types(left: DataFrame, right: DataFrame, column: str) -> None:
 def merge_profiles(
     left: DataFrame, right: DataFrame, columns: Sequence[str], by: str | None = None
 ) -> DataFrame:
-    """Profiles of both sides next to each other: ``pt, l, r``, one row per key of either side.
+    """Profiles of both sides next to each other: ``l, r`` and the key as ``pt``, a row per key.
 
     ``l`` and ``r`` are structs with each side's own types, NULL where the key is missing.
     Each side is aggregated on its own, with three aggregates per column and row; the two
@@ -44,23 +43,15 @@ def merge_profiles(
     carry profile rows only. NULL keys meet like any other key, which they would not do in
     an equi-join.
     """
-    sides = {"l": profile(left, columns, by), "r": profile(right, columns, by)}
-    key = F.col(quoted(by)) if by else F.lit(None).cast("string")
-    packed = {}
-    for side, df in sides.items():
-        fields = df.columns[1:] if by else df.columns
-        packed[side] = df.select(
-            key.alias("pt"), F.expr(f"struct({', '.join(map(quoted, fields))})").alias(side)
-        )
-    types = {side: df.schema[side].dataType for side, df in packed.items()}
-    united = (
-        packed["l"].withColumn("r", F.lit(None).cast(types["r"]))
-        .unionByName(packed["r"].withColumn("l", F.lit(None).cast(types["l"])))
-    )
+    def packed(df: DataFrame, side: str) -> DataFrame:
+        fingerprint = F.expr(profile_expression(columns)).alias(side)
+        if by:
+            return df.groupBy(F.col(quoted(by)).alias("pt")).agg(fingerprint)
+        return df.agg(fingerprint)
+
+    united = packed(left, "l").unionByName(packed(right, "r"), allowMissingColumns=True)
     # Each key has at most one profile per side, so max only picks the one that is there.
-    grouped = united.groupBy("pt") if by else united.groupBy()
-    merged = grouped.agg(F.max("l").alias("l"), F.max("r").alias("r"))
-    return merged if by else merged.withColumn("pt", F.lit(None).cast("string"))
+    return united.groupBy(*["pt"] if by else []).agg(F.max("l").alias("l"), F.max("r").alias("r"))
 
 
 def _widest(dtype: T.DataType) -> T.DataType:
@@ -103,52 +94,30 @@ def metric_rows(
     the single difference ``partition`` (MISSING/EXISTS), and its other rows are only listed;
     a count-only table has the difference ``count`` against 0.
     """
-    in_left, in_right = F.col("l").isNotNull(), F.col("r").isNotNull()
-    on_both = in_left & in_right
     presence_counts = partitioned and bool(columns)
-
-    def row(order, column, label, metric, left_value, right_value, match, diff) -> Column:
-        return F.struct(
-            order.alias("ord"), column.alias("column"), label.alias("type"),
-            metric.alias("metric"), left_value.alias("left_value"),
-            right_value.alias("right_value"), match.alias("match"), diff.alias("diff"),
+    on_both = "(l IS NOT NULL AND r IS NOT NULL)"
+
+    def row(order, column, label, metric, left_value, right_value, match, counts=True) -> str:
+        diff = f"NOT {match} AND {on_both}" if presence_counts and counts else f"NOT {match}"
+        return (
+            f"named_struct('ord', {order}, 'column', {column}, 'type', {label}, "
+            f"'metric', {metric}, 'left_value', {left_value}, 'right_value', {right_value}, "
+            f"'match', {match}, 'diff', {diff})"
         )
 
-    def whole_row(order, metric, left_value, right_value, match, diff) -> Column:
-        return row(F.lit(order), F.lit("*"), F.lit("-"), F.lit(metric), left_value, right_value,
-                   match, diff)
-
-    def presence(side: Column) -> Column:
-        return F.when(side, "EXISTS").otherwise("MISSING")
-
-    def counts_as_diff(match: Column) -> Column:
-        return ~match & on_both if presence_counts else ~match
-
-    def rule(left_type: T.DataType, right_type: T.DataType, is_sum: bool):
-        def compared(entry: Column) -> Column:
-            label, left, right = entry["0"], entry["1"], entry["2"]
-            match = values_match(
-                left, right, left_type, right_type,
-                nan_equal=nan_equal, rel_tol=rel_tol if is_sum else None,
-            )
-            return row(
-                label["ord"], label["column"], label["type"], label["metric"],
-                value_text(left, left_type), value_text(right, right_type),
-                match, counts_as_diff(match),
-            )
-        return compared
-
-    left_count = F.coalesce(F.col(f"l.{COUNT}"), F.lit(0).cast("bigint"))
-    right_count = F.coalesce(F.col(f"r.{COUNT}"), F.lit(0).cast("bigint"))
-    same_count = left_count == right_count
-    listings = [
-        F.array(whole_row(1, "count", left_count.cast("string"), right_count.cast("string"),
-                          same_count, counts_as_diff(same_count)))
-    ]
+    left_count, right_count = f"coalesce(l.{COUNT}, 0L)", f"coalesce(r.{COUNT}, 0L)"
+    count_row = row(
+        1, "'*'", "'-'", "'count'", f"CAST({left_count} AS STRING)",
+        f"CAST({right_count} AS STRING)", f"({left_count} = {right_count})",
+    )
+    listings = [f"array({count_row})"]
     if presence_counts:
-        one_sided = whole_row(0, "partition", presence(in_left), presence(in_right),
-                              F.lit(False), F.lit(True))
-        listings.insert(0, F.when(~on_both, F.array(one_sided)).otherwise(F.array()))
+        present = "if({} IS NULL, 'MISSING', 'EXISTS')"
+        one_sided = row(
+            0, "'*'", "'-'", "'partition'", present.format("l"), present.format("r"), "false",
+            counts=False,
+        )
+        listings.append(f"if({on_both}, array(), array({one_sided}))")
 
     for (left_type, right_type, is_sum), members in _by_type(merged, columns).items():
         labels = ", ".join(
@@ -156,25 +125,30 @@ def metric_rows(
             f"'metric', {literal(metric)})"
             for order, column, label, metric in members
         )
-        values = {
-            side: ", ".join(
+        lefts, rights = (
+            ", ".join(
                 f"CAST({side}.{quoted(metric_alias(column, metric))} AS {dtype.simpleString()})"
                 for _, column, _, metric in members
             )
             for side, dtype in (("l", left_type), ("r", right_type))
-        }
-
-        zipped = F.arrays_zip(
-            F.expr(f"array({labels})"), F.expr(f"array({values['l']})"),
-            F.expr(f"array({values['r']})"),
         )
-        listings.append(F.transform(zipped, rule(left_type, right_type, is_sum)))
-
-    return merged.select(
-        F.lit(table_name).alias("table_name"),
-        F.lit(partitioned).alias("partitioned"),
-        F.col("pt").cast("string").alias("pt"),
-        F.inline(F.concat(*listings)),
+        label, left, right = "entry.`0`", "entry.`1`", "entry.`2`"
+        match = values_match(
+            left, right, left_type, right_type,
+            nan_equal=nan_equal, rel_tol=rel_tol if is_sum else None,
+        )
+        compared = row(
+            f"{label}.ord", f"{label}.column", f"{label}.type", f"{label}.metric",
+            value_text(left, left_type), value_text(right, right_type), match,
+        )
+        zipped = f"arrays_zip(array({labels}), array({lefts}), array({rights}))"
+        listings.append(f"transform({zipped}, entry -> {compared})")
+
+    return merged.selectExpr(
+        f"{literal(table_name)} AS table_name",
+        f"{str(partitioned).lower()} AS partitioned",
+        "CAST(pt AS STRING) AS pt" if partitioned else "CAST(NULL AS STRING) AS pt",
+        f"inline(concat({', '.join(listings)}))",
     )
 
 

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countersign.functions.metrics import aggregate_expressions
+from countersign.functions.metrics import profile_expression
 from countersign.functions.names import quoted
 from countersign.operators.schema import numeric_columns
 
@@ -25,7 +25,8 @@ def profile(
     if columns is None:
         columns = [name for name, _ in numeric_columns(df)]
     keys = [quoted(by)] if by else []
-    result = df.groupBy(*keys).agg(*map(F.expr, aggregate_expressions(columns)))
+    packed = df.groupBy(*keys).agg(F.expr(profile_expression(columns)).alias("profile"))
+    result = packed.select(*keys, "profile.*")
     return result.orderBy(F.col(keys[0]).asc_nulls_first()) if by and ordered else result
 
 

@@ -5,8 +5,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from countersign.functions.names import quoted
-
 PARTITION_COLUMN = "pt"
 
 
@@ -29,4 +27,11 @@ def is_partitioned(partition_columns: Iterable[str], name: str = PARTITION_COLUM
 
 
 def field_type(df: DataFrame, column: str) -> T.DataType:
-    return df.select(quoted(column)).schema[0].dataType
+    """Type of a top-level column, whose name may differ in case as in Spark."""
+    names = [f.name for f in df.schema.fields]
+    if column not in names:
+        names = [name.lower() for name in names]
+        column = column.lower()
+    if column not in names:
+        raise ValueError(f"no column {column} among {', '.join(df.columns)}")
+    return df.schema.fields[names.index(column)].dataType
