@@ -78,6 +78,19 @@ def _by_type(merged: DataFrame, columns: Sequence[tuple[str, str]]) -> dict:
     return groups
 
 
+def _value(side: str, column: str, metric: str, dtype: T.DataType) -> str:
+    """A metric of one side. A decimal sum that is NULL next to a maximum has overflowed.
+
+    In ANSI mode Spark raises that error itself; outside it, two NULL sums would pass as equal.
+    """
+    value = f"{side}.{quoted(metric_alias(column, metric))}"
+    if metric != "sum" or not isinstance(dtype, T.DecimalType):
+        return value
+    highest = f"{side}.{quoted(metric_alias(column, 'max'))}"
+    message = literal(f"the sum of {column} overflows")
+    return f"if({value} IS NULL AND {highest} IS NOT NULL, raise_error({message}), {value})"
+
+
 def metric_rows(
     merged: DataFrame,
     columns: Sequence[tuple[str, str]],
@@ -127,7 +140,7 @@ def metric_rows(
         )
         lefts, rights = (
             ", ".join(
-                f"CAST({side}.{quoted(metric_alias(column, metric))} AS {dtype.simpleString()})"
+                f"CAST({_value(side, column, metric, dtype)} AS {dtype.simpleString()})"
                 for _, column, _, metric in members
             )
             for side, dtype in (("l", left_type), ("r", right_type))
@@ -171,7 +184,7 @@ def compare(
     narrowed to ``start``..``end`` where given; without one the bounds do not apply.
     """
     if left.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
-        log.warning("spark.sql.ansi.enabled is off: sums that overflow will not raise an error")
+        log.warning("spark.sql.ansi.enabled is off: sums of integers that overflow will wrap around")
     columns = numeric_columns(left)
     if partition_column:
         _check_key_types(left, right, partition_column)

@@ -151,6 +151,19 @@ def test_overflow_is_an_error(spark):
         cs.compare(df, df, table_name="t").collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_decimal_overflow_is_an_error_in_either_mode(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.sql("SELECT CAST(repeat('9', 38) AS DECIMAL(38,0)) AS a FROM range(20)")
+        with pytest.raises(Exception, match="(?i)overflow"):
+            cs.compare(df, df, table_name="t").collect()
+        empty = cs.compare(df.filter("a < 0"), df.filter("a < 0"), table_name="t")
+        assert cs.differences(empty).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_layout_and_order_change_nothing(spark):
     df = spark.read.parquet(f"{DATA}/lineitem.parquet").select(
         "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
