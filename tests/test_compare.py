@@ -145,6 +145,26 @@ def test_awkward_names(spark):
     assert spark.sql(text).collect() == cs.profile(df, by="p.t").collect()
 
 
+def test_key_of_another_name_next_to_a_number_called_pt(spark):
+    df = spark.createDataFrame([(5, "a"), (7, "a"), (9, "b")], "pt int, dt string")
+    for key in ("dt", "DT"):
+        metrics = cs.compare(df, df.filter("pt <> 7"), table_name="t", partition_column=key)
+        assert listed(cs.differences(metrics), "pt", "column", "metric", "left_value", "right_value") == [
+            ("a", "*", "count", "2", "1"), ("a", "pt", "sum", "12", "5"), ("a", "pt", "max", "7", "5")]
+    with pytest.raises(ValueError, match="no column day among pt, dt"):
+        cs.compare(df, df, table_name="t", partition_column="day")
+
+
+def test_right_column_that_is_no_number(spark):
+    left = spark.createDataFrame([(1,), (2,)], "a int")
+    right = spark.createDataFrame([("1",), ("2",)], "a string")
+    # Spark sums numeric text as double; as maximum and minimum a text never equals a number.
+    metrics = cs.compare(left, right, table_name="t")
+    assert listed(cs.differences(metrics), "metric") == [("max",), ("min",)]
+    with pytest.raises(AnalysisException):
+        cs.compare(left, right.select((F.col("a") == "1").alias("a")), table_name="t")
+
+
 def test_overflow_is_an_error(spark):
     df = spark.createDataFrame([(2**63 - 1,), (1,)], "a bigint")
     with pytest.raises(Exception, match="(?i)overflow"):

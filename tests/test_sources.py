@@ -32,6 +32,18 @@ def test_directory_keys_stay_text(spark, tmp_path):
     assert sorted(r.pt for r in given.collect()) == ["0101", "0102"]
 
 
+def test_directory_keys_keep_null_and_odd_characters(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(1, None), (2, "01"), (3, "2025-01-01 00:00:00")]
+    spark.createDataFrame(rows, "v int, pt string").write.partitionBy("pt").parquet(path)
+    opened = open_side(spark, cs.Stored(path), "pt")
+    assert sorted((tuple(r) for r in opened.collect()), key=str) == rows
+    numbers = str(tmp_path / "n")
+    spark.createDataFrame([(1, None), (2, "01")], "v int, pt string").write.partitionBy("pt").parquet(numbers)
+    opened = open_side(spark, cs.Stored(numbers), "pt")
+    assert sorted((tuple(r) for r in opened.collect()), key=str) == [(1, None), (2, "01")]
+
+
 def test_a_key_inside_the_files_keeps_its_type(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([(1, 20250101)], "v int, pt int").write.parquet(path)
@@ -90,6 +102,19 @@ def test_work_folder_lies_in_the_shared_one(spark):
     assert first.startswith(shared) and first != second
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    def session(master, setting=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(
+            sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: setting or default))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(session("yarn"), "run")
+    assert work_folder(session("yarn", "hdfs://shared/"), "run").startswith("hdfs://shared/run-")
+
+
 def test_check_sql_runs_and_agrees_with_the_profile(spark):
     left, _ = fx.keyed(spark)
     left.createOrReplaceTempView("keyed_left")
