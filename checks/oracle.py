@@ -244,7 +244,7 @@ def oracle_sql() -> dict[str, str]:
         "partition_status": PARTITIONS.format(metrics=metrics(LINEITEM)),
         "table_status": verdicts,
         "failing_tables": f"""
-            SELECT table_name, status, row_number() OVER (ORDER BY table_name) AS number
+            SELECT table_name, status, CAST(row_number() OVER (ORDER BY table_name) AS INTEGER) AS number
             FROM ({verdicts}) AS v WHERE NOT match""",
         "reasons": reasons(metrics(EVENTS), spread=False),
         "reasons_spread": reasons(metrics(LINEITEM), spread=True),

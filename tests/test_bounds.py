@@ -1,5 +1,7 @@
 """Partition bounds."""
 
+import random
+
 import pytest
 from pyspark.sql import types as T
 
@@ -81,3 +83,29 @@ def test_keys_of_both_sides(spark):
     right = spark.createDataFrame([("a",), ("b",), (None,)], "pt string")
     keys = [r.pt for r in cs.partition_keys(left, right).collect()]
     assert sorted(keys, key=str) == [None, "a", "b"]
+
+
+def test_random_ranges_against_plain_python(spark):
+    """Digits of the end's width or more are inside up to the end and its continuations."""
+    chance = random.Random(7)
+    digits = ["".join(chance.choice("0189") for _ in range(chance.randint(1, 5))) for _ in range(300)]
+    words = ["".join(chance.choice("ab-") for _ in range(chance.randint(1, 4))) for _ in range(100)]
+    keys = sorted({*digits, *words})
+    ranges = [(chance.choice(digits), chance.choice(digits)) for _ in range(40)]
+    ranges += [(chance.choice(words), chance.choice(words)) for _ in range(20)]
+
+    def inside(key, start, end):
+        following = exclusive_end(end)
+        upper = key < following if following else key <= end or key.startswith(end)
+        return key >= start and upper
+
+    df = spark.createDataFrame([(k,) for k in keys], "pt string")
+    flags = [
+        f"({range_condition('pt', T.StringType(), start, end)}) AS r{i}"
+        for i, (start, end) in enumerate(ranges)
+    ]
+    for row in df.selectExpr("pt", *flags).collect():
+        for i, (start, end) in enumerate(ranges):
+            assert row[f"r{i}"] is inside(row.pt, start, end), (row.pt, start, end)
+            if row.pt.isdigit() and end.isdigit() and row.pt >= start and len(row.pt) >= len(end):
+                assert row[f"r{i}"] is (row.pt <= end or row.pt.startswith(end)), (row.pt, start, end)
