@@ -10,15 +10,19 @@ from countersign.functions.names import quoted_table
 
 Lookup = Callable[[SparkSession, str], tuple[str, list[str]]]
 
+DETAILS = "# Detailed Table Information"
 METADATA_SCHEMA = "table_name string, location string, partition_cols array<string>, error string"
 
 
 def table_metadata(spark: SparkSession, name: str) -> tuple[str, list[str]]:
     """Storage location and partition columns of a catalog table."""
     partition_cols = [c.name for c in spark.catalog.listColumns(quoted_table(name)) if c.isPartition]
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_table(name)}")
-    found = described.filter("col_name = 'Location'").select("data_type").take(1)
-    return (found[0][0] if found else ""), partition_cols
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_table(name)}").collect()
+    titles = [row.col_name for row in described]
+    # Columns come first, and one of them may be called Location too.
+    details = described[titles.index(DETAILS):] if DETAILS in titles else []
+    location = next((row.data_type for row in details if row.col_name == "Location"), "")
+    return location, partition_cols
 
 
 def prefetch_metadata(

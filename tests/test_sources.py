@@ -74,6 +74,15 @@ def test_copies_by_path_and_by_name(spark, tmp_path, format):
     assert not spark.catalog.tableExists(name)
 
 
+def test_location_of_a_table_with_a_column_of_that_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("here", 1, "a", "b")], "Location string, v int, pt string, dt string")
+    df.write.mode("overwrite").partitionBy("pt", "dt").option("path", path).saveAsTable("located")
+    location, partition_cols = cs.table_metadata(spark, "located")
+    assert location.endswith(path) and partition_cols == ["pt", "dt"]
+    drop_table(spark, "located")
+
+
 def test_metadata_failures_stay_with_their_table(spark):
     def lookup(session, name):
         if name == "bad":
