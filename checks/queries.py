@@ -205,7 +205,7 @@ def scan_roundtrip(spark, sf_dir):
     left.write.partitionBy("pt").parquet(f"{folder}/left")
     spec = cs.TableSpec("orders_by_pt", cs.Stored(f"{folder}/left"), name, "pt")
     return cs.compare(
-        open_side(spark, spec.left, "pt"), open_side(spark, spec.right, "pt"),
+        open_side(spark, spec.left), open_side(spark, spec.right),
         table_name=spec.table_name, partition_column="pt",
     )
 

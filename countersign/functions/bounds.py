@@ -24,8 +24,9 @@ def range_condition(
 
     A string key counts as inside when it starts with the end, so that the hourly key
     ``2026052223`` belongs to the day ``20260522``. ``pt < end + 1`` says that for keys of the
-    end's width or more; where the end cannot be counted up, the prefix is tested. A missing bound does not filter on its side. NULL keys
-    are dropped as soon as there is any bound. All forms are pruned as partition filters.
+    end's width or more; where the end cannot be counted up, the prefix is tested. A missing
+    bound does not filter on its side. NULL keys are dropped as soon as there is any bound.
+    All forms are pruned as partition filters.
     """
     key = quoted(column)
     conditions = []

@@ -134,8 +134,8 @@ class _Runner:
                 raise spec
             key = spec.partition_column
             outcome.update(partitioned=key is not None, partition_column=key)
-            left = open_side(self.spark, spec.left, key)
-            right = open_side(self.spark, spec.right, key)
+            left = open_side(self.spark, spec.left)
+            right = open_side(self.spark, spec.right)
             columns = [column for column, _ in numeric_columns(left)]
             outcome["sql"] = check_sql(
                 name, columns, key, self.start, self.end,

@@ -2,10 +2,12 @@
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 # Formats whose partition values are only text in directory names, so that Spark guesses a type.
 DIRECTORY_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro")
 
@@ -36,40 +38,38 @@ class TableSpec:
     partition_column: str | None = None
 
 
-def open_side(spark: SparkSession, side: Side, partition_column: str | None = None) -> DataFrame:
+def open_side(spark: SparkSession, side: Side) -> DataFrame:
     if isinstance(side, DataFrame):
         return side
-    if isinstance(side, Stored):
-        return open_path(spark, side, partition_column)
-    return spark.table(side)
+    return open_path(spark, side) if isinstance(side, Stored) else spark.table(side)
 
 
-def open_path(
-    spark: SparkSession, stored: Stored, partition_column: str | None = None
-) -> DataFrame:
-    """Open by format and path, keeping a partition key from directory names as text.
+def open_path(spark: SparkSession, stored: Stored) -> DataFrame:
+    """Open by format and path, keeping partition keys from directory names as text.
 
     Spark would read ``pt=20250101`` as an integer: leading zeros would be lost and the key
-    would count as a numeric column.
+    would count as a numeric column. With that inference switched off in the session, or a
+    schema given, the files are listed once; otherwise a second time where a key was guessed.
     """
     reader = spark.read.format(stored.format).options(**stored.options)
     if stored.schema is not None:
         return reader.schema(stored.schema).load(stored.path)
     df = reader.load(stored.path)
-    if not partition_column or stored.format.lower() not in DIRECTORY_FORMATS:
+    if stored.format.lower() not in DIRECTORY_FORMATS or spark.conf.get(INFERENCE) != "true":
         return df
-    kept = T.StructType(
+    keys = _directory_keys(df)
+    as_text = T.StructType(
         [
-            T.StructField(f.name, T.StringType(), f.nullable) if f.name == partition_column else f
+            T.StructField(f.name, T.StringType(), f.nullable) if f.name in keys else f
             for f in df.schema.fields
         ]
     )
-    if kept != df.schema and _is_directory_key(df, partition_column):
-        df = spark.read.format(stored.format).options(**stored.options).schema(kept).load(stored.path)
-    return df
+    return df if as_text == df.schema else reader.schema(as_text).load(stored.path)
 
 
-def _is_directory_key(df: DataFrame, column: str) -> bool:
-    """Whether the column comes from directory names: then it is in the path of any file."""
+def _directory_keys(df: DataFrame) -> set[str]:
+    """Columns that come from directory names: those are in the path of any file."""
     first = df.select("_metadata.file_path").take(1)
-    return bool(first) and f"/{column}=" in first[0][0]
+    folders = first[0][0].split("/")[:-1] if first else []
+    names = {unquote(folder.split("=")[0]) for folder in folders if "=" in folder}
+    return names & set(df.columns)

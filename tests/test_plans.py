@@ -47,7 +47,7 @@ def test_range_prunes_partitions(spark, tmp_path, start, end):
     left.write.partitionBy("pt").parquet(path)
     from countersign.sources.tables import open_side
 
-    df = open_side(spark, cs.Stored(path), "pt")
+    df = open_side(spark, cs.Stored(path))
     text = plan(cs.compare(df, df, table_name="t", partition_column="pt", start=start, end=end))
     filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", text)
     assert filters and all("pt" in f for f in filters)

@@ -25,10 +25,10 @@ def test_directory_keys_stay_text(spark, tmp_path):
     path = str(tmp_path / "t")
     df.write.partitionBy("pt").parquet(path)
     assert dict(spark.read.parquet(path).dtypes)["pt"] == "int"
-    opened = open_side(spark, cs.Stored(path), "pt")
+    opened = open_side(spark, cs.Stored(path))
     assert dict(opened.dtypes)["pt"] == "string"
     assert sorted(r.pt for r in opened.collect()) == ["0101", "0102"]
-    given = open_side(spark, cs.Stored(path, schema="v int, pt string"), "pt")
+    given = open_side(spark, cs.Stored(path, schema="v int, pt string"))
     assert sorted(r.pt for r in given.collect()) == ["0101", "0102"]
 
 
@@ -36,18 +36,34 @@ def test_directory_keys_keep_null_and_odd_characters(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = [(1, None), (2, "01"), (3, "2025-01-01 00:00:00")]
     spark.createDataFrame(rows, "v int, pt string").write.partitionBy("pt").parquet(path)
-    opened = open_side(spark, cs.Stored(path), "pt")
+    opened = open_side(spark, cs.Stored(path))
     assert sorted((tuple(r) for r in opened.collect()), key=str) == rows
     numbers = str(tmp_path / "n")
     spark.createDataFrame([(1, None), (2, "01")], "v int, pt string").write.partitionBy("pt").parquet(numbers)
-    opened = open_side(spark, cs.Stored(numbers), "pt")
+    opened = open_side(spark, cs.Stored(numbers))
     assert sorted((tuple(r) for r in opened.collect()), key=str) == [(1, None), (2, "01")]
 
 
+def test_all_directory_keys_stay_text_with_and_without_inference(spark, tmp_path):
+    """Also those the comparison does not group by: they would count as numbers."""
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "07", "eu", "2025-01-01")], "v int, dt string, `re gion` string, day string")
+    df.write.partitionBy("dt", "re gion", "day").parquet(path)
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    for inference in ("true", "false"):
+        spark.conf.set(setting, inference)
+        try:
+            opened = open_side(spark, cs.Stored(path))
+            assert cs.numeric_columns(opened) == [("v", "int")]
+            assert tuple(opened.select("v", "dt", "re gion", "day").first()) == (1, "07", "eu", "2025-01-01")
+        finally:
+            spark.conf.unset(setting)
+
+
 def test_a_key_inside_the_files_keeps_its_type(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([(1, 20250101)], "v int, pt int").write.parquet(path)
-    opened = open_side(spark, cs.Stored(path), "pt")
+    opened = open_side(spark, cs.Stored(path))
     assert [tuple(r) for r in opened.collect()] == [(1, 20250101)]
 
 
@@ -66,7 +82,7 @@ def test_copies_by_path_and_by_name(spark, tmp_path, format):
     assert meta.partition_cols == ["pt"] and meta.location and meta.error is None
     spec = cs.TableSpec(name, cs.Stored(path, format), name, "pt")
     metrics = cs.compare(
-        open_side(spark, spec.left, "pt"), open_side(spark, spec.right, "pt"),
+        open_side(spark, spec.left), open_side(spark, spec.right),
         table_name=name, partition_column="pt")
     assert {pt: set(d) for pt, d in fx.diffs_of(metrics).items()} == {
         pt: set(d) for pt, d in fx.KEYED_DIFFS.items()}
