@@ -22,16 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in sql}
-    return spark.sql(sql, **used)
-
-
 def sides(spark: SparkSession, sf_dir: str, pair: Pair) -> tuple[DataFrame, DataFrame]:
-    return (
-        derived(spark, sf_dir, pair.left),
-        derived(spark, sf_dir, pair.right),
-    )
+    both = pair.left + pair.right
+    used = {name: table(spark, sf_dir, name) for name in TABLES if "{" + name + "}" in both}
+    return spark.sql(pair.left, **used), spark.sql(pair.right, **used)
 
 
 def compared(spark: SparkSession, sf_dir: str, pair: Pair, **options) -> DataFrame:
@@ -222,7 +216,7 @@ def multi_table_run(spark, sf_dir):
     left, right = sides(spark, sf_dir, ORDERS)
     specs["broken"] = cs.TableSpec("broken", left, right.drop("o_totalprice"))
     listed = spark.createDataFrame([(n,) for n in [*specs, "unknown"]], "table_name string")
-    result = cs.run(spark, listed, specs, workers=4)
+    result = cs.run(spark, listed, specs, workers=8)
     return result.tables.select(
         "table_name", "status", "match", "partitions_compared", "n_diffs",
         F.col("error").isNotNull().alias("has_error"),

@@ -221,7 +221,10 @@ def run(
         except BaseException:  # an interrupted run leaves no jobs behind
             pool.shutdown(wait=False, cancel_futures=True)
             for attempt in attempts:
-                spark.sparkContext.cancelJobsWithTag(attempt.tag)
+                attempt.deadline = 0.0 if attempt.deadline is not None else None
+            while not all(future.done() for future in pending):
+                _stop_late(spark, attempts)
+                time.sleep(POLL_S)
             raise
 
     written = [runner.table_folder(o["line_no"]) for o in outcomes if o["error"] is None]

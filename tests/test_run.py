@@ -93,6 +93,26 @@ def test_several_late_tables_are_stopped_each_and_others_finish(spark):
     assert all(rows[n].n_diffs == 6 for n in rows if n.startswith("quick"))
 
 
+def test_an_interrupted_run_leaves_no_jobs_behind(spark):
+    import _thread
+    import threading
+
+    import pytest
+
+    specs = {f"slow{i}": cs.TableSpec(f"slow{i}", slow(spark, 60), slow(spark, 60)) for i in range(3)}
+    manifest = names(spark, specs)
+    began = time.time()
+    timer = threading.Timer(5, _thread.interrupt_main)
+    timer.start()
+    with pytest.raises(KeyboardInterrupt):
+        cs.run(spark, manifest, specs, workers=2)
+    assert time.time() - began < 30
+    deadline = time.time() + 10
+    while spark.sparkContext.statusTracker().getActiveJobsIds() and time.time() < deadline:
+        time.sleep(0.2)
+    assert spark.sparkContext.statusTracker().getActiveJobsIds() == []
+
+
 def test_empty_manifest(spark):
     result = cs.run(spark, names(spark, ["x"]).limit(0), {})
     assert result.tables.count() == 0 and tuple(result.runs.first())[:2] == (0, 0)
