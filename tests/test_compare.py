@@ -136,9 +136,9 @@ def test_integral_keys_of_different_width_meet(spark):
 
 
 def test_awkward_names(spark):
-    df = spark.createDataFrame([(1, 2, 3, "k")], "`a.b` int, `c d` int, `e``f` int, `p.t` string")
+    df = spark.createDataFrame([(1, 2, 3, 4, "k")], "`a.b` int, `c d` int, `e``f` int, `g'h\\\\` int, `p.t` string")
     metrics = cs.compare(df, df, table_name="t", partition_column="p.t", start="k", end="k")
-    assert [c for c, in listed(metrics, "column")] == ["*"] + ["a.b"] * 3 + ["c d"] * 3 + ["e`f"] * 3
+    assert [c for c, in listed(metrics, "column")] == ["*"] + ["a.b"] * 3 + ["c d"] * 3 + ["e`f"] * 3 + ["g'h\\\\"] * 3
     assert all(m for m, in listed(metrics, "match"))
     df.createOrReplaceTempView("awkward")
     text = cs.check_sql("awkward", [n for n, _ in cs.numeric_columns(df)], "p.t", "k", "k")
