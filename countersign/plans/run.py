@@ -22,9 +22,7 @@ from countersign.operators.schema import (
     PARTITION_COLUMN, field_type, is_partitioned, numeric_columns,
 )
 from countersign.operators.sqltext import check_sql
-from countersign.sources.catalog import (
-    Lookup, attach_metadata, prefetch_metadata, table_metadata,
-)
+from countersign.sources.catalog import Lookup, attach_metadata, prefetch_metadata
 from countersign.sources.storage import work_folder
 from countersign.sources.tables import Stored, TableSpec, open_side
 
@@ -67,8 +65,9 @@ def spec_from_metadata(entry: Row, left_format: str = "parquet") -> TableSpec:
 
     Only a partition column named ``pt`` makes the comparison run per partition.
     """
-    if not entry.location:
-        if entry.error:
+    known = entry.asDict()
+    if not known.get("location"):
+        if known.get("error"):
             raise LookupError(f"metadata lookup failed: {entry.error}")
         raise LookupError(f"no location known for {entry.table_name}")
     return TableSpec(
@@ -90,16 +89,19 @@ def _entries(
     """The manifest on the driver: names and how to open them, no table data."""
     if "line_no" not in manifest.columns:
         manifest = manifest.withColumn("line_no", F.monotonically_increasing_id())
-    names = [row.table_name for row in manifest.select("table_name").collect()]
-    metadata = prefetch_metadata(
-        spark, [n for n in names if lookup and n not in specs], lookup or table_metadata, workers
-    )
+    manifest = manifest.select("line_no", "table_name")
+    if lookup:
+        names = [row.table_name for row in manifest.select("table_name").collect()]
+        unspecified = [name for name in names if name not in specs]
+        manifest = attach_metadata(manifest, prefetch_metadata(spark, unspecified, lookup, workers))
     entries: list[tuple[str, TableSpec | Exception]] = []
-    for entry in sorted(attach_metadata(manifest, metadata).collect(), key=lambda e: e.line_no):
-        try:
-            spec = specs.get(entry.table_name) or spec_from_metadata(entry, left_format)
-        except LookupError as problem:
-            spec = problem
+    for entry in sorted(manifest.collect(), key=lambda e: e.line_no):
+        spec: TableSpec | Exception | None = specs.get(entry.table_name)
+        if spec is None:
+            try:
+                spec = spec_from_metadata(entry, left_format)
+            except LookupError as problem:
+                spec = problem
         entries.append((entry.table_name, spec))
     return entries
 
