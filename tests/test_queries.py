@@ -3,14 +3,16 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle, queries
 from compare_engines import problem
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracle.oracle_sql()
 
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert entry.queries().keys() >= QUERIES.keys() and entry.oracle_sql().keys() >= ORACLES.keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
