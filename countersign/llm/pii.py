@@ -25,8 +25,6 @@ an empty table gives no row; repeated rows are treated alike; all other columns
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countersign.llm.shared import let
-
 ROUNDS = 8
 EPOCH, DAY_RANGES = "1900-01-01", (17, 4297)  # 73,049 days: 1900-01-01 to 2099-12-31
 
@@ -60,58 +58,28 @@ def feistel(symbols: Column, ranges: Column, key: Column) -> Column:
 
         return F.transform(own, one)
 
-    def turns(parts: Column) -> Column:
-        def turn(state: Column, n: Column) -> Column:
-            left, right = state["left"], state["right"]
-            return F.struct(
-                F.when(n % 2 == 0, left).otherwise(shifted(left, parts["lower"], right, n)).alias("left"),
-                F.when(n % 2 == 1, right).otherwise(shifted(right, parts["upper"], left, n)).alias("right"),
-            )
-
-        start = F.struct(parts["left"].alias("left"), parts["right"].alias("right"))
-        return F.aggregate(
-            F.lit(list(range(ROUNDS))), start, turn, lambda s: F.concat(s["left"], s["right"])
+    def turn(state: Column, n: Column) -> Column:
+        left, right = state["left"], state["right"]
+        return F.struct(
+            F.when(n % 2 == 0, left).otherwise(shifted(left, state["lower"], right, n)).alias("left"),
+            F.when(n % 2 == 1, right).otherwise(shifted(right, state["upper"], left, n)).alias("right"),
+            state["lower"].alias("lower"), state["upper"].alias("upper"),
         )
 
-    longs = symbols.cast("array<bigint>"), ranges.cast("array<bigint>")
-    return let(
-        F.struct(
-            F.slice(longs[0], 1, half).alias("left"), F.slice(longs[0], half + 1, rest).alias("right"),
-            F.slice(longs[1], 1, half).alias("lower"), F.slice(longs[1], half + 1, rest).alias("upper"),
-        ),
-        turns,
+    start = F.struct(
+        F.slice(symbols, 1, half).alias("left"), F.slice(symbols, half + 1, rest).alias("right"),
+        F.slice(ranges, 1, half).alias("lower"), F.slice(ranges, half + 1, rest).alias("upper"),
+    )
+    return F.aggregate(
+        F.lit(list(range(ROUNDS))), start, turn, lambda s: F.concat(s["left"], s["right"])
     )
 
 
-def _characters(text: Column, key: Column, hexadecimal: bool = False) -> Column:
-    """Letters and digits permuted among their like; all other characters keep their places."""
-    code = F.ascii  # code point of the first character
-    of_case = lambda c: F.when(c.rlike("[A-Z]"), 65).otherwise(97)
-    if hexadecimal:
-        symbol = lambda c: F.conv(c, 16, 10).cast("int")
-        limit = lambda c: F.lit(16)
-        back = lambda c, s: F.lower(F.hex(s))
-    else:
-        symbol = lambda c: F.when(c.rlike("[0-9]"), code(c) - 48).when(
-            c.rlike("[A-Za-z]"), code(c) - of_case(c)).otherwise(code(c) % 26)
-        limit = lambda c: F.when(c.rlike("[0-9]"), 10).otherwise(26)
-        back = lambda c, s: F.char(s + F.when(c.rlike("[0-9]"), 48).otherwise(of_case(c)))
-
-    def put_back(characters: Column, permuted: Column) -> Column:
-        def one(c: Column, i: Column) -> Column:
-            before = F.size(F.filter(F.slice(characters, 1, i), lambda x: x.rlike(r"[\p{L}\p{N}]")))
-            return F.when(c.rlike(r"[\p{L}\p{N}]"), back(c, F.get(permuted, before))).otherwise(c)
-
-        return F.array_join(F.transform(characters, one), "")
-
-    def changed(characters: Column) -> Column:
-        moving = F.filter(characters, lambda c: c.rlike(r"[\p{L}\p{N}]"))
-        permuted = let(
-            moving, lambda m: feistel(F.transform(m, symbol), F.transform(m, limit), key)
-        )
-        return let(permuted, lambda p: put_back(characters, p))
+_MOVING = r"[\p{L}\p{N}]"
 
-    return let(F.split(text, ""), changed)
+
+def _characters(text: Column) -> Column:
+    return F.split(text, "")
 
 
 def _digits(text: Column) -> Column:
@@ -125,7 +93,7 @@ def _luhn(digits: Column, double_last: bool) -> Column:
         twice = F.when(d > 4, 2 * d - 9).otherwise(2 * d)
         return F.when(i % 2 == (0 if double_last else 1), twice).otherwise(d)
 
-    values = F.transform(F.split(F.reverse(digits), ""), weighed)
+    values = F.transform(_characters(F.reverse(digits)), weighed)
     return F.aggregate(values, F.lit(0), lambda a, b: a + b)
 
 
@@ -134,152 +102,141 @@ def _remainder_97(text: Column) -> Column:
         value = F.conv(c, 36, 10).cast("int")
         return F.when(value > 9, rest * 100 + value).otherwise(rest * 10 + value) % 97
 
-    return F.aggregate(F.split(text, ""), F.lit(0), step)
-
-
-def _with_digits(shape: Column, digits: Column) -> Column:
-    """The shape with its digits replaced in order."""
-    def one(c: Column, i: Column) -> Column:
-        before = F.length(_digits(F.substr(shape, F.lit(1), i)))
-        return F.when(c.rlike("[0-9]"), F.substr(digits, before + 1, F.lit(1))).otherwise(c)
-
-    return F.array_join(F.transform(F.split(shape, ""), one), "")
+    return F.aggregate(_characters(text), F.lit(0), step)
 
 
 def _numbers(text: Column, separator: str) -> Column:
     return F.split(text, separator).cast("array<bigint>")
 
 
-def _secret(m: Column, key: Column) -> Column:
-    value = F.regexp_extract(m, '"(.*)"', 1)
-    changed = _characters(F.lower(value), key, hexadecimal=True)
-    changed = F.when(value == F.upper(value), F.upper(changed)).otherwise(changed)
-    return F.concat(F.regexp_extract(m, '^[^"]*', 0), F.lit('"'), changed, F.lit('"'))
-
-
-def _email(m: Column, key: Column) -> Column:
-    local = F.substring_index(m, "@", 1)
-    return F.concat(_characters(local, key), F.substr(m, F.length(local) + 1))
-
-
-def _iban(m: Column, key: Column) -> Column:
-    plain = F.regexp_replace(m, " ", "")
-    country, account = F.left(plain, F.lit(2)), F.substr(plain, F.lit(5))
-    valid = _remainder_97(F.concat(account, F.left(plain, F.lit(4)))) == 1
-
-    def spaced(text: Column) -> Column:
-        gaps = F.transform(
-            F.split(m, ""),
-            lambda c, i: F.when(c == " ", c).otherwise(
-                F.substr(text, F.length(F.regexp_replace(F.substr(m, F.lit(1), i), " ", "")) + 1, F.lit(1))
-            ),
-        )
-        return F.array_join(gaps, "")
-
-    def whole(changed: Column) -> Column:
-        check = 98 - _remainder_97(F.concat(changed, country, F.lit("00")))
-        return spaced(F.concat(country, F.lpad(check.cast("string"), 2, "0"), changed))
-
-    return F.when(valid, let(_characters(account, key), whole))
-
-
-def _card(m: Column, key: Column) -> Column:
-    digits = _digits(m)
-    body = F.left(digits, F.length(digits) - 1)
+def _reshaped(shape: Column, text: Column, dropped: str) -> Column:
+    """The text's characters in the places of the shape's, which keeps those that match ``dropped``."""
+    def one(c: Column, i: Column) -> Column:
+        before = F.length(F.regexp_replace(F.substr(shape, F.lit(1), i), dropped, ""))
+        return F.when(c.rlike(dropped), c).otherwise(F.substr(text, before + 1, F.lit(1)))
 
-    def whole(changed: Column) -> Column:
-        check = (10 - _luhn(changed, True) % 10) % 10
-        return _with_digits(m, F.concat(changed, check.cast("string")))
+    return F.array_join(F.transform(_characters(shape), one), "")
 
-    valid = (_luhn(digits, False) % 10 == 0) & digits.rlike("[1-9]")
-    return F.when(valid, let(_characters(body, key), whole))
 
+def _unspaced(m: Column) -> Column:
+    return F.regexp_replace(m, " ", "")
 
-def _ip(m: Column, key: Column) -> Column:
-    octets = _numbers(m, r"\.")
-    changed = feistel(octets, F.lit([256] * 4), key)
-    valid = F.forall(octets, lambda o: o < 256)
-    return F.when(valid, F.array_join(changed.cast("array<string>"), "."))
 
+def _country_code(m: Column) -> Column:
+    return F.regexp_extract(m, r"^\+[0-9]{1,3}[ .-]|^\+[0-9]{1,2}|^", 0)
 
-def _ssn(m: Column, key: Column) -> Column:
-    """Areas 1 to 899 without 666, groups and serials from 1."""
-    a, g, s = (_numbers(m, "-")[i] for i in range(3))
-    valid = (a > 0) & (a < 900) & (a != 666) & (g > 0) & (s > 0)
-    area = F.when(a > 666, a - 2).otherwise(a - 1)
-    changed = feistel(F.array(area, g - 1, s - 1), F.lit([898, 99, 9999]), key)
 
-    def whole(p: Column) -> Column:
-        return F.concat_ws(
-            "-", F.lpad(F.when(p[0] > 664, p[0] + 2).otherwise(p[0] + 1).cast("string"), 3, "0"),
-            F.lpad((p[1] + 1).cast("string"), 2, "0"), F.lpad((p[2] + 1).cast("string"), 4, "0"),
-        )
+DATE_FORMS = (("-", "yyyy-MM-dd"), (r"\.", "dd.MM.yyyy"), ("/", "dd/MM/yyyy"), ("/", "MM/dd/yyyy"))
 
-    return F.when(valid, let(changed, whole))
 
+def _read_as(m: Column, sign: str, form: str) -> Column:
+    day = F.when(m.rlike(sign), F.try_to_date(m, form))
+    return F.when(F.year(day).between(1900, 2099), day)
 
-def _date(m: Column, key: Column) -> Column:
-    def formatted(pattern: str) -> Column:
-        day = F.try_to_date(m, pattern)
-        number = F.datediff(day, F.lit(EPOCH).cast("date"))
-        symbols = F.array(F.floor(number / DAY_RANGES[1]), F.pmod(number, F.lit(DAY_RANGES[1])))
-        changed = let(
-            feistel(symbols, F.lit(list(DAY_RANGES)), key),
-            lambda p: F.date_add(F.lit(EPOCH).cast("date"), (p[0] * DAY_RANGES[1] + p[1]).cast("int")),
-        )
-        inside = (number >= 0) & (number < DAY_RANGES[0] * DAY_RANGES[1])
-        return F.when(inside, F.date_format(changed, pattern))
 
-    forms = {r"-": ["yyyy-MM-dd"], r"\.": ["dd.MM.yyyy"], r"/": ["dd/MM/yyyy", "MM/dd/yyyy"]}
-    return F.coalesce(
-        *[F.when(m.rlike(sign), formatted(f)) for sign, patterns in forms.items() for f in patterns]
-    )
+def _day(m: Column) -> Column:
+    return F.coalesce(*[_read_as(m, *form) for form in DATE_FORMS])
 
 
-def _phone(m: Column, key: Column) -> Column:
-    country = F.regexp_extract(m, r"^\+[0-9]{1,3}[ .-]|^\+[0-9]{1,2}|^", 0)
-    valid = F.length(_digits(m)).between(8, 15)
-    return F.when(valid, F.concat(country, _characters(F.substr(m, F.length(country) + 1), key)))
-
-
-KINDS = {
-    "secret": _secret, "email": _email, "iban": _iban, "card": _card,
-    "ip": _ip, "ssn": _ssn, "date": _date, "phone": _phone,
-}
-
+def _by_kind(kind: Column, cases: dict[str, Column], other: Column | None = None) -> Column:
+    out = None
+    for name, value in cases.items():
+        out = F.when(kind == name, value) if out is None else out.when(kind == name, value)
+    return out if other is None else out.otherwise(other)
 
-def _pseudonym(m: Column, key: Column) -> Column:
-    """``struct<kind, text>`` of a match; kind is NULL where no check is passed."""
-    def of_kind(kind: str) -> Column:
-        return F.when(
-            m.rlike(f"^(?:{PATTERNS[kind]})$"),
-            KINDS[kind](m, F.concat_ws("|", key, F.lit(kind))),
-        )
 
-    def first(kinds: list[str]) -> Column:
-        return let(
-            of_kind(kinds[0]),
-            lambda new: F.when(
-                new.isNotNull(), F.struct(F.lit(kinds[0]).alias("kind"), new.alias("text"))
-            ).otherwise(rest(kinds[1:])),
-        )
+def _kind(m: Column) -> Column:
+    """The first kind whose pattern and check the match passes, else NULL."""
+    plain, digits, ssn = _unspaced(m), _digits(m), _numbers(m, "-")
+    checks = {
+        "iban": _remainder_97(F.concat(F.substr(plain, F.lit(5)), F.left(plain, F.lit(4)))) == 1,
+        "card": (_luhn(digits, False) % 10 == 0) & digits.rlike("[1-9]"),
+        "ip": F.forall(_numbers(m, r"\."), lambda o: o < 256),
+        "ssn": (ssn[0] > 0) & (ssn[0] < 900) & (ssn[0] != 666) & (ssn[1] > 0) & (ssn[2] > 0),
+        "date": _day(m).isNotNull(),
+        "phone": F.length(digits).between(8, 15),
+    }
+    found = None
+    for name, pattern in PATTERNS.items():
+        # The check is read only where the pattern fits.
+        passed = F.when(m.rlike(f"^(?:{pattern})$"), checks.get(name, F.lit(True)))
+        found = F.when(passed, name) if found is None else found.when(passed, name)
+    return found
 
-    def rest(kinds: list[str]) -> Column:
-        none = F.struct(F.lit(None).cast("string").alias("kind"), m.alias("text"))
-        return first(kinds) if kinds else none
 
-    return rest(list(KINDS))
+def _part(kind: Column, m: Column) -> Column:
+    """What is permuted, of the kinds that are permuted by character."""
+    digits = _digits(m)
+    return _by_kind(kind, {
+        "secret": F.lower(F.regexp_extract(m, '"(.*)"', 1)),
+        "email": F.substring_index(m, "@", 1),
+        "iban": F.substr(_unspaced(m), F.lit(5)),
+        "card": F.left(digits, F.length(digits) - 1),
+        "phone": F.substr(m, F.length(_country_code(m)) + 1),
+    })
 
 
-def _replaced(text: Column, key: Column) -> Column:
-    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: _pseudonym(m, key))
+def _base(c: Column) -> Column:
+    return F.when(c.rlike("[0-9]"), 48).when(c.rlike("[A-Z]"), 65).otherwise(97)
 
-    def joined(gaps: Column, values: Column) -> Column:
-        pieces = F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(values, i)["text"], F.lit(""))))
-        kinds = F.filter(values["kind"], lambda k: k.isNotNull())
-        return F.struct(F.array_join(pieces, "").alias("text"), kinds.alias("kinds"))
 
-    return let(F.split(text, ANY, -1), lambda gaps: let(found, lambda values: joined(gaps, values)))
+def _symbols(kind: Column, m: Column, part: Column) -> Column:
+    """``struct<symbols, ranges>`` of a match."""
+    moving = F.filter(_characters(part), lambda c: c.rlike(_MOVING))
+    own = F.transform(
+        moving,
+        lambda c: F.when(c.rlike("[0-9A-Za-z]"), F.ascii(c) - _base(c)).otherwise(F.ascii(c) % 26).cast("bigint"),
+    )
+    limits = F.transform(moving, lambda c: F.when(c.rlike("[0-9]"), 10).otherwise(26).cast("bigint"))
+    hexes = F.transform(_characters(part), lambda c: F.conv(c, 16, 10).cast("bigint"))
+    ssn = _numbers(m, "-")
+    area = F.when(ssn[0] > 666, ssn[0] - 2).otherwise(ssn[0] - 1)
+    number = F.datediff(_day(m), F.lit(EPOCH).cast("date")).cast("bigint")
+    longs = lambda *values: F.array(*[F.lit(v).cast("bigint") for v in values])
+    symbols = _by_kind(kind, {
+        "secret": hexes, "ip": _numbers(m, r"\."), "ssn": F.array(area, ssn[1] - 1, ssn[2] - 1),
+        "date": F.array(F.floor(number / DAY_RANGES[1]), F.pmod(number, F.lit(DAY_RANGES[1]))),
+    }, own)
+    ranges = _by_kind(kind, {
+        "secret": F.transform(hexes, lambda _: F.lit(16).cast("bigint")), "ip": longs(256, 256, 256, 256),
+        "ssn": longs(898, 99, 9999), "date": longs(*DAY_RANGES),
+    }, limits)
+    return F.struct(symbols.alias("symbols"), ranges.alias("ranges"))
+
+
+def _changed_part(kind: Column, part: Column, permuted: Column) -> Column:
+    def one(c: Column, i: Column) -> Column:
+        before = F.length(F.regexp_replace(F.substr(part, F.lit(1), i), r"[^\p{L}\p{N}]", ""))
+        symbol = F.get(permuted, before)
+        value = F.when(kind == "secret", F.lower(F.hex(symbol))).otherwise(F.char(symbol + _base(c)))
+        return F.when(c.rlike(_MOVING), value).otherwise(c)
+
+    return F.array_join(F.transform(_characters(part), one), "")
+
+
+def _whole(kind: Column, m: Column, changed: Column, p: Column) -> Column:
+    """The match in its format again, with the changed part or numbers; check digits follow."""
+    quoted, plain = F.regexp_extract(m, '"(.*)"', 1), _unspaced(m)
+    secret = F.when(quoted == F.upper(quoted), F.upper(changed)).otherwise(changed)
+    country = F.left(plain, F.lit(2))
+    iban_check = F.lpad((98 - _remainder_97(F.concat(changed, country, F.lit("00")))).cast("string"), 2, "0")
+    card_check = ((10 - _luhn(changed, True) % 10) % 10).cast("string")
+    padded = lambda value, n: F.lpad(value.cast("string"), n, "0")
+    day = F.date_add(F.lit(EPOCH).cast("date"), (p[0] * DAY_RANGES[1] + p[1]).cast("int"))
+    dates = [
+        F.when(_read_as(m, sign, form).isNotNull(), F.date_format(day, form)) for sign, form in DATE_FORMS
+    ]
+    area = F.when(p[0] > 664, p[0] + 2).otherwise(p[0] + 1)
+    return _by_kind(kind, {
+        "secret": F.concat(F.regexp_extract(m, '^[^"]*', 0), F.lit('"'), secret, F.lit('"')),
+        "email": F.concat(changed, F.substr(m, F.length(F.substring_index(m, "@", 1)) + 1)),
+        "iban": _reshaped(m, F.concat(country, iban_check, changed), " "),
+        "card": _reshaped(m, F.concat(changed, card_check), "[^0-9]"),
+        "ip": F.array_join(p.cast("array<string>"), "."),
+        "ssn": F.concat_ws("-", padded(area, 3), padded(p[1] + 1, 2), padded(p[2] + 1, 4)),
+        "date": F.coalesce(*dates),
+        "phone": F.concat(_country_code(m), changed),
+    }, m)
 
 
 def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", kinds_column: str = "private_kinds") -> DataFrame:
@@ -289,12 +246,41 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", kinds_col
     """
     if kinds_column.lower() in (c.lower() for c in docs.columns):
         raise ValueError(f"the table has a column {kinds_column} already; name another one")
-    text = docs[text_column].cast("string")
-    untouched = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
-    result = F.when(text.rlike("[0-9@]"), _replaced(text, F.lit(key))).otherwise(untouched)
-    others = [docs[f"`{c}`"] for c in docs.columns]
-    packed = docs.select(F.struct(*others).alias("row"), result.alias("new"))
-    kept = [
-        (F.col("new.text") if c == text_column else F.col(f"row.`{c}`")).alias(c) for c in docs.columns
-    ]
-    return packed.select(*kept, F.col("new.kinds").alias(kinds_column))
+    text = docs[f"`{text_column}`"].cast("string")
+    searched = F.when(text.rlike("[0-9@]"), text)  # all kinds have a digit or the sign
+    rows = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), text.alias("whole"),
+        F.split(searched, ANY, -1).alias("gaps"), F.regexp_extract_all(searched, F.lit(ANY), F.lit(0)).alias("found"),
+    )
+    # One step a select: each works on the array that the one before has made.
+    rows = rows.withColumn(
+        "found", F.transform("found", lambda m: F.struct(m.alias("m"), _kind(m).alias("kind")))
+    ).withColumn(
+        "found", F.transform("found", lambda t: F.struct(t["m"].alias("m"), t["kind"].alias("kind"), _part(t["kind"], t["m"]).alias("part")))
+    ).withColumn(
+        "found", F.transform("found", lambda t: F.struct(
+            t["m"].alias("m"), t["kind"].alias("kind"), t["part"].alias("part"),
+            F.when(t["kind"].isNotNull(), _symbols(t["kind"], t["m"], t["part"])).alias("numbers"),
+        ))
+    ).withColumn(
+        "found", F.transform("found", lambda t: F.struct(
+            t["m"].alias("m"), t["kind"].alias("kind"), t["part"].alias("part"),
+            F.when(t["kind"].isNotNull(), feistel(
+                t["numbers"]["symbols"], t["numbers"]["ranges"], F.concat_ws("|", F.lit(key), t["kind"])
+            )).alias("permuted"),
+        ))
+    ).withColumn(
+        "found", F.transform("found", lambda t: F.struct(
+            t["m"].alias("m"), t["kind"].alias("kind"), t["permuted"].alias("permuted"),
+            _changed_part(t["kind"], t["part"], t["permuted"]).alias("changed"),
+        ))
+    ).withColumn(
+        "found", F.transform("found", lambda t: F.struct(
+            t["kind"].alias("kind"), _whole(t["kind"], t["m"], t["changed"], t["permuted"]).alias("text"),
+        ))
+    )
+    pieces = F.zip_with("gaps", "found", lambda g, t: F.concat(g, F.coalesce(t["text"], F.lit(""))))
+    kinds = F.filter(F.transform("found", lambda t: t["kind"]), lambda k: k.isNotNull())
+    new_text = F.coalesce(F.array_join(pieces, ""), F.col("whole"))
+    kept = [(new_text if c == text_column else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+    return rows.select(*kept, F.coalesce(kinds, F.array().cast("array<string>")).alias(kinds_column))
