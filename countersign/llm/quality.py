@@ -8,7 +8,7 @@ a batch of documents walks down all trees at once, one numpy step a level.
 The sample is bounded (``max_rows``) and drawn by a hash of the id; every text is scored whole.
 Results in special cases: a NULL text is the empty one, which has statistics like any other; a
 sample without rows or of one label gives that label's share to every text; labels of ids that repeat
-are averaged; NULL labels are left out; an empty table gives no row.
+are averaged, and of their texts the first in order counts; NULL labels are left out; an empty table gives no row.
 """
 
 import re
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countersign.llm.shared import bounded_sample
+from countersign.llm.shared import bounded_sample, sampled_texts
 
 STATISTICS = (
     "characters", "words", "lines", "word_length", "line_length", "upper", "lower", "digits", "blanks",
@@ -164,17 +164,14 @@ def _grow(nodes, binned, cuts, grad, hess, settings: BoostSettings) -> np.ndarra
 def train_quality(docs: DataFrame, labels: DataFrame, settings: BoostSettings = BoostSettings()) -> FlatTrees:
     """Learn ``quality`` of ``labels`` (0 or 1, by ``doc_id``) from the statistics of the texts."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.avg("quality").alias("label"))
-    listed = F.broadcast(bounded_sample(known, "doc_id", settings.max_rows, settings.seed))  # bounded
+    texts = sampled_texts(docs, bounded_sample(known, "doc_id", settings.max_rows, settings.seed))
 
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             stats = np.array([statistics(t) for t in batch["text"]]).reshape(len(batch), len(STATISTICS))
-            yield pd.DataFrame({"key": batch["doc_id"], "label": batch["label"], "stats": list(stats)})
+            yield pd.DataFrame({"key": batch["key"], "label": batch["label"], "stats": list(stats)})
 
-    rows = (
-        docs.select("doc_id", "text").join(listed, "doc_id").limit(settings.max_rows)
-        .mapInPandas(described, "key bigint, label double, stats array<double>").collect()
-    )
+    rows = texts.mapInPandas(described, "key bigint, label double, stats array<double>").collect()
     rows.sort(key=lambda r: (r.key, r.stats))
     return boost(np.array([r.stats for r in rows]), np.array([r.label for r in rows]), settings)
 

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from countersign.sources.storage import work_folder
@@ -34,3 +34,16 @@ def in_fold(id_column: Column, folds: int, remainder: int) -> Column:
 def bounded_sample(df: DataFrame, order_by: str, rows: int, seed: int = 0) -> DataFrame:
     """At most ``rows`` rows, the same ones on every run: those with the smallest keyed hash."""
     return df.orderBy(F.xxhash64(F.lit(seed), order_by), order_by).limit(rows)
+
+
+def sampled_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``key, text`` and the other columns of ``ids`` (``doc_id`` and more, a bounded sample), one row each.
+
+    A repeated id gives its first text in order. The sample is written, so it is read from all
+    documents once.
+    """
+    rest = [c for c in ids.columns if c != "doc_id"]
+    listed = F.broadcast(ids.withColumnRenamed("doc_id", "key"))  # bounded by the sample
+    texts = docs.select(F.col("doc_id").alias("key"), whole_text(docs).alias("text")).join(listed, "key")
+    first = F.row_number().over(Window.partitionBy("key", *rest).orderBy("text"))
+    return written(texts.withColumn("place", first).filter("place = 1").select("key", "text", *rest), "sample")

@@ -6,13 +6,13 @@ classifier has fitted so far that this remainder turns negative, the step goes b
 
     risk = p * E_pos[loss(f, +1)] + max(0, E_unl[loss(f, -1)] - p * E_pos[loss(f, -1)])
 
-The classifiers are linear over the presence of words. Their vocabulary holds the words that
+The classifiers are linear over the presence of words and of their beginnings. Their vocabulary holds the words that
 stand out most in the toxic examples, counted by Spark over both samples.
 
 Samples are bounded (``max_positive``, ``max_unlabelled``) and drawn by a hash of the id; every text is
 scored whole. Results in special cases: a NULL text is the empty one; the empty text gets the score of a text without
-any known word; without toxic examples or unlabelled text, every score is the prior; ids that
-repeat count once as an example for each of their rows, up to the bound; an empty table gives no row.
+any known word; without toxic examples or unlabelled text, every score is the prior; of a sampled id
+that repeats, the first text in order is the example; an empty table gives no row.
 """
 
 import re
@@ -24,9 +24,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countersign.llm.shared import bounded_sample
+from countersign.llm.shared import bounded_sample, sampled_texts
 
 WORD = re.compile(r"[^\W\d_]+")
+PREFIXES = (4, 5)
+
+
+def features(text: str | None) -> set[str]:
+    """The text's words, and the beginnings of longer ones, so that inflected forms share a feature."""
+    words = set(WORD.findall((text or "").lower()))
+    return words.union(*({w[:n] + "-" for w in words if len(w) > n} for n in PREFIXES))
 
 
 @dataclass(frozen=True)
@@ -35,11 +42,11 @@ class PUSettings:
     max_unlabelled: int = 36_000
     vocabulary: int = 1024
     min_documents: int = 5
-    members: int = 3
-    epochs: int = 12
-    batch: int = 512
-    rate: float = 0.02
-    l2: float = 1e-4
+    members: int = 2
+    epochs: int = 150
+    batch: int = 16_384
+    rate: float = 0.1
+    l2: float = 1e-5
     seed: int = 1
 
 
@@ -49,7 +56,7 @@ class PUModel:
     bias: float
 
     def score(self, text: str | None) -> float:
-        known = set(WORD.findall((text or "").lower())) & self.words.keys()
+        known = features(text) & self.words.keys()
         logit = self.bias + sum(self.words[w] for w in sorted(known))
         return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
 
@@ -57,11 +64,18 @@ class PUModel:
 def _word_counts(texts: DataFrame, size: int, least: int) -> dict[str, float]:
     """The words that stand out most in the positive texts, with their log odds."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
+    starts = [
+        F.transform(
+            F.filter("words", lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.left(w, F.lit(n)), F.lit("-"))
+        )
+        for n in PREFIXES
+    ]
     n_pos, n_unl = texts.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
     if not n_pos or not n_unl:
         return {}
     counted = (
-        texts.select("positive", F.explode(words).alias("word"))
+        texts.select("positive", words.alias("words"))
+        .select("positive", F.explode(F.array_distinct(F.concat("words", *starts))).alias("word"))
         .groupBy("word")
         .agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("unl"))
         .filter(F.col("pos") >= least)
@@ -86,7 +100,7 @@ def _presence(texts: DataFrame, words: list[str]) -> tuple[np.ndarray, np.ndarra
             packed = []
             for text in batch["text"]:
                 row = np.zeros(len(place), np.uint8)
-                row[[place[w] for w in set(WORD.findall(text.lower())) & place.keys()]] = 1
+                row[[place[w] for w in features(text) & place.keys()]] = 1
                 packed.append(np.packbits(row).tobytes())
             yield pd.DataFrame({"key": batch["key"], "positive": batch["positive"], "bits": packed})
 
@@ -100,11 +114,11 @@ def _train(x: np.ndarray, positive: np.ndarray, prior: float, settings: PUSettin
     """Adam on batches that hold positive and unlabelled rows in the samples' proportion."""
     rng = np.random.default_rng(seed)
     xp, xu = x[positive], x[~positive]
-    w, m, v = (np.zeros(x.shape[1] + 1) for _ in range(3))
+    w, m, v = (np.zeros(x.shape[1] + 1, np.float32) for _ in range(3))
     w[-1] = np.log(prior / (1 - prior))
     batches = max(1, (len(xp) + len(xu)) // settings.batch)
     step = 0
-    for _ in range(settings.epochs):
+    for epoch in range(settings.epochs):
         parts = zip(
             np.array_split(rng.permutation(len(xp)), batches),
             np.array_split(rng.permutation(len(xu)), batches), strict=True,
@@ -114,7 +128,7 @@ def _train(x: np.ndarray, positive: np.ndarray, prior: float, settings: PUSettin
                 continue
             step += 1
             bp, bu = xp[ip].astype(np.float32), xu[iu].astype(np.float32)
-            fp, fu = bp @ w[:-1] + w[-1], bu @ w[:-1] + w[-1]
+            fp, fu = (np.clip(b @ w[:-1] + w[-1], -30, 30) for b in (bp, bu))
             # Logistic loss: loss(f, +1) = log(1 + e^-f), loss(f, -1) = log(1 + e^f).
             clean = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
             sp, su = 1 / (1 + np.exp(-fp)), 1 / (1 + np.exp(-fu))
@@ -122,11 +136,12 @@ def _train(x: np.ndarray, positive: np.ndarray, prior: float, settings: PUSettin
                 gp, gu = prior * (sp - 1) - prior * sp, su
             else:
                 gp, gu = prior * sp, -su
-            gp, gu = gp / len(ip), gu / len(iu)
+            gp, gu = (gp / len(ip)).astype(np.float32), (gu / len(iu)).astype(np.float32)
             g = np.append(bp.T @ gp + bu.T @ gu, gp.sum() + gu.sum())
             g[:-1] += settings.l2 * w[:-1]
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            w -= settings.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+            rate = settings.rate * (1 - epoch / settings.epochs)
+            w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return w
 
 
@@ -144,10 +159,7 @@ def train_pu(
             (positive_ids, settings.max_positive, True), (unlabelled_ids, settings.max_unlabelled, False),
         )
     ]
-    # Both lists are bounded by the settings.
-    listed = F.broadcast(chosen[0].unionByName(chosen[1]))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(listed, "doc_id")
-    texts = texts.withColumnRenamed("doc_id", "key").limit(settings.max_positive + settings.max_unlabelled)
+    texts = sampled_texts(docs, chosen[0].unionByName(chosen[1]))
     found = _word_counts(texts, settings.vocabulary, settings.min_documents)
     if not found:
         return constant
