@@ -4,12 +4,15 @@ A text's shingles are hashed once; the upper bits of a hash name its bin, and ea
 smallest hash. Empty bins borrow from bins drawn by a hash of their own number and the attempt (optimal
 densification), alike in all texts. ``rows`` bins make a band; texts with an equal band share a bucket.
 
-Within a bucket not all pairs are made, but stars: members are compared with a centre. Candidates are
+Within a bucket not all pairs are made, but stars: members are compared with a centre, at first the
+one that shares buckets with most texts, as the original of a group of edited copies does. Candidates are
 checked by the exact overlap of their full shingle sets. Texts linked so far are one component; a bucket
-whose members all belong to one needs no further work. Others go on with twice as many centres, against
-members of other components only, until no bucket has a pair left that is neither compared nor
-connected. So no link between texts of one bucket is lost, and large groups of near copies, whose members
-join their first centre, take about one comparison each.
+whose members all belong to one needs no further work. Others go on with other centres, against
+members of other components only: for a few turns each text takes one centre, then all of its
+buckets' centres, four times as many with every turn, until no bucket has a pair left that is neither compared
+nor connected. So no link between texts of one bucket is lost, and large groups of near copies, whose members
+join their first centres, take about one comparison each. Large groups whose members are just not similar
+enough are what costs: there the pairs grow with the square of the group.
 
 Texts of equal sets are one before anything else: they are represented by the smallest id and never paired.
 
@@ -111,6 +114,9 @@ class Sketcher:
         return out.view(np.int64)
 
 
+#: Turns in which a text takes one centre.
+SINGLE_TURNS = 3
+
 SKETCH = "doc_id bigint, n_shingles bigint, content string, bands array<bigint>"
 
 
@@ -208,7 +214,11 @@ def near_groups(docs: DataFrame, settings: NearSettings = NearSettings()) -> Dat
     )
     bucketed = written(bucketed, "buckets")
     shared = bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    members = written(bucketed.join(shared, "bucket"), "members")
+    members = bucketed.join(shared, "bucket")
+    shares = members.groupBy("rep").agg(F.sum("members").alias("shared_with"))
+    # Texts by the number of others they share buckets with, as one number; a hash breaks ties.
+    order = F.shiftleft(F.least("shared_with", F.lit((1 << 23) - 1)), 40) + F.pmod(F.xxhash64("rep"), F.lit(1 << 40))
+    members = written(members.join(shares.select("rep", order.alias("order")), "rep"), "members")
     labels = linked_components(docs, members, settings)
 
     owners = known.groupBy("content").agg(F.min("doc_id").alias("rep"))
@@ -233,7 +243,7 @@ def near_groups(docs: DataFrame, settings: NearSettings = NearSettings()) -> Dat
 
 
 def linked_components(docs: DataFrame, members: DataFrame, settings: NearSettings) -> DataFrame:
-    """``node, component`` of all texts with a link; ``members`` is ``bucket, rep, n, members``."""
+    """``node, component`` of all texts with a link; ``members`` is ``bucket, rep, n, members, order``."""
     spark = docs.sparkSession
     labels = spark.createDataFrame([], "node bigint, component bigint")
     reps = members.select(F.col("rep").alias("doc_id")).distinct()
@@ -242,12 +252,12 @@ def linked_components(docs: DataFrame, members: DataFrame, settings: NearSetting
     turn = 0
     while True:
         seated = members.join(labels, F.col("rep") == F.col("node"), "left").select(
-            "bucket", "rep", "n", "members", F.coalesce("component", "rep").alias("component")
+            "bucket", "rep", "n", "members", "order", F.coalesce("component", "rep").alias("component")
         )
-        # After a turn with at least as many centres as members, all of a bucket's pairs were made.
-        seated = written(seated.filter(F.col("members") > 2 ** (turn - 1)) if turn else seated, "seated")
+        # After a turn with all centres, and as many of them as members, all of a bucket's pairs were made.
+        seated = written(seated.filter(F.col("members") > _centres(turn - 1)) if turn > SINGLE_TURNS else seated, "seated")
         open_buckets = (
-            seated.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("rep").alias("first"))
+            seated.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("order").alias("first"))
             .filter("low < high").select("bucket", "first")
         )
         waiting = written(seated.join(open_buckets, "bucket"), "waiting")
@@ -266,20 +276,27 @@ def linked_components(docs: DataFrame, members: DataFrame, settings: NearSetting
         turn += 1
 
 
+def _centres(turn: int) -> int:
+    """About so many centres has a bucket."""
+    return 4 ** max(1, turn - 1)
+
+
 def _candidates(waiting: DataFrame, turn: int, settings: NearSettings) -> DataFrame:
-    """``a, b``: centres and members of other components. The first turn takes the smallest id of each
-    bucket, and for every member one centre; turn t about 2^t centres drawn by a hash."""
+    """``a, b``: centres and members of other components. The first turn takes the first member of each
+    bucket by order, later ones members drawn by a hash."""
     if turn == 0:
-        is_centre = F.col("rep") == F.col("first")
+        is_centre = F.col("order") == F.col("first")
     else:
-        is_centre = F.pmod(F.xxhash64("bucket", "rep"), F.col("members")) < 2**turn
+        is_centre = F.pmod(F.xxhash64("bucket", "rep"), F.col("members")) < _centres(turn)
     centres = waiting.filter(is_centre).select(
-        "bucket", F.col("rep").alias("centre"), F.col("n").alias("centre_n"), F.col("component").alias("centre_component")
+        "bucket", F.col("rep").alias("centre"), F.col("n").alias("centre_n"),
+        F.col("order").alias("centre_order"), F.col("component").alias("centre_component"),
     )
     enough = 100 * F.least("n", "centre_n") >= settings.similarity * F.greatest("n", "centre_n")
     stars = waiting.join(centres, "bucket").filter((F.col("component") != F.col("centre_component")) & enough)
-    if turn == 0:
-        stars = stars.groupBy("rep").agg(F.min("centre").alias("centre"))
+    if turn < SINGLE_TURNS:
+        stars = stars.groupBy("rep").agg(F.max(F.struct("centre_order", "centre")).alias("best"))
+        stars = stars.select("rep", F.col("best.centre").alias("centre"))
     return stars.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 
