@@ -112,18 +112,14 @@ DIFFERENCE = (
 )
 
 REASONS = """
-    SELECT table_name, {spread} AS spread, {from_pt} AS from_pt,
+    SELECT table_name, pt, count(*) AS n_diffs,
            string_agg(CASE WHEN partitioned THEN 'pt=' || coalesce(pt, 'None') || ': ' ELSE '' END
-                      || {difference}, '; ' ORDER BY pt NULLS FIRST, ord) AS reason
-    FROM ({metrics}) AS m WHERE diff GROUP BY {keys}"""
+                      || {difference}, '; ' ORDER BY ord) AS reason
+    FROM ({metrics}) AS m WHERE diff GROUP BY table_name, pt"""
 
 
-def reasons(sql: str, spread: bool) -> str:
-    return REASONS.format(
-        metrics=sql, difference=DIFFERENCE.format(separator=" vs "),
-        spread=str(spread).lower(), from_pt="pt" if spread else "CAST(NULL AS VARCHAR)",
-        keys="table_name, pt" if spread else "table_name",
-    )
+def reasons(sql: str) -> str:
+    return REASONS.format(metrics=sql, difference=DIFFERENCE.format(separator=" vs "))
 
 
 def wide(sql: str, columns, key: str | None = None, where: str = "true") -> str:
@@ -133,21 +129,20 @@ def wide(sql: str, columns, key: str | None = None, where: str = "true") -> str:
     for column, label in columns:
         for metric in ("sum", "max", "min"):
             value = sum_of(column, label) if metric == "sum" else f"{metric}({column})"
-            if label.startswith("decimal"):
+            if label.startswith("decimal") or metric == "sum":
                 value = f"CAST({value} AS DOUBLE)"
             parts.append(f"{value} AS {column}_{metric}")
     group = f"GROUP BY {key}" if key else ""
     return f"SELECT {', '.join(parts)} FROM ({sql}) AS t WHERE {where} {group}"
 
 
-def matching(table: str, columns: list[tuple[str, str]]) -> str:
-    """Every metric of a table compared with itself."""
-    row = "SELECT '{0}' AS table_name, '{1}' AS \"column\", '{2}' AS type, '{3}' AS metric, {4} AS match FROM {0}"
-    rows = [row.format(table, "*", "-", "count", "count(*) = count(*)")]
+def long_profile(table: str, columns: list[tuple[str, str]]) -> str:
+    """Count, and maximum and minimum of every numeric column; sums where they are exact."""
+    row = "SELECT '{0}' AS table_name, '{1}' AS \"column\", '{2}' AS type, '{3}' AS metric, CAST({4} AS DOUBLE) AS value FROM {0}"
+    rows = [row.format(table, "*", "-", "count", "count(*)")]
     for column, label in columns:
-        for metric in ("sum", "max", "min"):
-            value = f"{metric}({column})"
-            rows.append(row.format(table, column, label, metric, f"{value} IS NOT DISTINCT FROM {value}"))
+        for metric in ("sum", "max", "min")[0 if label not in ("float", "double") else 1:]:
+            rows.append(row.format(table, column, label, metric, f"{metric}({column})"))
     return " UNION ALL ".join(rows)
 
 
@@ -215,7 +210,7 @@ def oracle_sql() -> dict[str, str]:
     verdicts = VERDICTS.format(metrics=suite)
     events_both = f"(SELECT pt FROM ({left(EVENTS)}) AS a UNION ALL SELECT pt FROM ({right(EVENTS)}) AS b)"
     return {
-        "numeric_columns": " UNION ALL ".join(matching(t, c) for t, c in NUMERIC_COLUMNS.items()),
+        "numeric_columns": " UNION ALL ".join(long_profile(t, c) for t, c in NUMERIC_COLUMNS.items()),
         "profile_global": wide(left(ORDERS), ORDERS.columns),
         "profile_empty": wide(left(ORDERS), ORDERS.columns, where="o_totalprice < 0"),
         "profile_by_pt": wide(
@@ -246,8 +241,15 @@ def oracle_sql() -> dict[str, str]:
         "failing_tables": f"""
             SELECT table_name, status, CAST(row_number() OVER (ORDER BY table_name) AS INTEGER) AS number
             FROM ({verdicts}) AS v WHERE NOT match""",
-        "reasons": reasons(metrics(EVENTS), spread=False),
-        "reasons_spread": reasons(metrics(LINEITEM), spread=True),
+        "reasons": reasons(suite),
+        "exact_sums": f"""
+            SELECT {day("l_shipdate")} AS pt, count(*) AS total_count,
+                   CAST(sum(CAST((l_orderkey % 100000) * 70368744177664 AS HUGEINT)) AS VARCHAR) AS big_sum,
+                   max((l_orderkey % 100000) * 70368744177664) AS big_max
+            FROM lineitem GROUP BY 1""",
+        "lookup_run": f"""
+            SELECT table_name, partitioned, status, partitions_compared, n_diffs
+            FROM ({VERDICTS.format(metrics=all_metrics((ORDERS_BY_PT, ORDERS)))}) AS v""",
         "run_summary": f"""
             SELECT count(*) AS n_tables, count(*) FILTER (WHERE NOT match) AS n_failed
             FROM ({verdicts}) AS v""",

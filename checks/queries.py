@@ -13,6 +13,8 @@ from checks.pairs import (
     DOCUMENTS, DOCUMENTS_BY_PT, EVENTS, EVENTS_HOURLY, EVENTS_NULL_KEY, LINEITEM, MIXED, ORDERS,
     ORDERS_BY_PT, ORDERS_CHANGED, SUITE, TABLES, Pair, day,
 )
+from countersign.functions.metrics import metric_alias
+from countersign.functions.names import quoted
 from countersign.plans.report import metric_lines
 from countersign.sources.storage import drop_table, update_rows, work_folder, write_table
 from countersign.sources.tables import open_side
@@ -54,13 +56,26 @@ def comparison(pair: Pair, **options) -> Callable[[SparkSession, str], DataFrame
 
 
 def numeric_columns(spark, sf_dir):
-    frames = {name: table(spark, sf_dir, name) for name in TABLES}
-    rows = [
-        cs.compare(df, df, table_name=name, rel_tol=1e-9) for name, df in frames.items()
-    ]
-    return reduce(DataFrame.unionByName, rows).select(
-        "table_name", "column", "type", "metric", "match"
+    """Every table's profile in long form, from one scan each; sums where they are exact."""
+    def long(name: str, df: DataFrame) -> DataFrame:
+        values = [F.struct(F.lit("*"), F.lit("-"), F.lit("count"), F.col("total_count").cast("double"))]
+        for column, label in cs.numeric_columns(df):
+            exact = label not in ("float", "double")
+            for metric in ("sum", "max", "min")[0 if exact else 1:]:
+                value = F.col(quoted(metric_alias(column, metric))).cast("double")
+                values.append(F.struct(F.lit(column), F.lit(label), F.lit(metric), value))
+        row = F.explode(F.array(*values).cast("array<struct<column:string,type:string,metric:string,value:double>>"))
+        return cs.profile(df).select(F.lit(name).alias("table_name"), row.alias("row")).select("table_name", "row.*")
+
+    return reduce(DataFrame.unionByName, (long(name, table(spark, sf_dir, name)) for name in TABLES))
+
+
+def exact_sums(spark, sf_dir):
+    """Monthly sums of 64-bit keys, far beyond 64 bits."""
+    keys = table(spark, sf_dir, "lineitem").selectExpr(
+        f"{day('l_shipdate')} AS pt", "(l_orderkey % 100000) * 70368744177664 AS big"
     )
+    return cs.profile(keys, by="pt").select("pt", "total_count", F.col("big_sum").cast("string").alias("big_sum"), "big_max")
 
 
 def profile_global(spark, sf_dir):
@@ -128,11 +143,7 @@ def failing_tables(spark, sf_dir):
 
 
 def reasons(spark, sf_dir):
-    return cs.table_reasons(compared(spark, sf_dir, EVENTS))
-
-
-def reasons_spread(spark, sf_dir):
-    return cs.table_reasons(compared(spark, sf_dir, LINEITEM), max_differences=1)
+    return cs.partition_reasons(all_compared(spark, sf_dir)).drop("partitioned")
 
 
 def run_summary(spark, sf_dir):
@@ -172,21 +183,18 @@ def metadata_join(spark, sf_dir):
     joined = cs.attach_metadata(listed, metadata)
     for name in names.values():
         drop_table(spark, name)  # their files stay
-    counts = (
-        cs.row_counts(spark.read.parquet(f"{folder}/events_by_day")).withColumn("name", F.lit("events_by_day"))
-        .unionByName(
-            cs.row_counts(spark.read.parquet(f"{folder}/orders_whole")).withColumn("name", F.lit("orders_whole"))
+    def one(entry) -> DataFrame:
+        """A manifest line's metadata, and the rows at the location that was found."""
+        found = entry.location != ""
+        rows = open_side(spark, cs.Stored(entry.location)) if found else spark.range(0)
+        return cs.row_counts(rows).select(
+            F.lit(entry.table_name.removesuffix(f"_{tag}")).alias("name"),
+            F.lit(cs.is_partitioned(entry.partition_cols)).alias("partitioned"),
+            F.lit(found).alias("resolved"), F.lit(entry.error is not None).alias("has_error"),
+            F.col("total_count").alias("n_rows"),
         )
-    )
-    resolved = joined.select(
-        F.regexp_replace("table_name", f"_{tag}$", "").alias("name"),
-        F.array_contains("partition_cols", "pt").alias("partitioned"),
-        (F.col("location") != "").alias("resolved"), F.col("error").isNotNull().alias("has_error"),
-    )
-    return resolved.join(counts, "name", "left").select(
-        "name", "partitioned", "resolved", "has_error",
-        F.coalesce("total_count", F.lit(0).cast("bigint")).alias("n_rows"),
-    )
+
+    return reduce(DataFrame.unionByName, map(one, joined.collect()))  # one row a manifest line
 
 
 def scan_roundtrip(spark, sf_dir):
@@ -230,6 +238,31 @@ def report_lines(spark, sf_dir):
     return metric_lines(result.metrics, result.tables, ("Left", "Right")).select("pt", "line")
 
 
+def lookup_run(spark, sf_dir):
+    """Left copies found by their location, right ones by name, compared and summed up."""
+    folder, tag = work_folder(spark, "copies"), uuid.uuid4().hex
+    pairs = (ORDERS_BY_PT, ORDERS)
+    names = [f"{pair.table_name}_{tag}" for pair in pairs]
+    for pair, name in zip(pairs, names):
+        for side, df in zip(("old", "new"), sides(spark, sf_dir, pair)):
+            write_table(df, f"{name}_{side}", pair.key, f"{folder}/{name}_{side}")
+    for name in names:  # the right copies carry the manifest's names
+        columns = "pt" if name == names[0] else None
+        write_table(spark.table(f"{name}_new"), name, columns, f"{folder}/{name}")
+    path = f"{folder}/manifest"
+    spark.createDataFrame([(n,) for n in ["table_name", *names]], "value string").coalesce(1).write.text(path)
+    result = cs.run(
+        spark, cs.read_manifest(spark, path), lookup=lambda s, n: cs.table_metadata(s, f"{n}_old"), workers=2,
+        out=f"{folder}/results",
+    )
+    for name in [f"{n}{side}" for n in names for side in ("", "_old", "_new")]:
+        drop_table(spark, name)  # their files stay
+    return result.tables.select(
+        F.regexp_replace("table_name", f"_{tag}$", "").alias("table_name"), "partitioned", "status",
+        "partitions_compared", "n_diffs",
+    )
+
+
 def partition_counts(spark, sf_dir):
     days = table(spark, sf_dir, "events").withColumn("pt", F.expr(day("ts")))
     return cs.row_counts(days, by="pt")
@@ -260,7 +293,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_status": table_status,
         "failing_tables": failing_tables,
         "reasons": reasons,
-        "reasons_spread": reasons_spread,
+        "exact_sums": exact_sums,
+        "lookup_run": lookup_run,
         "run_summary": run_summary,
         "sql_text_roundtrip": sql_text_roundtrip,
         "manifest": manifest,

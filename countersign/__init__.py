@@ -4,7 +4,7 @@ from countersign.operators.compare import compare, differences, in_order
 from countersign.operators.partitions import partition_bounds, partition_keys, partition_range
 from countersign.operators.profile import profile, row_counts
 from countersign.operators.rollup import (
-    failing_tables, partition_reasons, partition_status, run_totals, table_reasons, table_status,
+    failing_tables, partition_reasons, partition_status, run_totals, table_status,
 )
 from countersign.operators.schema import is_partitioned, numeric_columns
 from countersign.operators.sqltext import check_sql
@@ -19,5 +19,5 @@ __all__ = [
     "differences", "failing_tables", "in_order", "is_partitioned", "numeric_columns",
     "partition_bounds", "partition_keys", "partition_range", "partition_reasons",
     "partition_status", "prefetch_metadata", "profile", "read_manifest", "report_lines",
-    "row_counts", "run", "run_totals", "table_metadata", "table_reasons", "table_status", "write_report",
+    "row_counts", "run", "run_totals", "table_metadata", "table_status", "write_report",
 ]

@@ -14,7 +14,7 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="countersign", description=__doc__)
     parser.add_argument("--manifest", required=True, help="text with one table name per line")
     parser.add_argument("--output", required=True, help="folder for report and result tables")
-    parser.add_argument("--left-catalog", help="catalog that knows the left copies' locations")
+    parser.add_argument("--left-catalog", required=True, help="catalog that knows the left copies' locations")
     parser.add_argument("--left-format", default="parquet", help="storage format of the left copies")
     parser.add_argument("--workers", type=int, default=WORKERS, help="tables compared at a time")
     parser.add_argument("--timeout", type=float, default=TIMEOUT_S, help="seconds per table")
@@ -25,9 +25,7 @@ def main() -> None:
     spark = SparkSession.builder.appName("countersign").getOrCreate()
 
     def lookup(session: SparkSession, name: str):
-        if args.left_catalog:
-            name = ".".join([args.left_catalog, *name.split(".")[-2:]])
-        return table_metadata(session, name)
+        return table_metadata(session, ".".join([args.left_catalog, *name.split(".")[-2:]]))
 
     result = run(
         spark, read_manifest(spark, args.manifest), lookup=lookup, left_format=args.left_format, workers=args.workers,

@@ -1,6 +1,6 @@
 """The fingerprint of a table: one row count, then sum, max and min of each numeric column."""
 
-from collections.abc import Iterable
+from collections.abc import Container, Iterable
 
 from countersign.functions.names import quoted
 
@@ -12,16 +12,21 @@ def metric_alias(column: str, metric: str) -> str:
     return f"{column}_{metric}"
 
 
-def aggregate_expressions(columns: Iterable[str]) -> list[str]:
-    """SQL of every aggregate, in report order. The same text is run and shown."""
+def aggregate_expressions(columns: Iterable[str], integers: Container[str] = ()) -> list[str]:
+    """SQL of every aggregate, in report order. The same text is run and shown.
+
+    Sums of ``integers`` are decimals of 38 digits, so 64-bit ids add up exactly whatever the ANSI setting.
+    """
     expressions = [f"count(1) AS {COUNT}"]
     for column in columns:
         for metric in METRICS:
             alias = quoted(metric_alias(column, metric))
-            expressions.append(f"{metric}({quoted(column)}) AS {alias}")
+            exact = metric == "sum" and column in integers
+            value = f"CAST({quoted(column)} AS DECIMAL(28,0))" if exact else quoted(column)
+            expressions.append(f"{metric}({value}) AS {alias}")
     return expressions
 
 
-def profile_expression(columns: Iterable[str]) -> str:
+def profile_expression(columns: Iterable[str], integers: Container[str] = ()) -> str:
     """All aggregates as one struct, so that a wide table takes one expression to plan."""
-    return f"struct({', '.join(aggregate_expressions(columns))})"
+    return f"struct({', '.join(aggregate_expressions(columns, integers))})"

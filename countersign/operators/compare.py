@@ -1,6 +1,5 @@
 """Comparison of two copies of a table, as rows of metrics."""
 
-import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -12,9 +11,8 @@ from countersign.functions.metrics import COUNT, METRICS, metric_alias, profile_
 from countersign.functions.names import literal, quoted
 from countersign.functions.text import value_text
 from countersign.operators.partitions import partition_range
-from countersign.operators.schema import field_type, numeric_columns
+from countersign.operators.schema import field_type, integer_columns, numeric_columns
 
-log = logging.getLogger(__name__)
 
 METRICS_SCHEMA = (
     "table_name string, partitioned boolean, pt string, ord int, column string, type string, "
@@ -44,7 +42,7 @@ def merge_profiles(
     an equi-join.
     """
     def packed(df: DataFrame, side: str) -> DataFrame:
-        fingerprint = F.expr(profile_expression(columns)).alias(side)
+        fingerprint = F.expr(profile_expression(columns, integer_columns(df))).alias(side)
         if by:
             return df.groupBy(F.col(quoted(by)).alias("pt")).agg(fingerprint)
         return df.agg(fingerprint)
@@ -183,8 +181,6 @@ def compare(
     columns only row counts are compared. With a partition column the comparison is per key,
     narrowed to ``start``..``end`` where given; without one the bounds do not apply.
     """
-    if left.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
-        log.warning("spark.sql.ansi.enabled is off: sums of integers that overflow will wrap around")
     columns = numeric_columns(left)
     if partition_column:
         _check_key_types(left, right, partition_column)

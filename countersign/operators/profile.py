@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from countersign.functions.metrics import profile_expression
 from countersign.functions.names import quoted
-from countersign.operators.schema import numeric_columns
+from countersign.operators.schema import integer_columns, numeric_columns
 
 
 def profile(
@@ -25,7 +25,7 @@ def profile(
     if columns is None:
         columns = [name for name, _ in numeric_columns(df)]
     keys = [quoted(by)] if by else []
-    packed = df.groupBy(*keys).agg(F.expr(profile_expression(columns)).alias("profile"))
+    packed = df.groupBy(*keys).agg(F.expr(profile_expression(columns, integer_columns(df))).alias("profile"))
     result = packed.select(*keys, "profile.*")
     return result.orderBy(F.col(keys[0]).asc_nulls_first()) if by and ordered else result
 

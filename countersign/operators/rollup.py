@@ -10,7 +10,6 @@ from countersign.operators.compare import differences
 
 TABLE_KEY = ("table_name",)
 LABELS = ("Left", "Right")
-REASON_DIFFERENCES = 10_000
 
 
 def partition_status(metrics: DataFrame, keys: Sequence[str] = TABLE_KEY) -> DataFrame:
@@ -56,9 +55,9 @@ def table_status(metrics: DataFrame, keys: Sequence[str] = TABLE_KEY) -> DataFra
 def partition_reasons(
     metrics: DataFrame, keys: Sequence[str] = TABLE_KEY, labels: tuple[str, str] = LABELS
 ) -> DataFrame:
-    """Text of all differences of each failing partition, joined with ``"; "``.
+    """Why each failing partition fails: its differences in metric order, joined with ``"; "``.
 
-    A group holds at most one row per metric of the table, however many rows the partition
+    One row per table and failing partition, however many there are. A group holds at most one row per metric of the table, however many rows the partition
     or partitions the table has.
     """
     prefix = F.when(F.col("partitioned"), F.concat(F.lit("pt="), shown(F.col("pt")), F.lit(": ")))
@@ -71,30 +70,6 @@ def partition_reasons(
     )
 
 
-def table_reasons(
-    metrics: DataFrame,
-    keys: Sequence[str] = TABLE_KEY,
-    labels: tuple[str, str] = LABELS,
-    max_differences: int = REASON_DIFFERENCES,
-) -> DataFrame:
-    """Why each failing table fails, in partition and metric order, joined with ``"; "``.
-
-    One row per table with a NULL ``from_pt``, as long as it has at most ``max_differences``.
-    A table beyond that gets one row per failing partition instead, to be read in the order
-    of ``from_pt``: all text is kept, and no cell grows with the number of partitions.
-    """
-    parts = partition_reasons(metrics, keys, labels)
-    failing = parts.groupBy(*keys).agg(F.sum("n_diffs").alias("n_table_diffs"))
-    spread = F.col("n_table_diffs") > max_differences
-    listed = F.array_sort(F.collect_list(F.struct("pt", "reason")))
-    return (
-        parts.join(failing, list(keys))
-        .groupBy(*keys, spread.alias("spread"), F.when(spread, F.struct("pt")).alias("cell"))
-        .agg(F.array_join(listed["reason"], "; ").alias("reason"))
-        .select(*keys, "spread", F.col("cell.pt").alias("from_pt"), "reason")
-    )
-
-
 def failing_tables(tables: DataFrame, order: Sequence[str] = TABLE_KEY) -> DataFrame:
     """Failing tables, errors included, numbered from 1.
 

@@ -21,6 +21,11 @@ def numeric_columns(df: DataFrame) -> list[tuple[str, str]]:
     ]
 
 
+def integer_columns(df: DataFrame) -> set[str]:
+    """Names of the numeric columns whose sums have to be exact."""
+    return {field.name for field in df.schema.fields if isinstance(field.dataType, T.IntegralType)}
+
+
 def is_partitioned(partition_columns: Iterable[str], name: str = PARTITION_COLUMN) -> bool:
     """Whether the table is compared per partition: only a column of exactly this name counts."""
     return name in list(partition_columns)

@@ -1,6 +1,6 @@
 """The check as SQL text. It is made of the same expressions that run, and runs itself."""
 
-from collections.abc import Sequence
+from collections.abc import Container, Sequence
 
 from pyspark.sql import types as T
 
@@ -16,9 +16,10 @@ def check_sql(
     start: str | None = None,
     end: str | None = None,
     partition_type: T.DataType = T.StringType(),
+    integers: Container[str] = (),
 ) -> str:
     """SQL of one side's profile; with no columns it is the count-only check."""
-    selected = aggregate_expressions(columns)
+    selected = aggregate_expressions(columns, integers)
     lines = []
     if partition_column:
         selected.insert(0, quoted(partition_column))

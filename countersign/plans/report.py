@@ -119,7 +119,7 @@ def header_lines(runs: DataFrame) -> DataFrame:
 
 
 def summary_lines(tables: DataFrame, reasons: DataFrame) -> DataFrame:
-    """Failing tables with their reasons; a table whose reason is spread takes a row per cell."""
+    """Failing tables with their reasons, a row per failing partition, and their errors."""
     some = F.col("n_failed") > 0
     total = _text(SUMMARY_COUNT, F.col("n_failed"), F.col("n_tables"))
     top = _paragraph(
@@ -128,12 +128,13 @@ def summary_lines(tables: DataFrame, reasons: DataFrame) -> DataFrame:
         + _if(some, [total, "", SUMMARY_HEAD, SUMMARY_RULE])
         + _if(~some, [ALL_PASS]),
     )
-    cells = reasons.filter("spread").select("line_no", "from_pt", F.col("reason").alias("cell"))
-    rows = failing_tables(tables, ("table_name", "line_no")).join(cells, "line_no", "left")
-    reason = F.translate(F.coalesce("reason", "cell"), "\r\n", "  ")
+    failing = failing_tables(tables, ("table_name", "line_no"))
+    rows = failing.join(reasons.select("line_no", "pt", "reason"), "line_no", "left")
+    error = F.concat(F.lit("ERROR: "), F.col("error"))
+    reason = F.translate(F.coalesce(error, F.col("reason")), "\r\n", "  ")
     # Rows are placed by their number, which takes the place of the manifest line here.
     return top.unionByName(_placed(
-        rows, SUMMARY, F.col("number"), 0, F.col("from_pt"), ROWS, 0,
+        rows, SUMMARY, F.col("number"), 0, F.col("pt"), ROWS, 0,
         _text(SUMMARY_ROW, F.col("number"), F.col("table_name"), F.coalesce(reason, F.lit("Unknown"))),
     ))
 

@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 
 from countersign.operators.compare import METRICS_SCHEMA, compare
 from countersign.operators.rollup import (
-    LABELS, partition_status, run_totals, table_reasons, table_status,
+    LABELS, partition_reasons, partition_status, run_totals, table_status,
 )
 from countersign.operators.schema import (
-    PARTITION_COLUMN, field_type, is_partitioned, numeric_columns,
+    PARTITION_COLUMN, field_type, integer_columns, is_partitioned, numeric_columns,
 )
 from countersign.operators.sqltext import check_sql
 from countersign.sources.catalog import Lookup, attach_metadata, prefetch_metadata
 from countersign.sources.storage import work_folder
-from countersign.sources.tables import Stored, TableSpec, open_side
+from countersign.sources.tables import Stored, TableSpec, check_two_copies, open_side
 
 log = logging.getLogger(__name__)
 
@@ -136,11 +136,13 @@ class _Runner:
                 raise spec
             key = spec.partition_column
             outcome.update(partitioned=key is not None, partition_column=key)
+            check_two_copies(self.spark, spec)
             left = open_side(self.spark, spec.left)
             right = open_side(self.spark, spec.right)
             columns = [column for column, _ in numeric_columns(left)]
             outcome["sql"] = check_sql(
                 name, columns, key, self.start, self.end,
+                integers=integer_columns(left),
                 **({"partition_type": field_type(left, key)} if key else {}),
             )
             metrics = compare(
@@ -229,13 +231,13 @@ def run(
                 time.sleep(POLL_S)
             raise
 
-    written = [runner.table_folder(o["line_no"]) for o in outcomes if o["error"] is None]
-    if written:
-        reader = spark.read.schema(RUN_METRICS_SCHEMA).option("basePath", folder)
-        metrics = reader.parquet(*written)
+    compared = spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
+    if any(o["error"] is None for o in outcomes):
+        # One read of the whole folder. A stopped table may have left rows, so only finished lines count.
+        finished = F.broadcast(compared.filter("error IS NULL").select("line_no"))  # the manifest's size
+        metrics = spark.read.schema(RUN_METRICS_SCHEMA).parquet(folder).join(finished, "line_no", "left_semi")
     else:
         metrics = spark.createDataFrame([], RUN_METRICS_SCHEMA)
-    compared = spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
 
     def stored(result: DataFrame, name: str) -> DataFrame:
         path = f"{out}/{name}/run_id={run_id}"
@@ -243,8 +245,8 @@ def run(
         return spark.read.schema(result.schema).parquet(path)
 
     partitions = stored(partition_status(metrics, RUN_KEY), "partitions")
-    reasons = stored(table_reasons(metrics, RUN_KEY, labels), "reasons")
-    tables = stored(tables_result(compared, metrics, reasons, start, end), "tables")
+    reasons = stored(partition_reasons(metrics, RUN_KEY, labels), "reasons")
+    tables = stored(tables_result(compared, metrics, start, end), "tables")
     totals = run_totals(tables).select(
         "n_tables", "n_failed",
         F.lit(start).cast("string").alias("pt_start"), F.lit(end).cast("string").alias("pt_end"),
@@ -258,7 +260,6 @@ def run(
 def tables_result(
     compared: DataFrame,
     metrics: DataFrame,
-    reasons: DataFrame,
     start: str | None = None,
     end: str | None = None,
 ) -> DataFrame:
@@ -270,12 +271,11 @@ def tables_result(
     verdicts = table_status(metrics, RUN_KEY).select(
         "line_no", "partitions_compared", "first_pt", "last_pt", "n_diffs", "match"
     )
-    whole = reasons.filter(~F.col("spread")).select("line_no", "reason")
     failed = F.col("error").isNotNull()
     match = ~failed & F.coalesce("match", F.lit(True))
     compared_by_partition = F.col("partitioned") & ~failed
     nothing_found = F.col("partitioned") & (F.coalesce("partitions_compared", F.lit(0)) == 0)
-    joined = compared.join(verdicts, "line_no", "left").join(whole, "line_no", "left")
+    joined = compared.join(verdicts, "line_no", "left")
     return joined.select(
         "line_no", "table_name", "partitioned", "partition_column",
         F.when(failed, "error").when(nothing_found, "no_partitions")
@@ -286,6 +286,5 @@ def tables_result(
         F.when(compared_by_partition, F.coalesce(F.lit(start), "first_pt")).alias("pt_start"),
         F.when(compared_by_partition, F.coalesce(F.lit(end), "last_pt")).alias("pt_end"),
         F.coalesce("n_diffs", F.lit(0).cast("bigint")).alias("n_diffs"),
-        F.when(failed, F.concat(F.lit("ERROR: "), "error")).otherwise(F.col("reason")).alias("reason"),
         "error", "sql", "started", "elapsed_s",
     )

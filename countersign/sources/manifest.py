@@ -1,6 +1,6 @@
 """The list of tables to compare: text, one table name per line."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HEADER = "table_name"
@@ -10,12 +10,15 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """``line_no, table_name`` from any file system Spark reads.
 
     Lines are trimmed; blank ones and all that start with the header word are left out.
-    Repeated names stay, as they are compared twice. ``line_no`` grows in file order, with
-    gaps. There is no quoting.
+    Repeated names stay, as they are compared twice. ``line_no`` grows by file path and
+    position in the file, from 1. There is no quoting.
     """
     name = F.regexp_replace("value", r"(?U)^\s+|\s+$", "")
+    place = ("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select(F.struct(*place).alias("place"), name.alias("table_name"))
+    # One short row per table; a run lists them on the driver anyway.
+    numbered = F.row_number().over(Window.orderBy("place")).cast("bigint")
     return (
-        spark.read.text(path)
-        .select(F.monotonically_increasing_id().alias("line_no"), name.alias("table_name"))
+        lines.select(numbered.alias("line_no"), "table_name")
         .filter((F.length("table_name") > 0) & ~F.startswith("table_name", F.lit(HEADER)))
     )

@@ -1,6 +1,5 @@
 """Writing: shared work folders, partitioned tables, row updates."""
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -10,21 +9,17 @@ from pyspark.sql import functions as F
 from countersign.functions.names import quoted, quoted_table
 
 SHARED_FOLDER = "spark.checkpoint.dir"
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the shared one the cluster names.
-
-    Executors must all reach it, so without the setting only a local session gets a folder
-    of this machine.
-    """
-    context = spark.sparkContext
-    shared = spark.conf.get(SHARED_FOLDER, None) or context.getCheckpointDir()
+    """A new folder below the shared one the cluster names, or else below the warehouse."""
+    shared = (
+        spark.conf.get(SHARED_FOLDER, None) or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get(WAREHOUSE, None)
+    )
     if not shared:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {SHARED_FOLDER} to a folder all executors reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="countersign-"))
-        shared = context.getCheckpointDir()
+        raise ValueError(f"set {SHARED_FOLDER} to a folder all executors reach")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -45,9 +40,11 @@ def write_table(
 ) -> None:
     """Create or replace a catalog table, partitioned where asked, at ``path`` where given.
 
-    Rows are not gathered by key first: a partition that holds a large share of the table is
-    written by all the tasks that have rows of it.
+    Rows are rebalanced by key first, so a partition has few files, and one that holds a large
+    share of the table is split among tasks.
     """
+    if partition_column:
+        df = df.hint("rebalance", F.col(quoted(partition_column)))
     writer = df.write.format(format).mode("overwrite")
     if partition_column:
         writer = writer.partitionBy(partition_column)

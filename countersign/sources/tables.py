@@ -2,11 +2,12 @@
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from countersign.sources.catalog import table_metadata
+
 INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 # Formats whose partition values are only text in directory names, so that Spark guesses a type.
 DIRECTORY_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro")
@@ -48,28 +49,31 @@ def open_path(spark: SparkSession, stored: Stored) -> DataFrame:
     """Open by format and path, keeping partition keys from directory names as text.
 
     Spark would read ``pt=20250101`` as an integer: leading zeros would be lost and the key
-    would count as a numeric column. With that inference switched off in the session, or a
-    schema given, the files are listed once; otherwise a second time where a key was guessed.
+    would count as a numeric column. So the schema is asked of a session that does not guess: its
+    keys are those that Spark finds below the path. Give a schema to list the files once only.
     """
     reader = spark.read.format(stored.format).options(**stored.options)
     if stored.schema is not None:
         return reader.schema(stored.schema).load(stored.path)
-    df = reader.load(stored.path)
     if stored.format.lower() not in DIRECTORY_FORMATS or spark.conf.get(INFERENCE) != "true":
-        return df
-    keys = _directory_keys(df)
-    as_text = T.StructType(
-        [
-            T.StructField(f.name, T.StringType(), f.nullable) if f.name in keys else f
-            for f in df.schema.fields
-        ]
-    )
-    return df if as_text == df.schema else reader.schema(as_text).load(stored.path)
-
-
-def _directory_keys(df: DataFrame) -> set[str]:
-    """Columns that come from directory names: those are in the path of any file."""
-    first = df.select("_metadata.file_path").take(1)
-    folders = first[0][0].split("/")[:-1] if first else []
-    names = {unquote(folder.split("=")[0]) for folder in folders if "=" in folder}
-    return names & set(df.columns)
+        return reader.load(stored.path)
+    plain = spark.newSession()
+    plain.conf.set(INFERENCE, "false")
+    schema = plain.read.format(stored.format).options(**stored.options).load(stored.path).schema
+    return reader.schema(schema).load(stored.path)
+
+
+def _folder(location: str) -> str:
+    """A location in one form: ``file:/a``, ``file:///a`` and ``/a/`` are the same folder."""
+    scheme, colon, rest = location.partition(":")
+    path = rest if colon and "/" not in scheme else location
+    path = "/" + path.strip("/") if not path.startswith("//") or path.startswith("///") else path.rstrip("/")
+    return path if not colon or scheme == "file" else f"{scheme}:{path}"
+
+
+def check_two_copies(spark: SparkSession, spec: TableSpec) -> None:
+    """A table must not be compared with itself: that passes and says nothing."""
+    if isinstance(spec.left, Stored) and isinstance(spec.right, str):
+        location, _ = table_metadata(spark, spec.right)
+        if location and _folder(location) == _folder(spec.left.path):
+            raise ValueError(f"both copies of {spec.table_name} are the same folder: {location}")

@@ -165,10 +165,18 @@ def test_right_column_that_is_no_number(spark):
         cs.compare(left, right.select((F.col("a") == "1").alias("a")), table_name="t")
 
 
-def test_overflow_is_an_error(spark):
-    df = spark.createDataFrame([(2**63 - 1,), (1,)], "a bigint")
-    with pytest.raises(Exception, match="(?i)overflow"):
-        cs.compare(df, df, table_name="t").collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_large_integers_add_up_exactly_in_either_mode(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(2**63 - 1,), (2**63 - 1,), (5,)], "a bigint")
+        sums = cs.compare(df, df, table_name="t").filter("metric = 'sum'").first()
+        assert (sums.left_value, sums.match) == (str(2**64 + 3), True)
+        # Sums that differ by 2^64 are equal where they wrap around.
+        other = spark.createDataFrame([(2**63 - 1,), (-(2**63),), (4,)], "a bigint")
+        assert not cs.compare(df, other, table_name="t").filter("metric = 'sum'").first().match
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])

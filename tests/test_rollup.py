@@ -41,20 +41,21 @@ def test_totals_of_nothing(spark):
 
 
 def test_reasons_in_partition_and_metric_order(spark):
-    reasons = {r.table_name: r for r in cs.table_reasons(both(spark)).collect()}
-    assert set(reasons) == {"keyed", "flat"}
-    assert reasons["keyed"].reason == "; ".join(KEYED_1 + KEYED_2)
-    assert reasons["keyed"].from_pt is None and not reasons["keyed"].spread
-    assert reasons["flat"].reason.startswith("`*`.count: Left=6 vs Right=5; `id`.sum: Left=21 vs Right=15; ")
+    reasons = {(r.table_name, r.pt): r for r in cs.partition_reasons(both(spark)).collect()}
+    assert set(reasons) == {("keyed", "20250101"), ("keyed", "20250102"), ("flat", None)}
+    assert reasons["keyed", "20250101"].reason == "; ".join(KEYED_1)
+    assert reasons["keyed", "20250102"].reason == "; ".join(KEYED_2)
+    assert reasons["flat", None].reason.startswith("`*`.count: Left=6 vs Right=5; `id`.sum: Left=21 vs Right=15; ")
 
 
-def test_reasons_of_many_partitions_are_spread_whole(spark):
-    rows = cs.table_reasons(both(spark), max_differences=6).orderBy("table_name", "from_pt").collect()
-    assert [(r.table_name, r.spread, r.from_pt) for r in rows] == [
-        ("flat", False, None), ("keyed", True, "20250101"), ("keyed", True, "20250102")]
-    assert [r.reason for r in rows[1:]] == ["; ".join(KEYED_1), "; ".join(KEYED_2)]
+def test_reasons_have_one_shape_at_any_size(spark):
+    for n in (10_000, 10_001):
+        keys = spark.range(n).selectExpr("CAST(id AS STRING) AS pt", "'x' AS name")
+        reasons = cs.partition_reasons(cs.compare(keys, keys.limit(0), table_name="t", partition_column="pt"))
+        assert reasons.columns == ["table_name", "partitioned", "pt", "n_diffs", "reason"]
+        assert reasons.count() == n and reasons.filter("reason IS NULL OR n_diffs <> 1").isEmpty()
 
 
 def test_labels(spark):
-    reason = cs.table_reasons(both(spark), labels=("Old", "New")).filter("table_name = 'flat'").first().reason
+    reason = cs.partition_reasons(both(spark), labels=("Old", "New")).filter("table_name = 'flat'").first().reason
     assert reason.startswith("`*`.count: Old=6 vs New=5; ")

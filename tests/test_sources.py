@@ -152,3 +152,34 @@ def test_check_sql_runs_and_agrees_with_the_profile(spark):
     assert spark.sql(ranged).collect() == expected.collect()
     counts = cs.check_sql("keyed_left", [], "pt")
     assert spark.sql(counts).collect() == cs.row_counts(left, "pt").orderBy(F.col("pt")).collect()
+
+
+def test_keys_are_those_below_the_path(spark, tmp_path):
+    """No key from above the root, none lost where no file holds a row, leading zeros kept."""
+    root = tmp_path / "env=5" / "t"
+    rows = spark.createDataFrame([(1, 7, "0012"), (2, 8, "0013")], "id int, env int, pt string")
+    rows.write.partitionBy("pt").parquet(str(root))
+    opened = open_side(spark, cs.Stored(str(root)))
+    assert dict(opened.dtypes) == {"id": "int", "env": "int", "pt": "string"}
+    assert sorted(map(tuple, opened.collect())) == [(1, 7, "0012"), (2, 8, "0013")]
+    for day in ("20250101", "20250102"):
+        rows.limit(0).drop("pt").write.parquet(str(tmp_path / "empty" / f"pt={day}"))
+    empty = open_side(spark, cs.Stored(str(tmp_path / "empty")))
+    assert dict(empty.dtypes)["pt"] == "string" and empty.isEmpty()
+    metrics = cs.compare(empty, rows, table_name="t", partition_column="pt")
+    assert cs.partition_status(metrics).filter("presence = 'RIGHT_ONLY'").count() == 2
+
+
+def test_partitioned_write_has_few_files(spark, tmp_path):
+    rows = spark.range(20_000, numPartitions=16).selectExpr("id", "concat('k', id % 5) AS pt")
+    write_table(rows, "few_files", "pt", str(tmp_path / "few"))
+    drop_table(spark, "few_files")
+    assert len(list((tmp_path / "few").glob("pt=*/*.parquet"))) == 5
+
+
+def test_manifest_order_over_several_files(spark, tmp_path):
+    (tmp_path / "list").mkdir()
+    (tmp_path / "list" / "a.txt").write_text("a1\n")
+    (tmp_path / "list" / "b.txt").write_text("\n".join(f"b{i}" for i in range(50)))
+    read = cs.read_manifest(spark, str(tmp_path / "list")).orderBy("line_no").collect()
+    assert [r.table_name for r in read] == ["a1", *[f"b{i}" for i in range(50)]]
