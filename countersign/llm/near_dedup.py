@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from countersign.llm.shared import written
 
@@ -154,7 +155,7 @@ def shingle_sets(docs: DataFrame, settings: NearSettings) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(full, "doc_id bigint, hashes binary")
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def common(left: pd.Series, right: pd.Series) -> pd.Series:
     """Size of the intersection of two sets of hashes."""
     sizes = []
