@@ -1,0 +1,157 @@
+"""Operators made of Spark expressions: chat formatting, fingerprints, mixing, pseudonyms."""
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from countersign.llm import chat, mixing, omh, pii
+from countersign.llm.queries import op4_chat_format, op5_order_minhash
+
+DATA = "/root/testdata/sf0.001"
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_chats_read_back(spark, rows_of):
+    said = r"\### Assistant: </turn> ok"
+    turns = {-7: [(0, "user", said), (1, "assistant", said)]}
+    for conv, turn, role, text in rows_of("conversations", "conv_id, turn, role, text"):
+        turns.setdefault(conv, []).append((turn, role, text or ""))
+    found = {r.conv_id: r for r in op4_chat_format(spark, DATA).collect()}
+    assert found.keys() == turns.keys()
+    for conv, rows in turns.items():
+        rows.sort()
+        loss = "".join(t for _, role, t in rows if role == "assistant")
+        row = found[conv]
+        assert row.n_turns == len(rows)
+        assert row.turns_sha256 == sha("".join(f"{role}\n{t}\n" for _, role, t in rows))
+        assert (row.loss_chars, row.loss_sha256) == (len(loss), sha(loss))
+
+
+def test_chats_with_control_strings_and_nulls(spark):
+    rows = [
+        (1, 0, "user", "<turn>x<says></turn>\n"), (1, 1, "user", r"<\says> <\\then> </turn"), (1, 2, None, None),
+        (1, 3, "assistant", "<then>"), (1, 3, "assistant", "<then>"), (1, None, "<says>", "first"),
+        (None, 0, "user", "no id"), (2, 0, "assistant", ""),
+    ]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").withColumn("pieces", F.lit(1))
+    got = {
+        r.conv_id: r for r in chat.format_chats(df).withColumn("rows", chat.read_turns(F.col("formatted")))
+        .withColumn("loss", chat.loss_text(F.col("pieces"))).collect()
+    }
+    assert [tuple(t) for t in got[1].rows] == [
+        ("<says>", "first"), ("user", rows[0][3]), ("user", rows[1][3]), ("", ""), ("assistant", "<then>"), ("assistant", "<then>")]
+    assert got[1].n_blocks == 4 and got[1].loss == "<then><then>"
+    assert [tuple(t) for t in got[None].rows] == [("user", "no id")] and got[2].loss == ""
+    assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_edited_texts_and_likeness(spark, rows_of):
+    docs = sorted(((i, t or "") for i, t in rows_of("documents", "doc_id, text")), reverse=True)
+    found = {r.doc_id: r for r in op5_order_minhash(spark, DATA).collect()}
+    by_text = {}
+    for k, (doc, text) in enumerate(docs):
+        cut, other = len(text) // 3, docs[(k + 1) % len(docs)][1]
+        row = found[doc]
+        assert row.n_chars == len(text)
+        assert row.edited_sha256 == sha(text[: len(text) - cut] + other[:cut])
+        assert by_text.setdefault(text, row.fingerprint) == row.fingerprint
+    near = [r.near_edited > r.near_next for r in found.values() if r.n_chars > 200]
+    assert sum(near) >= 0.95 * len(near)
+
+
+def test_next_document_over_slices(spark):
+    rows = [(i, f"text {i}") for i in range(500)] + [(None, "none"), (7, "again"), (7, "text 7")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = omh.with_next(docs, slice_rows=20).select("doc_id", "text", "next_text").collect()
+    order = sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -1), r[1]))
+    want = sorted((*map(str, r), order[(k + 1) % len(order)][1]) for k, r in enumerate(order))
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in got) == want
+    one = omh.with_next(docs.filter("doc_id = 3")).first()
+    assert one.next_text == "text 3"
+    assert omh.with_next(docs.limit(0)).count() == 0
+
+
+def test_fingerprint_is_order_sensitive(spark, odd_docs):
+    rows = spark.createDataFrame(
+        [(" ".join(f"w{i}" for i in range(400)), " ".join(f"w{i}" for i in [*range(200, 400), *range(200)]))], "a string, b string"
+    )
+    prints = rows.select(omh.fingerprint(F.col("a")).alias("a"), omh.fingerprint(F.col("b")).alias("b"))
+    moved = prints.select(omh.likeness(F.col("a"), F.col("b"))).first()[0]
+    assert 0.2 < moved < 0.8  # the same k-mers but for two; pairs across the move change places
+    odd = odd_docs.select(omh.fingerprint(F.coalesce("text", F.lit(""))).alias("p")).collect()
+    assert all(len(r.p) == omh.SKETCHES for r in odd) and odd[1].p == [0] * omh.SKETCHES
+
+
+def rake_by_hand(cells, targets, share, rounds):
+    """The same fitting over a plain dictionary."""
+    total = sum(cells.values()) * share
+    raked = {k: v * share for k, v in cells.items()}
+    for _ in range(rounds):
+        for d in range(3):
+            now = {}
+            for k, v in raked.items():
+                now[k[d]] = now.get(k[d], 0) + v
+            raked = {k: min(cells[k], v * targets[d][k[d]] * total / now[k[d]] if now[k[d]] else 0) for k, v in raked.items()}
+    return raked
+
+
+def test_raking(spark):
+    cells = {(s, l, t): 10 * (1 + i) for i, (s, l, t) in enumerate((s, l, t) for s in "abc" for l in "xy" for t in "pq")}
+    targets = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"x": 0.5, "y": 0.5}, "topic": {"p": 0.4, "q": 0.6}}
+    df = spark.createDataFrame([(*k, v) for k, v in cells.items()], "source string, lang string, topic string, tokens bigint")
+    got = {(r.source, r.lang, r.topic): r.raked for r in mixing.rake(df, targets, 0.3, rounds=6, tolerance=0).collect()}
+    want = rake_by_hand(cells, list(targets.values()), 0.3, 6)
+    assert got == pytest.approx(want)
+
+
+def test_mixing_of_odd_tables(spark, odd_docs):
+    mixed = mixing.mix(odd_docs, sampled_share=1.0).collect()
+    assert len(mixed) == odd_docs.count()
+    assert all(0 <= r.probability <= 1 + 1e-9 for r in mixed)
+    assert {r.row.doc_id for r in mixed} == {1, 2, 3, 4, 5, 6, 7, 8, 9, None}
+    assert mixing.mix(odd_docs.limit(0)).count() == 0
+
+
+def luhn(digits: str) -> bool:
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_pseudonyms_keep_formats_and_links(spark, odd_docs):
+    text = (
+        "card 4111 1111 1111 1111 or 4111111111111111, not 4111111111111112; ip 10.0.255.3, not 10.0.256.3; "
+        "+1 (017) 555-7713; 123-45-6789; 2024-02-29, not 2023-02-29; 29.02.2024; an.na7@mail.example.org; "
+        'DE89 3704 0044 0532 0130 00; token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"; room 12'
+    )
+    df = spark.createDataFrame([(1, text, 0), (2, "Call +1 (017) 555-7713!", 0), (3, "nothing", 0)], "doc_id int, text string, `row` int")
+    rows = {r.doc_id: r for r in pii.pseudonymise(df, "k").collect()}
+    new, shape = rows[1].text, lambda s: re.sub("[0-9]", "9", s)
+    assert list(rows[1].private_kinds) == ["card", "card", "ip", "phone", "ssn", "date", "date", "email", "iban", "secret"]
+    assert "4111111111111112" in new and "10.0.256.3" in new and "2023-02-29" in new and new.endswith("; room 12")
+    spaced, plain = re.search(r"card ([0-9 ]{19}) or ([0-9]{16})", new).groups()
+    assert spaced.replace(" ", "") == plain != "4111111111111111" and luhn(plain)
+    phone = re.search(r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}", new)[0]
+    assert phone in rows[2].text and phone != "+1 (017) 555-7713"
+    iban = re.search(r"DE[0-9]{2}(?: [0-9]{4}){4} [0-9]{2}", new)[0].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    assert shape(new).count("@mail.example.org") == 1 and "an.na7@" not in new
+    assert rows[3].text == "nothing" and rows[3].row == 0
+    assert rows[1].text != pii.pseudonymise(df, "other").filter("doc_id = 1").first().text
+    odd = pii.pseudonymise(odd_docs, "k")
+    assert odd.columns == [*odd_docs.columns, "private_kinds"] and odd.count() == odd_docs.count()
+    assert odd.filter("doc_id = 1").first().text is None
+    with pytest.raises(ValueError, match="name another"):
+        pii.pseudonymise(odd, "k")
+
+
+def test_pseudonyms_are_a_permutation(spark):
+    ips = spark.range(3000).selectExpr("id", "concat('10.', id % 7, '.', cast(id / 256 as int), '.', id % 256) AS text")
+    dates = spark.range(73_049).selectExpr("id", "cast(date_add(date'1900-01-01', cast(id as int)) as string) AS text").filter("id % 16 = 0")
+    for df in (ips, dates):
+        new = pii.pseudonymise(df, "k")
+        assert new.select("text").distinct().count() == df.select("text").distinct().count()
+        assert new.filter("size(private_kinds) <> 1").isEmpty()
