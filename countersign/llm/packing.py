@@ -14,8 +14,11 @@ Results in special cases: a NULL text is the empty one and gives one piece, the
 rows are documents of their own; an empty table gives no row; other columns are ignored.
 """
 
+import re
 from bisect import insort
+from collections import ChainMap
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,8 @@ from pyspark.sql import functions as F
 from countersign.llm.shared import written
 
 SIZE, END_ID = 2048, 1
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
+_CLAUSE_MARK = re.compile(r"(?<=[a-z])([.,])(?=[ \n]|\Z)")  # the tokenizer parts a letter from a mark
 BUCKET_ROWS = 20_000
 
 
@@ -35,6 +39,16 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def separable(text: str) -> str:
+    """A text of the same ids with fewer different words: lower case, clause marks apart.
+
+    The tokenizer lowers letters itself, except in the names of special tokens. Texts where
+    lowering first could matter (these names, a final sigma, a dotted I, letters not composed yet) keep their case.
+    """
+    plain = not any(s in text for s in ("<|", "\u03a3", "\u0130")) and is_normalized("NFC", text)
+    return _CLAUSE_MARK.sub(r" \1", text.lower() if plain else text)
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
     """``doc_id, start, length, doc_tokens, ids`` per piece; ids are little-endian unsigned 32-bit numbers.
 
@@ -56,31 +70,18 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
         known: dict[str, bytes] = {"": b""}
         end = np.array([end_id], "<u4").tobytes()
 
-        def learn(words: set[str]) -> dict[str, bytes]:
-            """Ids of new words; a word that ends a clause is its letters and the mark."""
-            new: dict[str, tuple[str, str]] = {}
-            for word in words:
-                marked = word[-1] in ",." and word[:-1].isascii() and word[:-1].isalpha()
-                core = word[:-1] if marked else word
-                core = core.lower() if core.isascii() and core.isalpha() else core
-                new[word] = (core, word[-1] if marked else "")
-            missing = list({part for pair in new.values() for part in pair if part not in known})
-            found = {
-                part: np.array(e.ids, "<u4").tobytes()
-                for part, e in zip(missing, tokenizer.encode_batch_fast(missing, add_special_tokens=False))
+        def encoded(texts: list[str]) -> list[bytes]:
+            split = [separable(text).replace("\n", " ").split(" ") for text in texts]
+            missing = list(set().union(*split) - known.keys())
+            new = {
+                word: np.array(e.ids, "<u4").tobytes()
+                for word, e in zip(missing, tokenizer.encode_batch_fast(missing, add_special_tokens=False))
             }
-            ids = lambda part: found[part] if part in found else known[part]
-            out = {word: ids(core) + ids(mark) for word, (core, mark) in new.items()}
             if len(known) < CACHED_WORDS:
-                known.update(found)
-                known.update(out)
-            return out
-
-        def encoded(texts: list[str]) -> list[bytes]:
-            split = [text.replace("\n", " ").split(" ") for text in texts]
-            words = set().union(*split)
-            found = {w: known[w] for w in words & known.keys()} | learn(words - known.keys())
-            return [b"".join([found[w] for w in words]) + end for words in split]
+                known.update(new)
+                return [b"".join([known[w] for w in words]) + end for words in split]
+            both = ChainMap(known, new)
+            return [b"".join([both[w] for w in words]) + end for words in split]
 
         for batch in batches:
             keys, texts = batch.column("doc_id"), batch.column("text")
