@@ -15,20 +15,25 @@ rows are documents of their own; an empty table gives no row; other columns are
 """
 
 import re
+import sys
 from bisect import insort
 from collections import ChainMap
 from collections.abc import Iterator
+from types import ModuleType
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from countersign.llm.shared import written
 
 SIZE, END_ID = 2048, 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
+STORE = "countersign_known_words"
+CHUNK_CHARACTERS = 500_000
 _CLAUSE_MARK = re.compile(r"(?<=[a-z])([.,])(?=[ \n]|\Z)")  # the tokenizer parts a letter from a mark
 BUCKET_ROWS = 20_000
 
@@ -53,7 +58,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
     """``doc_id, start, length, doc_tokens, ids`` per piece; ids are little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins over a space or a line end, so texts are cut there and each
-    different word is tokenized once a task, as long as the store of words has room.
+    different word is tokenized once a worker process, as long as the store of words has room.
     """
     with open(tokenizer_path or default_tokenizer(), encoding="utf-8") as file:
         definition = file.read()  # about 2 MB; executors need not have the file
@@ -66,8 +71,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(definition)
-        known: dict[str, bytes] = {"": b""}
+        # Words stay known to the worker process for the tasks that follow.
+        store = sys.modules.setdefault(STORE, ModuleType(STORE)).__dict__
+        if definition not in store:
+            store[definition] = Tokenizer.from_str(definition), {"": b""}
+        tokenizer, known = store[definition]
         end = np.array([end_id], "<u4").tobytes()
 
         def encoded(texts: list[str]) -> list[bytes]:
@@ -84,11 +92,15 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
             return [b"".join([both[w] for w in words]) + end for words in split]
 
         for batch in batches:
-            keys, texts = batch.column("doc_id"), batch.column("text")
-            for at in range(0, batch.num_rows, 256):
-                rows = []
-                part = texts.slice(at, 256).to_pylist()
-                for key, ids in zip(keys.slice(at, 256).to_pylist(), encoded(part)):
+            keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            # Few characters at a time: the words of a text take much more memory than the text.
+            ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False)) // CHUNK_CHARACTERS
+            for rows_at in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(ends)) + 1):
+                if not len(rows_at):
+                    continue
+                first, rows = int(rows_at[0]), []
+                part = texts.slice(first, len(rows_at)).to_pylist()
+                for key, ids in zip(keys[first : first + len(part)], encoded(part)):
                     total = len(ids) // 4
                     rows += [
                         (key, start, min(size, total - start), total, ids[4 * start : 4 * (start + size)])
