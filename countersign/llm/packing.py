@@ -19,6 +19,7 @@ import sys
 from bisect import insort
 from collections import ChainMap
 from collections.abc import Iterator
+from struct import pack as pack_into_bytes
 from types import ModuleType
 from unicodedata import is_normalized
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from countersign.llm.shared import written
 
 SIZE, END_ID = 2048, 1
-CACHED_WORDS = 500_000
+CACHED_WORDS = 800_000
 STORE = "countersign_known_words"
 CHUNK_CHARACTERS = 500_000
 _CLAUSE_MARK = re.compile(r"(?<=[a-z])([.,])(?=[ \n]|\Z)")  # the tokenizer parts a letter from a mark
@@ -82,7 +83,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
             split = [separable(text).replace("\n", " ").split(" ") for text in texts]
             missing = list(set().union(*split) - known.keys())
             new = {
-                word: np.array(e.ids, "<u4").tobytes()
+                word: pack_into_bytes(f"<{len(e.ids)}I", *e.ids)
                 for word, e in zip(missing, tokenizer.encode_batch_fast(missing, add_special_tokens=False))
             }
             if len(known) < CACHED_WORDS:
