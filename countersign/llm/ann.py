@@ -35,7 +35,7 @@ class ForestSettings:
     trees: int = 10
     leaf_rows: int = 64
     sample_rows: int = 20_000
-    visits: int = 120
+    visits: int = 400
     block_rows: int = 4096
     block_queries: int = 2048
     seed: int = 2
