@@ -26,6 +26,8 @@ from countersign.llm.shared import written
 
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS, TOLERANCE = 12, 1e-3
+#: Goals and sums of a dimension with at most so many values are broadcast; beyond, they are joined by a shuffle.
+BROADCAST_VALUES = 100_000
 Targets = Mapping[str, Mapping[str, float]]
 
 #: Topic of a text: the first rule that its text matches, else "prose".
@@ -76,34 +78,31 @@ def rake(
 ) -> DataFrame:
     """``source, lang, topic, tokens, raked``: tokens to sample from each cell."""
     cells = written(cells, "cells")
-    goals = {
-        d: written(shares(cells, d, targets.get(d, {}), smoothing), f"goal-{d}") for d in DIMENSIONS
-    }
-    wanted = cells.agg(F.sum("tokens")).first()[0] or 0
-    wanted *= sampled_share
-    raked = cells.withColumn("raked", F.col("tokens") * F.lit(float(sampled_share)))
+    listed, few = cells, {}
+    for d in DIMENSIONS:
+        goal = written(shares(cells, d, targets.get(d, {}), smoothing), f"goal-{d}")
+        few[d] = goal.count() <= BROADCAST_VALUES
+        same = listed[d].eqNullSafe(goal["value"])
+        listed = listed.join(F.broadcast(goal) if few[d] else goal, same).drop("value").withColumnRenamed("share", f"goal_{d}")
+    wanted = (cells.agg(F.sum("tokens")).first()[0] or 0) * sampled_share
+    kept = [*DIMENSIONS, "tokens", *[f"goal_{d}" for d in DIMENSIONS]]
+    raked = written(listed.withColumn("raked", F.col("tokens") * F.lit(float(sampled_share))), "raked")
     for _ in range(rounds):
-        before = raked
+        raked = raked.select(*kept, "raked", F.col("raked").alias("last"))
         for d in DIMENSIONS:
+            # One row a value: as many as its goals.
             sums = raked.groupBy(F.col(d).alias("value")).agg(F.sum("raked").alias("now"))
-            factors = sums.join(goals[d], sums["value"].eqNullSafe(goals[d]["value"])).select(
-                sums["value"].alias("value"),
-                F.when(F.col("now") > 0, F.col("share") * F.lit(wanted) / F.col("now")).otherwise(F.lit(0.0)).alias("factor"),
-            )
-            joined = raked.join(factors, raked[d].eqNullSafe(factors["value"]))
-            raked = joined.select(
-                *DIMENSIONS, "tokens",
-                F.least(F.col("tokens").cast("double"), F.col("raked") * F.col("factor")).alias("raked"),
-                *(["last"] if "last" in raked.columns else [F.col("raked").alias("last")]),
-            )
+            joined = raked.join(F.broadcast(sums) if few[d] else sums, raked[d].eqNullSafe(sums["value"]))
+            factor = F.when(F.col("now") > 0, F.col(f"goal_{d}") * F.lit(wanted) / F.col("now")).otherwise(F.lit(0.0))
+            scaled = F.least(F.col("tokens").cast("double"), F.col("raked") * factor)
+            raked = joined.select(*kept, "last", scaled.alias("raked"))
         raked = written(raked, "raked")
         change = raked.agg(
             F.max(F.abs(F.col("raked") - F.col("last")) / F.greatest(F.lit(1.0), F.col("last")))
         ).first()[0]
-        raked = raked.drop("last")
         if change is None or change <= tolerance:
             break
-    return raked
+    return raked.select(*DIMENSIONS, "tokens", "raked")
 
 
 def mix(
