@@ -19,9 +19,9 @@ import sys
 from bisect import insort
 from collections import ChainMap
 from collections.abc import Iterator
+from itertools import pairwise
 from struct import pack as pack_into_bytes
 from types import ModuleType
-from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +34,16 @@ from countersign.llm.shared import written
 SIZE, END_ID = 2048, 1
 CACHED_WORDS = 800_000
 STORE = "countersign_known_words"
-CHUNK_CHARACTERS = 500_000
-_CLAUSE_MARK = re.compile(r"(?<=[a-z])([.,])(?=[ \n]|\Z)")  # the tokenizer parts a letter from a mark
+CHUNK_CHARACTERS = 2_000_000
+LINE_WORDS = 500
 BUCKET_ROWS = 20_000
 
+# Where lowering letters first could matter: names of special tokens, capital sigma, dotted capital I, letters newer than Unicode 15.
+_CASE_MATTERS = r"<\||[\x{3a3}\x{130}\x{1c89}\x{a7cb}-\x{a7dc}\x{10d50}-\x{10d65}]"
+# Marks that end a word. The tokenizer parts them from letters too; apostrophes and the marks of special tokens stay.
+_END_MARKS = r"([a-zß-öø-ÿ])([!-&(-/:;=?@\[-`{}~]+)([ \n]|$)"
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -45,14 +51,16 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def separable(text: str) -> str:
-    """A text of the same ids with fewer different words: lower case, clause marks apart.
+def separable(texts: pa.StringArray) -> pa.StringArray:
+    """Texts of the same ids with fewer different words: lower case, the marks at a word's end apart.
 
     The tokenizer lowers letters itself, except in the names of special tokens. Texts where
     lowering first could matter (these names, a final sigma, a dotted I, letters not composed yet) keep their case.
     """
-    plain = not any(s in text for s in ("<|", "\u03a3", "\u0130")) and is_normalized("NFC", text)
-    return _CLAUSE_MARK.sub(r" \1", text.lower() if plain else text)
+    cased = pc.match_substring_regex(texts, _CASE_MATTERS)
+    composed = pc.equal(pc.utf8_normalize(texts, "NFC"), texts)
+    lowered = pc.if_else(pc.and_not(composed, cased), pc.utf8_lower(texts), texts)
+    return pc.replace_substring_regex(lowered, _END_MARKS, r"\1 \2\3")
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
@@ -79,28 +87,54 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
         tokenizer, known = store[definition]
         end = np.array([end_id], "<u4").tobytes()
 
-        def encoded(texts: list[str]) -> list[bytes]:
-            split = [separable(text).replace("\n", " ").split(" ") for text in texts]
-            missing = list(set().union(*split) - known.keys())
-            new = {
-                word: pack_into_bytes(f"<{len(e.ids)}I", *e.ids)
-                for word, e in zip(missing, tokenizer.encode_batch_fast(missing, add_special_tokens=False))
-            }
+        def alone(words: list[str]) -> list[bytes]:
+            found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
+            return [pack_into_bytes(f"<{len(e.ids)}I", *e.ids) for e in found]
+
+        def together(words: list[str]) -> list[bytes]:
+            """Words of letters in few calls; should the tokenizer see other words in them, one by one."""
+            lines = [" ".join(words[i : i + LINE_WORDS]) for i in range(0, len(words), LINE_WORDS)]
+            out = []
+            for e in tokenizer.encode_batch(lines, add_special_tokens=False):
+                ids = np.array(e.ids, "<u4").tobytes()
+                cuts = 4 * np.flatnonzero(np.diff(np.array(e.word_ids, np.int64), prepend=-1))
+                out += [ids[a:b] for a, b in pairwise([*cuts.tolist(), len(ids)])]
+            return out if len(out) == len(words) else alone(words)
+
+        def of_words(words: list[str]) -> list[bytes]:
+            missing = [word for word in words if word not in known]
+            letters = [word for word in missing if _LETTERS.fullmatch(word)]
+            others = [word for word in missing if not _LETTERS.fullmatch(word)]
+            new = dict(zip(letters, together(letters))) | dict(zip(others, alone(others)))
             if len(known) < CACHED_WORDS:
                 known.update(new)
-                return [b"".join([known[w] for w in words]) + end for words in split]
-            both = ChainMap(known, new)
-            return [b"".join([both[w] for w in words]) + end for words in split]
+                return [known[word] for word in words]
+            both = ChainMap(new, known)
+            return [both[word] for word in words]
+
+        def encoded(texts: pa.StringArray) -> list[bytes]:
+            split = pc.split_pattern(pc.replace_substring(separable(texts), "\n", " "), " ")
+            words = split.flatten().dictionary_encode()  # each different word is looked up once
+            ids = of_words(words.dictionary.to_pylist())
+            lengths = np.array([len(i) // 4 for i in ids], np.int64)
+            starts = np.cumsum(lengths) - lengths
+            at = words.indices.to_numpy()
+            ends = np.concatenate([[0], np.cumsum(lengths[at])])
+            # The ids of every word in turn, taken from those of the different words.
+            places = np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], lengths[at])
+            every = np.frombuffer(b"".join(ids), "<u4")[places]
+            bounds = ends[split.offsets.to_numpy()]
+            return [every[a:b].tobytes() + end for a, b in pairwise(bounds)]
 
         for batch in batches:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            # Few characters at a time: the words of a text take much more memory than the text.
+            # Bounded numbers of characters at a time: the words of a text take more memory than the text.
             ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False)) // CHUNK_CHARACTERS
             for rows_at in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(ends)) + 1):
                 if not len(rows_at):
                     continue
                 first, rows = int(rows_at[0]), []
-                part = texts.slice(first, len(rows_at)).to_pylist()
+                part = texts.slice(first, len(rows_at))
                 for key, ids in zip(keys[first : first + len(part)], encoded(part)):
                     total = len(ids) // 4
                     rows += [
