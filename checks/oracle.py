@@ -170,8 +170,8 @@ NUMERIC_COLUMNS = {
 
 def tolerant() -> str:
     """Sums of native doubles within 1e-9, one column changed by far more than that."""
-    pairs = {"l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice",
-             "l_discount": "l_discount + CASE WHEN l_linenumber = 7 THEN 0.01 ELSE 0 END"}
+    pairs = {column: column for column, _ in NUMERIC_COLUMNS["lineitem"]}
+    pairs["l_discount"] = "l_discount + CASE WHEN l_linenumber = 7 THEN 0.01 ELSE 0 END"
     row = "SELECT '{0}' AS \"column\", '{1}' AS metric, {2} AS match FROM lineitem"
     rows = ["SELECT '*' AS \"column\", 'count' AS metric, count(*) = count(*) AS match FROM lineitem"]
     for column, changed in pairs.items():
@@ -205,6 +205,48 @@ def metric_report() -> str:
         SELECT pt, '- ' || {item} AS line FROM ({metrics(EVENTS)}) AS m WHERE diff"""
 
 
+def report_sections() -> str:
+    """Lines of the report apart from metrics, times and the texts of SQL and errors."""
+    pairs = (*SUITE, DOCUMENTS_BY_PT)
+    suite = all_metrics(pairs)
+    counted = "table_name IN ('documents', 'documents_by_pt')"
+    rows = [
+        "SELECT 2, '## Table: `' || table_name || '`' FROM t",
+        "SELECT 2, '- Partitioned: ' || CASE WHEN partitioned THEN 'Yes (pt)' ELSE 'No' END FROM t",
+        "SELECT 2, '- Partition range: from ' || first_pt || ' through ' || last_pt FROM t WHERE partitioned",
+        f"""SELECT 2, CASE WHEN status = 'ERROR' THEN '### ERROR for `' || table_name || '`'
+              WHEN {counted} THEN '### ' || table_name || ' — Count Only (no numeric columns)'
+              WHEN partitioned THEN '### ' || table_name || ' — Partitioned Aggregate Check: **' || status || '**'
+              ELSE '### ' || table_name || ' — Aggregate Check: **' || status || '**' END FROM t""",
+        f"""SELECT 2, CASE WHEN {counted} THEN '> **' || status || '**'
+              ELSE '**Conclusion: ' || status || '**' END FROM t WHERE status <> 'ERROR'""",
+        f"""SELECT 2, '#### Partition pt=' || coalesce(pt, 'None') || ' — **' || status || '**'
+            FROM p WHERE partitioned AND NOT {counted}""",
+        f"""SELECT 2, '| ' || coalesce(pt, 'None') || ' | ' || left_count || ' | ' || right_count || ' | '
+              || CASE WHEN match THEN 'Y' ELSE 'N' END || ' |' FROM p WHERE partitioned AND {counted}""",
+        f"SELECT 2, '| Left | ' || left_count || ' |' FROM p WHERE NOT partitioned AND {counted}",
+        f"SELECT 2, '| Right | ' || right_count || ' |' FROM p WHERE NOT partitioned AND {counted}",
+        "SELECT 1, 'Tables with differences: **' || count(*) FILTER (WHERE NOT match) || '** / ' || count(*) FROM t",
+        """SELECT 1, '| ' || f.number || ' | ' || f.table_name || ' | FAIL | ' || CASE f.table_name
+              WHEN 'broken' THEN 'ERROR' WHEN 'unknown' THEN 'ERROR: no location known for unknown'
+              ELSE r.reason END || ' |'
+            FROM (SELECT *, row_number() OVER (ORDER BY table_name) AS number FROM t WHERE NOT match) AS f
+            LEFT JOIN r ON f.table_name = r.table_name""",
+        "SELECT 0, '- Partition filter: from 20300101 through 20300102' FROM orders HAVING count(*) > 0",
+        "SELECT 1, 'All tables PASS - no differences found.' FROM orders HAVING count(*) > 0",
+        "SELECT 2, '### events — No partitions found' FROM orders HAVING count(*) > 0",
+    ]
+    return f"""
+        WITH m AS ({suite}), p AS ({PARTITIONS.format(metrics="SELECT * FROM m")}),
+        r AS ({reasons("SELECT * FROM m")}),
+        t AS (SELECT table_name, partitioned, first_pt, last_pt, match, status
+              FROM ({VERDICTS.format(metrics="SELECT * FROM m")}) AS v
+              UNION ALL SELECT 'broken', false, NULL, NULL, false, 'ERROR'
+              UNION ALL SELECT 'unknown', false, NULL, NULL, false, 'ERROR')
+        SELECT CAST(section AS INTEGER) AS section, line
+        FROM ({" UNION ALL ".join(rows)}) AS lines(section, line)"""
+
+
 def oracle_sql() -> dict[str, str]:
     suite = all_metrics(SUITE)
     verdicts = VERDICTS.format(metrics=suite)
@@ -255,7 +297,13 @@ def oracle_sql() -> dict[str, str]:
             FROM ({verdicts}) AS v""",
         "sql_text_roundtrip": wide(
             left(LINEITEM), LINEITEM.columns, "pt", "pt >= '199603' AND pt <= '199912'"),
-        "manifest": "SELECT 'shop.' || p_type || '.' || replace(p_name, ' ', '_') AS table_name FROM part",
+        "sql_text_all_keys": wide(left(LINEITEM), LINEITEM.columns, "pt"),
+        "sql_text_whole": wide(left(LINEITEM), LINEITEM.columns),
+        "sql_text_counts": wide(left(LINEITEM), (), "pt"),
+        "sql_text_count": wide(left(LINEITEM), ()),
+        "manifest": """
+            SELECT 4 * row_number() OVER (ORDER BY p_partkey) - 1 AS line_no,
+                   'shop.' || p_type || '.' || replace(p_name, ' ', '_') AS table_name FROM part""",
         "metadata_join": """
             SELECT 'events_by_day' AS name, true AS partitioned, true AS resolved, false AS has_error,
                    count(*) AS n_rows FROM events
@@ -264,6 +312,10 @@ def oracle_sql() -> dict[str, str]:
         "scan_roundtrip": metrics(ORDERS_BY_PT),
         "multi_table_run": run_statuses(),
         "report_lines": metric_report(),
+        "report_sections": report_sections(),
+        "listed_in_order": f"""
+            SELECT pt, metric, "column", row_number() OVER (ORDER BY pt NULLS FIRST, ord) - 1 AS place
+            FROM ({metrics(EVENTS)}) AS m""",
         "partition_counts": f"""
             SELECT {day("ts")} AS pt, count(*) AS total_count FROM events GROUP BY 1""",
     }

@@ -16,6 +16,7 @@ from checks.pairs import (
 from countersign.functions.metrics import metric_alias
 from countersign.functions.names import quoted
 from countersign.plans.report import metric_lines
+from countersign.plans.report import report_lines as all_lines
 from countersign.sources.storage import drop_table, update_rows, work_folder, write_table
 from countersign.sources.tables import open_side
 
@@ -110,7 +111,7 @@ def partition_bounds(spark, sf_dir):
 
 
 def compare_rel_tol(spark, sf_dir):
-    left = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount")
+    left = table(spark, sf_dir, "lineitem")
     # The right copy is laid out differently, so its double sums add up in another order.
     right = (
         table(spark, sf_dir, "lineitem").repartition("l_suppkey")
@@ -150,23 +151,28 @@ def run_summary(spark, sf_dir):
     return cs.run_totals(cs.table_status(all_compared(spark, sf_dir)))
 
 
-def sql_text_roundtrip(spark, sf_dir):
-    view = f"lineitem_{uuid.uuid4().hex}"
-    left = sides(spark, sf_dir, LINEITEM)[0]
-    left.createOrReplaceTempView(view)
-    columns = [name for name, _ in cs.numeric_columns(left)]
-    result = spark.sql(cs.check_sql(view, columns, "pt", "199603", "199912"))
-    spark.catalog.dropTempView(view)
-    return decimals_as_doubles(result)
+def sql_text(counts_only: bool = False, *options: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The text of a check on lineitem, run as it stands."""
+    def result(spark: SparkSession, sf_dir: str) -> DataFrame:
+        view = f"lineitem_{uuid.uuid4().hex}"
+        left = sides(spark, sf_dir, LINEITEM)[0]
+        left.createOrReplaceTempView(view)
+        columns = [] if counts_only else [name for name, _ in cs.numeric_columns(left)]
+        result = spark.sql(cs.check_sql(view, columns, *options))
+        spark.catalog.dropTempView(view)
+        return decimals_as_doubles(result)
+
+    return result
 
 
 def manifest(spark, sf_dir):
-    """Table names made of part names, written with padding and blank and header lines between."""
+    """Table names made of part names, in several files, with padding and blank and header lines between."""
     name = "concat('  shop.', p_type, '.', replace(p_name, ' ', '_'), ' ')"
     lines = f"array('table_name', '', {name}, 'table_name,comment')"
     path = work_folder(spark, "manifest")
-    table(spark, sf_dir, "part").selectExpr(f"explode({lines}) AS value").write.text(path)
-    return cs.read_manifest(spark, path).select("table_name")
+    parts = table(spark, sf_dir, "part").repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey")
+    parts.selectExpr(f"explode({lines}) AS value").write.text(path)
+    return cs.read_manifest(spark, path)
 
 
 def metadata_join(spark, sf_dir):
@@ -263,6 +269,37 @@ def lookup_run(spark, sf_dir):
     )
 
 
+def report_sections(spark, sf_dir):
+    """Summary, headings, counts and verdicts of a report over the suite and two tables that end as errors,
+    and the same of a run over a range without partitions.
+
+    Lines that carry a time, the texts of SQL and of Spark's errors, and metric rows are left out.
+    """
+    def lines_of(result, *starts: str) -> DataFrame:
+        lines = all_lines(result)
+        chosen = reduce(lambda a, b: a | b, [F.startswith("line", F.lit(start)) for start in starts])
+        counts = F.col("line").rlike(r"^\| \w+ \| \d+ (\| \d+ \| [YN] )?\|$")
+        return lines.filter(chosen | counts).select("section", "line")
+
+    specs = specs_of(spark, sf_dir, [*SUITE, DOCUMENTS_BY_PT])
+    left, right = sides(spark, sf_dir, ORDERS)
+    specs["broken"] = cs.TableSpec("broken", left, right.drop("o_totalprice"))
+    listed = spark.createDataFrame([(n,) for n in [*specs, "unknown"]], "table_name string")
+    whole = lines_of(
+        cs.run(spark, listed, specs, workers=8), "Tables with", "## Table", "- Partition", "### ", "#### ", "**Concl", "> **", "| 1 ",
+        "| 2 ", "| 3 ", "| 4 ", "| 5 ", "| 6 ", "| 7 ",
+    )
+    whole = whole.withColumn("line", F.regexp_replace("line", r"ERROR: \[.*", "ERROR |"))
+    nothing = cs.run(spark, listed.filter("table_name = 'events'"), specs, start="20300101", end="20300102")
+    return whole.unionByName(lines_of(nothing, "All tables", "- Partition filter", "### "))
+
+
+def listed_in_order(spark, sf_dir):
+    """Metrics of the events pair with their place in the ordered listing, which has a few rows a partition."""
+    ordered = cs.in_order(compared(spark, sf_dir, EVENTS)).coalesce(1)
+    return ordered.select("pt", "metric", "column", F.monotonically_increasing_id().alias("place"))
+
+
 def partition_counts(spark, sf_dir):
     days = table(spark, sf_dir, "events").withColumn("pt", F.expr(day("ts")))
     return cs.row_counts(days, by="pt")
@@ -296,11 +333,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "exact_sums": exact_sums,
         "lookup_run": lookup_run,
         "run_summary": run_summary,
-        "sql_text_roundtrip": sql_text_roundtrip,
+        "sql_text_roundtrip": sql_text(False, "pt", "199603", "199912"),
+        "sql_text_all_keys": sql_text(False, "pt"),
+        "sql_text_whole": sql_text(),
+        "sql_text_counts": sql_text(True, "pt"),
+        "sql_text_count": sql_text(True),
         "manifest": manifest,
         "metadata_join": metadata_join,
         "scan_roundtrip": scan_roundtrip,
         "multi_table_run": multi_table_run,
         "report_lines": report_lines,
+        "report_sections": report_sections,
+        "listed_in_order": listed_in_order,
         "partition_counts": partition_counts,
     }
