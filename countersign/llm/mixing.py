@@ -11,7 +11,8 @@ short. Rounds end when no sum changes by more than ``tolerance``, or after ``rou
 what its cells hold is met as far as they go.
 
 Results in special cases: NULL sources, languages and topics are values of their own; values without a
-target share what the named ones leave, in proportion to their tokens; a NULL or empty text has no
+target share what the named ones leave, in proportion to their tokens; where the targets leave nothing, such values keep
+their own share of all tokens and the targets are scaled to the rest; a NULL or empty text has no
 tokens and follows its cell (probability 0 in a cell without tokens); rows without an id are told
 apart by their text, and repeated rows share their fate; an empty table gives no row.
 """
@@ -28,6 +29,8 @@ DIMENSIONS = ("source", "lang", "topic")
 ROUNDS, TOLERANCE = 12, 1e-3
 #: Goals and sums of a dimension with at most so many values are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_VALUES = 100_000
+#: Targets that leave less than this to values without one leave them nothing.
+LEAST_LEFT = 1e-9
 Targets = Mapping[str, Mapping[str, float]]
 
 #: Topic of a text: the first rule that its text matches, else "prose".
@@ -48,25 +51,28 @@ def tokens_of(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\S+")).cast("bigint")
 
 
-def shares(cells: DataFrame, dimension: str, targets: Mapping[str, float], smoothing: float) -> DataFrame:
-    """``value, share`` of a dimension: named targets; the rest by tokens to the power ``smoothing``."""
+def shares(cells: DataFrame, dimension: str, targets: Mapping[str, float]) -> DataFrame:
+    """``value, share`` of a dimension: named targets; the rest by tokens."""
     sums = cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").cast("double").alias("tokens"))
     named = F.lit(None).cast("double")
     for value, share in targets.items():
         named = F.when(F.col("value").eqNullSafe(F.lit(value)), F.lit(float(share))).otherwise(named)
-    size = F.pow("tokens", F.lit(smoothing))
-    marked = sums.select("value", named.alias("named"), size.alias("size"))
+    marked = sums.select("value", "tokens", named.alias("named"))
     total = marked.agg(
         F.coalesce(F.sum("named"), F.lit(0.0)).alias("taken"),
-        F.sum(F.when(F.col("named").isNull(), F.col("size"))).alias("open"),
+        F.coalesce(F.sum(F.when(F.col("named").isNull(), F.col("tokens"))), F.lit(0.0)).alias("open"),
+        F.sum("tokens").alias("all"),
     )
-    left = F.greatest(F.lit(0.0), 1 - F.col("taken"))
-    free = F.when(F.col("open") > 0, F.col("size") / F.col("open") * left).otherwise(F.lit(0.0))
+    left = 1 - sum(map(float, targets.values()))
+    # Targets that leave nothing are scaled down: values without one keep their own share of the tokens.
+    rest = F.lit(left) if left > LEAST_LEFT else F.when(F.col("all") > 0, F.col("open") / F.col("all")).otherwise(F.lit(0.0))
+    scale = F.lit(1.0) if left > LEAST_LEFT else F.when(F.col("taken") > 0, (1 - rest) / F.col("taken")).otherwise(F.lit(0.0))
+    free = F.when(F.col("open") > 0, F.col("tokens") / F.col("open") * rest).otherwise(F.lit(0.0))
     # One row on the right: the sums of the left side.
     joined = marked.join(F.broadcast(total), F.lit(True))
     weighed = joined.select(
-        "value", F.coalesce("named", free).alias("share"),
-        F.when(F.col("open") > 0, F.greatest(F.col("taken"), F.lit(1.0))).otherwise(F.col("taken")).alias("whole"),
+        "value", F.coalesce(F.col("named") * scale, free).alias("share"),
+        (F.col("taken") * scale + F.when(F.col("open") > 0, rest).otherwise(F.lit(0.0))).alias("whole"),
     )
     share = F.when(F.col("whole") > 0, F.col("share") / F.col("whole")).otherwise(F.lit(0.0))
     return weighed.select("value", share.alias("share"))
@@ -74,13 +80,13 @@ def shares(cells: DataFrame, dimension: str, targets: Mapping[str, float], smoot
 
 def rake(
     cells: DataFrame, targets: Targets, sampled_share: float,
-    rounds: int = ROUNDS, tolerance: float = TOLERANCE, smoothing: float = 0.7,
+    rounds: int = ROUNDS, tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``source, lang, topic, tokens, raked``: tokens to sample from each cell."""
     cells = written(cells, "cells")
     listed, few = cells, {}
     for d in DIMENSIONS:
-        goal = written(shares(cells, d, targets.get(d, {}), smoothing), f"goal-{d}")
+        goal = written(shares(cells, d, targets.get(d, {})), f"goal-{d}")
         few[d] = goal.count() <= BROADCAST_VALUES
         same = listed[d].eqNullSafe(goal["value"])
         listed = listed.join(F.broadcast(goal) if few[d] else goal, same).drop("value").withColumnRenamed("share", f"goal_{d}")

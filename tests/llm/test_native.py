@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from countersign.llm import chat, mixing, omh, pii
-from countersign.llm.queries import op4_chat_format, op5_order_minhash
+from countersign.llm.queries import PIPELINE_TARGETS, op4_chat_format, op5_order_minhash
 
 DATA = "/root/testdata/sf0.001"
 
@@ -117,6 +117,22 @@ def test_mixing_of_odd_tables(spark, odd_docs):
     assert mixing.mix(odd_docs.limit(0)).count() == 0
 
 
+def test_production_targets_with_other_languages(spark):
+    """Languages without a target, and none, are sampled in proportion to their tokens; the named ones share the rest."""
+    counts = {"en": 500, "de": 200, "fr": 200, "es": 200, "it": 60, "zh": 30, None: 40}
+    langs = [lang for lang, n in counts.items() for _ in range(n)]
+    rows = [(i, "one two three four five", lang, "s") for i, lang in enumerate(langs)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    mixed = mixing.mix(docs, PIPELINE_TARGETS).collect()
+    expected = {lang: sum(r.probability for r in mixed if r.lang == lang) for lang in counts}
+    unnamed, total = 130, len(langs)
+    for lang, n in counts.items():
+        target = PIPELINE_TARGETS["lang"].get(lang)
+        share = n / total if target is None else target * (1 - unnamed / total)
+        assert expected[lang] == pytest.approx(share * 0.5 * total, rel=0.01), lang
+        assert any(r.sampled for r in mixed if r.lang == lang), lang
+
+
 def luhn(digits: str) -> bool:
     return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
 
