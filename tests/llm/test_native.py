@@ -133,6 +133,19 @@ def test_production_targets_with_other_languages(spark):
         assert any(r.sampled for r in mixed if r.lang == lang), lang
 
 
+def test_mixing_fills_the_sampled_share(spark, caplog):
+    """Spanish cannot give its target: all of it is sampled, and the others fill up the share."""
+    rows = [(i, "one two three four", lang, f"s{i % 3}") for i, lang in enumerate(["en"] * 610 + ["de"] * 150 + ["fr"] * 150 + ["es"] * 90)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    mixed = mixing.mix(docs, PIPELINE_TARGETS, 0.9).collect()
+    rates = {lang: sum(r.probability for r in mixed if r.lang == lang) for lang in ("en", "de", "fr", "es")}
+    assert rates == pytest.approx({"en": 510, "de": 150, "fr": 150, "es": 90}, rel=0.01)
+    assert "lang es: share 0.190 wanted, 0.100 sampled" in caplog.text
+    raked = spark.createDataFrame([("s", "en", "t", 60, 30.0), ("s", "es", "t", 40, 30.0)], "source string, lang string, topic string, tokens bigint, raked double")
+    got = {r.value: r for r in mixing.marginals(raked, {"lang": {"en": 0.2, "es": 0.8}}).filter("dimension = 'lang'").collect()}
+    assert [got[v][3:6] for v in ("en", "es")] == [(0.2, 0.5, 1.0), (0.8, 0.5, 0.5)]
+
+
 def luhn(digits: str) -> bool:
     return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
 
