@@ -1,13 +1,10 @@
 """URL filtering by association rules.
 
-URLs become sets of tokens: parts of the host, path segments, file endings, query keys. Spark's
-FP-growth finds the token sets that are frequent among labelled URLs; those that imply "block" with enough support and
-confidence become rules. A rule that holds a more general one of at least its confidence is
-dropped. Rules are matched by an inverted index: each is filed under its rarest token, so a URL looks up
-only the rules of its own tokens. Fixed allow and block rules on host and path come first.
-
-For mining, a URL gives its ``max_tokens`` first tokens, since the number of token sets grows as their power; matching uses
-all of them. At most ``max_rules`` rules are kept, the most confident ones.
+URLs become sets of tokens: parts of the host, path segments, file endings, query keys. Token sets that are frequent
+among blocked URLs are found level by level, over all tokens and at any size; those that imply "block" with enough
+support and confidence become rules. A rule that holds a more general one of at least its confidence is
+dropped, and sets that can give only such rules are not grown. Rules are matched by an inverted index: each is filed
+under its rarest token, so a URL looks up only the rules of its own tokens. Fixed allow and block rules on host and path come first.
 
 Results in special cases: a URL that is NULL or has no ``://`` has an empty host and path, fits no
 rule and is allowed unless a mined one matches; NULL labels are left out; without labelled or blocked URLs there
@@ -16,21 +13,18 @@ are no mined rules; repeated rows are judged alike; an empty table gives no row;
 
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = "=block"
-
+from countersign.llm.shared import written
 
 @dataclass(frozen=True)
 class RuleSettings:
     min_support: int = 25
     min_confidence: float = 0.5
-    max_tokens: int = 12
-    max_rules: int = 20_000
 
 
 @dataclass(frozen=True)
@@ -73,42 +67,53 @@ def tokens_of(url: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def mine_rules(labelled: DataFrame, settings: RuleSettings = RuleSettings()) -> list[MinedRule]:
-    """Rules that imply a block, from ``url`` and ``blocked``, most confident first."""
-    label = F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))
-    baskets = labelled.filter("blocked IS NOT NULL").select(
-        F.concat(F.slice(tokens_of(F.col("url")), 1, settings.max_tokens), label).alias("items")
-    )
-    n = baskets.count()
-    if not n:
-        return []
-    model = FPGrowth(
-        itemsCol="items", minSupport=min(1.0, settings.min_support / n), minConfidence=settings.min_confidence
-    ).fit(baskets)
-    sets = model.freqItemsets.filter(F.size("items") <= settings.max_tokens + 1)
-    alone = sets.filter(~F.array_contains("items", BLOCK)).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("n"))
-    blocked = sets.filter(F.array_contains("items", BLOCK)).select(
-        F.array_sort(F.array_remove("items", BLOCK)).alias("tokens"), F.col("freq").alias("hits")
+def rule_table(labelled: DataFrame, settings: RuleSettings = RuleSettings()) -> DataFrame:
+    """``tokens, confidence, support``: rules that imply a block, from ``url`` and ``blocked``, without redundant ones.
+
+    Sets grow by one token a turn, over whole URLs. A set that is as frequent as one of its subsets, or that holds
+    a subset of confidence 1, can only give redundant rules, and so can all that hold it: it is not grown.
+    """
+    known = labelled.filter("blocked IS NOT NULL").select(
+        F.array_sort(tokens_of(F.col("url"))).alias("items"), F.col("blocked").cast("bigint").alias("hit")
     )
+    baskets = written(known.groupBy("items").agg(F.count("*").alias("n"), F.sum("hit").alias("hits")), "baskets")
+    least = min(settings.min_support, baskets.agg(F.sum("n")).first()[0] or 0)
+    held = baskets.select(F.xxhash64("items").alias("basket"), F.md5(F.to_json("items")).alias("same"), "n", "hits", F.explode("items").alias("token"))
+    held = held.select("basket", "same", "n", "hits", F.array("token").alias("tokens"))
+    frequent = held.groupBy("tokens").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).filter(F.col("hits") >= max(least, 1))
     confidence = F.col("hits") / F.col("n")
-    found = (
-        blocked.join(alone, "tokens").select("tokens", confidence.alias("confidence"), F.col("hits").alias("support"))
-        .filter(F.col("confidence") >= settings.min_confidence)
-        .orderBy(F.desc("confidence"), F.size("tokens"), F.desc("support"), "tokens").limit(settings.max_rules)
-    )
-    return pruned([MinedRule(frozenset(r.tokens), r.confidence, r.support) for r in found.collect()])
+    level = written(frequent.select("tokens", "n", confidence.alias("confidence"), F.col("hits").alias("support"), F.lit(0.0).alias("best")), "sets")
+    rules, size = [], 1
+    while not level.isEmpty():
+        rules.append(level.filter((F.col("confidence") >= settings.min_confidence) & (F.col("confidence") > F.col("best"))))
+        grown = level.filter("confidence < 1")
+        held = written(held.join(grown.select("tokens"), "tokens", "left_semi"), "held")
+        head = F.slice("tokens", 1, size - 1).alias("head")
+        left = held.select("basket", "same", "n", "hits", head, F.element_at("tokens", -1).alias("last"))
+        right = held.select("basket", "same", head, F.element_at("tokens", -1).alias("next"))
+        pairs = left.join(right, ["basket", "same", "head"]).filter("last < next")
+        size += 1
+        held = pairs.select("basket", "same", "n", "hits", F.concat("head", F.array("last", "next")).alias("tokens"))
+        counted = written(
+            held.groupBy("tokens").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).filter(F.col("hits") >= max(least, 1)), "counted"
+        )
+        part = F.transform(
+            F.sequence(F.lit(1), F.lit(size)),
+            lambda i: F.concat(F.slice(F.col("tokens"), F.lit(1), i - 1), F.slice(F.col("tokens"), i + 1, F.lit(size))),
+        )
+        parts = counted.select(F.col("tokens").alias("whole"), "n", "hits", F.explode(part).alias("tokens"))
+        within = grown.select("tokens", F.col("n").alias("part_n"), F.greatest("confidence", "best").alias("part_best"))
+        checked = parts.join(within, "tokens").groupBy(F.col("whole").alias("tokens"), "n", "hits").agg(
+            F.count("*").alias("parts"), F.min("part_n").alias("least_n"), F.max("part_best").alias("best")
+        ).filter((F.col("parts") == size) & (F.col("least_n") > F.col("n")))
+        level = written(checked.select("tokens", "n", confidence.alias("confidence"), F.col("hits").alias("support"), "best"), "sets")
+    return reduce(DataFrame.unionByName, rules or [level]).select("tokens", "confidence", "support")
 
 
-def pruned(rules: list[MinedRule]) -> list[MinedRule]:
-    """Without the rules that hold another one of at least their confidence."""
-    index: dict[str, list[MinedRule]] = {}
-    out = []
-    for rule in sorted(rules, key=lambda r: (len(r.tokens), -r.confidence, sorted(r.tokens))):
-        wider = (r for token in rule.tokens for r in index.get(token, ()))
-        if not any(r.tokens <= rule.tokens and r.confidence >= rule.confidence for r in wider):
-            out.append(rule)
-            index.setdefault(min(rule.tokens), []).append(rule)
-    return sorted(out, key=lambda r: (-r.confidence, len(r.tokens), sorted(r.tokens)))
+def mine_rules(labelled: DataFrame, settings: RuleSettings = RuleSettings()) -> list[MinedRule]:
+    """The rules of ``rule_table`` on the driver, most confident first."""
+    found = [MinedRule(frozenset(r.tokens), r.confidence, r.support) for r in rule_table(labelled, settings).collect()]
+    return sorted(found, key=lambda r: (-r.confidence, len(r.tokens), sorted(r.tokens)))
 
 
 def inverted_index(rules: list[MinedRule]) -> dict[str, list[MinedRule]]:

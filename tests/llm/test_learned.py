@@ -257,3 +257,20 @@ def test_mined_rules(spark):
     pages = spark.createDataFrame([(1, "http://aa.org/casino/9"), (2, "http://bb.org/casino/9")], "page_id bigint, url string")
     assert {r.page_id: r.verdict for r in urls.judge(pages, rules, {}).collect()} == {1: "block", 2: "allow"}
     assert urls.mine_rules(labelled.limit(0)) == []
+
+
+def late_and_hot(spark):
+    """URLs of more than twelve tokens that only their last keys tell apart, and one spam host."""
+    long_url = "http://a{0}.b.c.d{0}.org/p/q/r/s{1}/x.php?id=1&bad{2}=1"
+    rows = [(long_url.format("x" * (i % 3), "z" * (i % 5), "" if i % 2 else "good"), i % 2 == 1) for i in range(400)]
+    rows += [("http://spam.one.two.three.net/" + "/".join(f"seg{c}" for c in "abcdefgh") + "?k=1&l=2&m=3", True)] * 60
+    return long_url, spark.createDataFrame(rows, "url string, blocked boolean")
+
+
+def test_rules_on_late_tokens(spark):
+    """Keys after twelve other tokens are mined; a hot host of many tokens gives no redundant rules."""
+    _, labelled = late_and_hot(spark)
+    rules = {r.tokens: r.confidence for r in urls.mine_rules(labelled, urls.RuleSettings(min_support=30, min_confidence=0.6))}
+    assert rules[frozenset(["key:bad"])] == 1.0 and rules[frozenset(["path:sega"])] == 1.0
+    assert all(len(r) == 1 for r in rules if any(t.startswith("path:seg") for t in r))
+    assert not any(a < b and rules[a] >= rules[b] for a in rules for b in rules)
