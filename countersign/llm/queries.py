@@ -122,7 +122,7 @@ def op10_url_rules(spark, sf_dir):
     )
     number = F.expr("try_cast(regexp_extract(url, '/([0-9]+)', 1) AS bigint)")
     labelled = pages.withColumn("doc_id", number).join(labels, "doc_id").select("url", "blocked")
-    return urls.judge(pages, urls.mine_rules(labelled), FIXED_RULES)
+    return urls.judge(pages, urls.rule_table(labelled), FIXED_RULES)
 
 
 def pipeline(spark, sf_dir):

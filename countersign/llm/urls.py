@@ -4,7 +4,8 @@ URLs become sets of tokens: parts of the host, path segments, file endings, quer
 among blocked URLs are found level by level, over all tokens and at any size; those that imply "block" with enough
 support and confidence become rules. A rule that holds a more general one of at least its confidence is
 dropped, and sets that can give only such rules are not grown. Rules are matched by an inverted index: each is filed
-under its rarest token, so a URL looks up only the rules of its own tokens. Fixed allow and block rules on host and path come first.
+under its rarest token, so a URL looks up only the rules of its own tokens; a table of rules, of any number, is matched
+by a join on that token. Fixed allow and block rules on host and path come first.
 
 Results in special cases: a URL that is NULL or has no ``://`` has an empty host and path, fits no
 rule and is allowed unless a mined one matches; NULL labels are left out; without labelled or blocked URLs there
@@ -147,6 +148,18 @@ def mined_confidence(tokens: Column, rules: list[MinedRule]) -> Column:
     return matched(tokens)
 
 
+def joined_confidence(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """``url, confidence`` of the best rule that each distinct URL matches; URLs without one are left out."""
+    uses = rules.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("uses"))
+    numbered = rules.select("tokens", "confidence", F.explode("tokens").alias("token")).join(uses, "token")
+    filed = numbered.groupBy("tokens", "confidence").agg(F.min(F.struct("uses", "token")).alias("rarest"))
+    filed = filed.select(F.col("rarest.token").alias("token"), F.col("tokens").alias("needed"), "confidence")
+    looked = pages.select("url").distinct().select("url", tokens_of(F.col("url")).alias("have"))
+    looked = looked.select("url", "have", F.explode("have").alias("token"))
+    hits = looked.join(filed, "token").filter(F.size(F.array_except("needed", "have")) == 0)
+    return hits.groupBy("url").agg(F.max("confidence").alias("confidence"))
+
+
 def fixed_rule(host: Column, path: Column, rules: Mapping[str, str]) -> Column:
     """``struct<rule, verdict>`` of the longest fixed rule that fits, else NULL."""
     found = None
@@ -158,12 +171,14 @@ def fixed_rule(host: Column, path: Column, rules: Mapping[str, str]) -> Column:
     return found if found is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def judge(pages: DataFrame, mined: list[MinedRule], fixed: Mapping[str, str]) -> DataFrame:
-    """``page_id, host, path, rule, verdict, confidence`` per row."""
-    described = pages.select(
-        "page_id", host_of(pages["url"]).alias("host"), path_of(pages["url"]).alias("path"),
-        mined_confidence(tokens_of(pages["url"]), mined).alias("confidence"),
-    )
+def judge(pages: DataFrame, mined: list[MinedRule] | DataFrame, fixed: Mapping[str, str]) -> DataFrame:
+    """``page_id, host, path, rule, verdict, confidence`` per row; rules are a list or a table like ``rule_table``."""
+    pages = pages.select("page_id", "url")
+    if isinstance(mined, DataFrame):
+        found = pages.join(joined_confidence(pages, mined), "url", "left")
+    else:
+        found = pages.withColumn("confidence", mined_confidence(tokens_of(F.col("url")), mined))
+    described = found.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "confidence")
     ruled = described.withColumn("fixed", fixed_rule(F.col("host"), F.col("path"), fixed))
     own = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     return ruled.select(

@@ -274,3 +274,19 @@ def test_rules_on_late_tokens(spark):
     assert rules[frozenset(["key:bad"])] == 1.0 and rules[frozenset(["path:sega"])] == 1.0
     assert all(len(r) == 1 for r in rules if any(t.startswith("path:seg") for t in r))
     assert not any(a < b and rules[a] >= rules[b] for a in rules for b in rules)
+
+
+def test_rules_matched_by_a_join(spark):
+    """A table of rules gives the verdicts of the listed ones."""
+    long_url, labelled = late_and_hot(spark)
+    settings = urls.RuleSettings(min_support=30, min_confidence=0.6)
+    table = urls.rule_table(labelled, settings).cache()
+    pages = spark.createDataFrame([
+        (1, long_url.format("n", "n", "")), (1, long_url.format("n", "n", "")), (2, long_url.format("n", "n", "good")),
+        (None, None), (3, "http://spam.one.two.three.net/new"),
+    ], "page_id bigint, url string")
+    listed = urls.mine_rules(labelled, settings)
+    want = sorted(map(str, urls.judge(pages, listed, {}).collect()))
+    got = urls.judge(pages, table, {}).collect()
+    assert sorted(map(str, got)) == want
+    assert sorted((r.page_id or 0, r.verdict) for r in got) == [(0, "allow"), (1, "block"), (1, "block"), (2, "allow"), (3, "block")]
