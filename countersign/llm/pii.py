@@ -9,7 +9,7 @@ values get equal pseudonyms in all documents, and within a kind different values
 |---|---|---|
 | secret | quoted hex after token, key, secret or password | hex digits |
 | email | address form | letters and digits before the ``@`` (letters beyond a-z become some letter) |
-| iban | remainder of 97 | account part; check digits follow |
+| iban | length of its country, remainder of 97 | account part; check digits follow |
 | card | Luhn | all digits but the last, which follows |
 | ip | octets up to 255 | four octets |
 | ssn | areas, groups and serials in use | three numbers within their ranges |
@@ -28,15 +28,38 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 EPOCH, DAY_RANGES = "1900-01-01", (17, 4297)  # 73,049 days: 1900-01-01 to 2099-12-31
 
+#: Characters of an IBAN by country, all of the registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """Each length for its countries, in groups of four with or without a space; other countries as far as it goes."""
+    def account(n: int) -> str:
+        full, rest = divmod(n - 4, 4)
+        return r"(?: ?[A-Z0-9]{4}){%d}%s" % (full, r" ?[A-Z0-9]{%d}" % rest if rest else "")
+
+    named = "|".join(f"(?:{codes.replace(' ', '|')})[0-9]{{2}}{account(n)}" for n, codes in IBAN_LENGTHS.items())
+    known = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    other = rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return rf"\b(?:{named}|{other})\b"
+
+
 # In this order: the first one that fits at a place is taken there.
 PATTERNS = {
     "secret": r"(?i:\b(?:token|key|secret|password)\s?[=:]\s?\"[0-9a-f]{16,128}\")",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "card": r"(?<![\w.+-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7})(?!\w)",
+    "iban": _iban_pattern(),
+    "card": r"(?<![\w.+-])(?:[0-9]{13,19}|[0-9]{4} (?:[0-9]{4} [0-9]{4} [0-9]{1,7}|[0-9]{6} [0-9]{4,5})"
+            r"|[0-9]{4}-(?:[0-9]{4}-[0-9]{4}-[0-9]{1,7}|[0-9]{6}-[0-9]{4,5}))(?!\w)",
     "ip": r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
-    "date": r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?!\w)",
+    "date": r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"
+            r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?:(?=T[0-9]{2})|(?!\w))",
     "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}"
              r"|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?!\w)",
 }
@@ -126,11 +149,18 @@ def _country_code(m: Column) -> Column:
     return F.regexp_extract(m, r"^\+[0-9]{1,3}[ .-]|^\+[0-9]{1,2}|^", 0)
 
 
-DATE_FORMS = (("-", "yyyy-MM-dd"), (r"\.", "dd.MM.yyyy"), ("/", "dd/MM/yyyy"), ("/", "MM/dd/yyyy"))
+#: Pattern and form; parts of one digit make all of a date's parts unpadded.
+DATE_FORMS = tuple((f"^{pattern}$", form) for pattern, form in (
+    ("[0-9]{4}-[0-9]{2}-[0-9]{2}", "yyyy-MM-dd"), ("[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", "yyyy-M-d"),
+    ("[0-9]{4}/[0-9]{2}/[0-9]{2}", "yyyy/MM/dd"), ("[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", "yyyy/M/d"),
+    (r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}", "dd.MM.yyyy"), (r"[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}", "d.M.yyyy"),
+    ("[0-9]{2}/[0-9]{2}/[0-9]{4}", "dd/MM/yyyy"), ("[0-9]{2}/[0-9]{2}/[0-9]{4}", "MM/dd/yyyy"),
+    ("[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "d/M/yyyy"), ("[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "M/d/yyyy"),
+))
 
 
-def _read_as(m: Column, sign: str, form: str) -> Column:
-    day = F.when(m.rlike(sign), F.try_to_date(m, form))
+def _read_as(m: Column, pattern: str, form: str) -> Column:
+    day = F.when(m.rlike(pattern), F.try_to_date(m, form))
     return F.when(F.year(day).between(1900, 2099), day)
 
 
@@ -224,7 +254,7 @@ def _whole(kind: Column, m: Column, changed: Column, p: Column) -> Column:
     padded = lambda value, n: F.lpad(value.cast("string"), n, "0")
     day = F.date_add(F.lit(EPOCH).cast("date"), (p[0] * DAY_RANGES[1] + p[1]).cast("int"))
     dates = [
-        F.when(_read_as(m, sign, form).isNotNull(), F.date_format(day, form)) for sign, form in DATE_FORMS
+        F.when(_read_as(m, pattern, form).isNotNull(), F.date_format(day, form)) for pattern, form in DATE_FORMS
     ]
     area = F.when(p[0] > 664, p[0] + 2).otherwise(p[0] + 1)
     return _by_kind(kind, {

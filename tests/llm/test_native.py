@@ -184,3 +184,30 @@ def test_pseudonyms_are_a_permutation(spark):
         new = pii.pseudonymise(df, "k")
         assert new.select("text").distinct().count() == df.select("text").distinct().count()
         assert new.filter("size(private_kinds) <> 1").isEmpty()
+
+
+def test_pseudonyms_next_to_upper_case_words(spark):
+    """Values in further groupings and forms, alone and between upper-case words, get the same pseudonym."""
+    values = {
+        "AT61 1904 3002 3457 3201": "iban", "AT611904300234573201": "iban", "ES91 2100 0418 4502 0005 1332": "iban",
+        "DE89 3704 0044 0532 0130 00": "iban", "NO93 8601 1117 947": "iban", "3782 822463 10005": "card",
+        "3782-822463-10005": "card", "3056 930902 5904": "card", "4111-1111-1111-1111": "card",
+        "2024-05-06": "date", "3/4/2021": "date", "1.2.2020": "date", "2021/03/04": "date", "12/31/1999": "date", "2021-3-4": "date",
+    }
+    rows = [(i, text) for i, v in enumerate(values) for text in (v, f"BIC {v} EUR", f"{v} ABCD 1234 EFGH", f"X: {v}, BIC")]
+    rows.append((99, "2024-05-06T12:00:00Z and 2024-13-06T12:00:00Z, 31.4.2020, 2021/02/30"))
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {}
+    for r in pii.pseudonymise(docs, "k").collect():
+        got.setdefault(r.doc_id, []).append((r.text, list(r.private_kinds)))
+    for i, (value, kind) in enumerate(values.items()):
+        new = next(t for t, _ in got[i] if " ABCD" not in t and "BIC" not in t)
+        assert new != value and {t for t, _ in got[i]} == {new, f"BIC {new} EUR", f"{new} ABCD 1234 EFGH", f"X: {new}, BIC"}, value
+        assert all(kinds == [kind] for _, kinds in got[i]), value
+        if kind == "iban":
+            plain = new.replace(" ", "")
+            assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+        if kind == "card":
+            assert luhn(re.sub("[ -]", "", new)) and re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", value)
+    (text, kinds), iso = got[99][0], next(t for t, _ in got[list(values).index("2024-05-06")] if len(t) == 10)
+    assert kinds == ["date"] and text == f"{iso}T12:00:00Z and 2024-13-06T12:00:00Z, 31.4.2020, 2021/02/30"
