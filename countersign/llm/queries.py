@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countersign.llm import ann, chat, mixing, near_dedup, omh, packing, pii, quality, toxicity, urls
+from countersign.llm import ann, centroids, chat, mixing, near_dedup, omh, packing, pii, quality, toxicity, urls
+from countersign.llm import oracle
 from countersign.llm.shared import in_fold
 
 PREDICTED = 0.7
@@ -125,6 +126,10 @@ def op10_url_rules(spark, sf_dir):
     return urls.judge(pages, urls.rule_table(labelled), FIXED_RULES)
 
 
+def op13_centroids(spark, sf_dir):
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))[0]
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -143,9 +148,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_near_dedup": op9_near_dedup,
         "op10_url_rules": op10_url_rules,
+        "op13_centroids": op13_centroids,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_centroids": oracle.centroids()}
