@@ -296,8 +296,7 @@ def report_sections(spark, sf_dir):
 
 def listed_in_order(spark, sf_dir):
     """Metrics of the events pair with their place in the ordered listing, which has a few rows a partition."""
-    ordered = cs.in_order(compared(spark, sf_dir, EVENTS)).coalesce(1)
-    return ordered.select("pt", "metric", "column", F.monotonically_increasing_id().alias("place"))
+    return cs.places_in_order(compared(spark, sf_dir, EVENTS)).select("pt", "metric", "column", "place")
 
 
 def partition_counts(spark, sf_dir):

@@ -1,6 +1,7 @@
 """Reconciliation of two copies of a table on Spark."""
 
-from countersign.operators.compare import compare, differences, in_order
+from countersign.operators.compare import compare, differences, in_order, places_in_order
+from countersign.operators.ordering import numbered
 from countersign.operators.partitions import partition_bounds, partition_keys, partition_range
 from countersign.operators.profile import profile, row_counts
 from countersign.operators.rollup import (
@@ -16,8 +17,8 @@ from countersign.sources.tables import Stored, TableSpec
 
 __all__ = [
     "RunResult", "Stored", "TableSpec", "attach_metadata", "check_sql", "compare",
-    "differences", "failing_tables", "in_order", "is_partitioned", "numeric_columns",
+    "differences", "failing_tables", "in_order", "is_partitioned", "numbered", "numeric_columns",
     "partition_bounds", "partition_keys", "partition_range", "partition_reasons",
-    "partition_status", "prefetch_metadata", "profile", "read_manifest", "report_lines",
+    "partition_status", "places_in_order", "prefetch_metadata", "profile", "read_manifest", "report_lines",
     "row_counts", "run", "run_totals", "table_metadata", "table_status", "write_report",
 ]

@@ -10,6 +10,7 @@ from countersign.functions.equality import values_match
 from countersign.functions.metrics import COUNT, METRICS, metric_alias, profile_expression
 from countersign.functions.names import literal, quoted
 from countersign.functions.text import value_text
+from countersign.operators.ordering import numbered
 from countersign.operators.partitions import partition_range
 from countersign.operators.schema import field_type, integer_columns, numeric_columns
 
@@ -200,4 +201,13 @@ def differences(metrics: DataFrame) -> DataFrame:
 
 def in_order(metrics: DataFrame) -> DataFrame:
     """Rows by table, partition (NULL first) and metric, as reports list them."""
-    return metrics.orderBy("table_name", F.col("pt").asc_nulls_first(), "ord")
+    return metrics.orderBy(*_listing())
+
+
+def places_in_order(metrics: DataFrame) -> DataFrame:
+    """The same listing as rows that carry their ``place``, from 0, so that it can be stored and cut anywhere."""
+    return numbered(metrics, *_listing())
+
+
+def _listing() -> list:
+    return ["table_name", F.col("pt").asc_nulls_first(), "ord"]
