@@ -36,3 +36,45 @@ def centroids(rounds: int = 10, k: int = 8, dimensions: int = 64) -> str:
                CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
                sha256(array_to_string({last}.q, ',')) AS centroid_sha256
         FROM a{rounds} JOIN v USING (row_id) JOIN {last} ON {last}.c = best.c"""
+
+
+def prefix_trie() -> str:
+    """Every beginning of every rebuilt conversation as a list of turns, grouped; subtrees by comparing beginnings."""
+    return r"""
+        WITH turns AS MATERIALIZED (
+          SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos,
+                 struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS said
+          FROM conversations WHERE conv_id IS NOT NULL),
+        plan AS (
+          SELECT DISTINCT conv_id AS c, conv_id - conv_id % 20 AS base, crc AS h
+          FROM (SELECT conv_id, {crc} % 4 AS crc FROM (SELECT DISTINCT conv_id FROM turns))),
+        rebuilt AS MATERIALIZED (
+          SELECT c, 0 AS part, pos, said FROM plan JOIN turns ON turns.conv_id = base AND pos < h
+          UNION ALL SELECT c, 1, pos, said FROM plan JOIN turns ON turns.conv_id = c AND pos >= h),
+        paths AS MATERIALIZED (
+          SELECT plan.c, coalesce(list(said ORDER BY part, pos) FILTER (WHERE said IS NOT NULL), []) AS path
+          FROM plan LEFT JOIN rebuilt ON rebuilt.c = plan.c GROUP BY plan.c),
+        beginnings AS MATERIALIZED (
+          SELECT c, d, path[1:d] AS path, len(path) = d AS ends FROM paths, range(0, 10000) AS r(d) WHERE d <= len(path)),
+        nodes AS MATERIALIZED (
+          SELECT min(c) AS conv_id, d AS depth, path, count(*) AS n_convs,
+                 sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256,
+                 CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) END AS words
+          FROM beginnings GROUP BY d, path),
+        linked AS MATERIALIZED (
+          SELECT n.*, p.conv_id AS parent_conv_id,
+                 (SELECT count(*) FROM nodes AS k WHERE k.depth = n.depth + 1 AND k.path[1:n.depth] = n.path) AS n_children
+          FROM nodes AS n LEFT JOIN nodes AS p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1])
+        SELECT n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children,
+               count(*) FILTER (WHERE u.n_children = 0) AS n_leaves,
+               CAST(sum((u.n_convs - 1) * u.words) AS BIGINT) AS saved_tokens, n.ends_sha256
+        FROM linked AS n JOIN linked AS u ON u.depth >= n.depth AND u.path[1:n.depth] = n.path
+        GROUP BY n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, n.ends_sha256, n.path""".replace("{crc}", _crc32("conv_id"))
+
+
+def _crc32(number: str) -> str:
+    """The unsigned CRC-32 of a number's decimal text, bit by bit."""
+    text = f"CAST({number} AS VARCHAR)"
+    bits = f"flatten([[ord({text}[i]), 0, 0, 0, 0, 0, 0, 0] FOR i IN range(1, len({text}) + 1)])"
+    step = "lambda a, v: xor(xor(a, v) >> 1, 3988292384 * (xor(a, v) & 1))"
+    return f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || CAST({bits} AS BIGINT[]), {step}), 4294967295)"

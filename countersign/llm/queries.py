@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countersign.llm import ann, centroids, chat, mixing, near_dedup, omh, packing, pii, quality, toxicity, urls
+from countersign.llm import ann, centroids, chat, mixing, near_dedup, omh, packing, pii, prefix_trie, quality, toxicity, urls
 from countersign.llm import oracle
 from countersign.llm.shared import in_fold
 
@@ -126,6 +126,34 @@ def op10_url_rules(spark, sf_dir):
     return urls.judge(pages, urls.rule_table(labelled), FIXED_RULES)
 
 
+def rebuilt_turns(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations that begin with the first turns of another: c takes the first h of c - c % 20, then its own after
+    its first h; h is the crc32 of c, modulo 4."""
+    placed, convs = prefix_trie.turns_in_place(rows)
+    taken_from = convs.select(F.col("conv_id").alias("base"), F.col("n_turns").alias("base_turns"))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    plan = convs.select("*", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % 20).alias("base")).join(
+        taken_from, "base", "left"
+    ).withColumn("taken", F.least("h", F.coalesce("base_turns", F.lit(0))))
+    pos = F.col("place") - F.col("first_place")
+    own = placed.join(plan, "conv_id").filter(pos >= F.col("h")).select(
+        "conv_id", (pos - F.col("h") + F.col("taken")).alias("pos"), "id", "words"
+    )
+    heads = placed.join(convs, "conv_id").select(F.col("conv_id").alias("base"), pos.alias("pos"), "id", "words").filter("pos < 3")
+    borrowed = heads.join(plan.select("conv_id", "base", "h"), "base").filter("pos < h").select("conv_id", "pos", "id", "words")
+    kept = F.greatest(F.col("n_turns") - F.col("h"), F.lit(0))
+    return own.unionByName(borrowed), plan.select("conv_id", (F.col("taken") + kept).alias("n_turns"))
+
+
+def op11_prefix_trie(spark, sf_dir):
+    nodes, ends = prefix_trie.prefix_trie(*rebuilt_turns(table(spark, sf_dir, "conversations")))
+    hashed = nodes.join(prefix_trie.ids_sha256(ends), "name", "left")
+    return hashed.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.lit(prefix_trie.EMPTY_SHA256)).alias("ends_sha256"),
+    )
+
+
 def op13_centroids(spark, sf_dir):
     return centroids.clusters(table(spark, sf_dir, "embeddings"))[0]
 
@@ -148,10 +176,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_near_dedup": op9_near_dedup,
         "op10_url_rules": op10_url_rules,
+        "op11_prefix_trie": op11_prefix_trie,
         "op13_centroids": op13_centroids,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_centroids": oracle.centroids()}
+    return {"op11_prefix_trie": oracle.prefix_trie(), "op13_centroids": oracle.centroids()}
