@@ -78,3 +78,77 @@ def _crc32(number: str) -> str:
     bits = f"flatten([[ord({text}[i]), 0, 0, 0, 0, 0, 0, 0] FOR i IN range(1, len({text}) + 1)])"
     step = "lambda a, v: xor(xor(a, v) >> 1, 3988292384 * (xor(a, v) & 1))"
     return f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || CAST({bits} AS BIGINT[]), {step}), 4294967295)"
+
+
+def weak_rules(rounds: int = 50) -> str:
+    """Statistics by lists of words and lines, votes in long form, and the rounds one after the other."""
+    rules = {  # name: bad, good; over the counts
+        "a": ("10 * n_symbols > n_words", "50 * n_symbols <= n_words", "n_words"),
+        "b": ("word_chars < 3 * n_words OR word_chars > 10 * n_words", "word_chars >= 4 * n_words AND 2 * word_chars <= 13 * n_words", "n_words"),
+        "c": ("10 * n_dup_lines > 3 * n_lines", "n_dup_lines = 0 AND n_lines >= 3", "n_lines"),
+        "d": ("5 * n_repeat_words > n_words", "50 * n_repeat_words <= n_words", "n_words"),
+        "e": ("5 * n_lettered < 4 * n_words", "20 * n_lettered >= 19 * n_words", "n_words"),
+        "f": ("10 * n_short < n_words", "5 * n_short >= n_words AND 20 * n_short <= 9 * n_words", "n_words"),
+        "g": ("5 * n_upper > n_words", "20 * n_upper <= n_words", "n_words"),
+        "h": ("5 * n_ended < 2 * n_lines", "5 * n_ended >= 4 * n_lines", "n_lines"),
+        "i": ("5 * n_distinct < n_words", "2 * n_distinct >= n_words", "n_words"),
+    }
+    votes = " UNION ALL ".join(
+        f"SELECT row_id, failed, '{name}' AS rule, CASE WHEN {base} = 0 THEN 0 WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END AS vote FROM counts"
+        for name, (bad, good, base) in rules.items()
+    )
+    steps = [
+        r"""texts AS MATERIALIZED (
+          SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t FROM documents)""",
+        r"""lists AS MATERIALIZED (
+          SELECT row_id, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                 [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM texts)""",
+        r"""windows AS MATERIALIZED (
+          SELECT row_id, i, count(*) OVER (PARTITION BY row_id, a, b, c) AS often FROM (
+            SELECT row_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+            FROM (SELECT row_id, w, unnest(range(1, len(w) - 1)) AS i FROM lists)))""",
+        """repeats AS (
+          SELECT row_id, count(DISTINCT i + k) AS n FROM windows, range(3) AS r(k) WHERE often > 1 GROUP BY row_id)""",
+        r"""counts AS MATERIALIZED (
+          SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed FROM (
+            SELECT row_id, doc_id, len(w) AS n_words, CAST(coalesce(list_sum([length(x) FOR x IN w]), 0) AS BIGINT) AS word_chars,
+                   len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
+                   len([x FOR x IN lines IF regexp_matches(x, '[.!?:;")…»”][\\x20\\x09-\\x0D]*$')]) AS n_ended,
+                   len([x FOR x IN w IF regexp_matches(x, '\\p{L}')]) AS n_lettered,
+                   len([x FOR x IN w IF length(x) <= 3]) AS n_short,
+                   len([x FOR x IN w IF regexp_matches(x, '\\p{L}.*\\p{L}') AND regexp_matches(x, '\\p{Lu}') AND NOT regexp_matches(x, '\\p{Ll}')]) AS n_upper,
+                   len(list_distinct(w)) AS n_distinct
+            FROM lists LEFT JOIN repeats USING (row_id)))""".replace("\\\\", "\\"),
+        f"votes AS MATERIALIZED ({votes})",
+        """shapes AS MATERIALIZED (
+          SELECT row_id, failed, string_agg(vote, ',' ORDER BY rule) AS shape FROM votes GROUP BY row_id, failed)""",
+        "fitted AS MATERIALIZED (SELECT shape, count(*) AS n FROM shapes WHERE NOT failed GROUP BY shape)",
+        """cast_votes AS MATERIALIZED (
+          SELECT DISTINCT shape, rule, vote FROM shapes JOIN votes USING (row_id))""",
+        f"""start AS MATERIALIZED (
+          SELECT class, rule, vote, p FROM (VALUES (0, -1, 0.3::DOUBLE), (0, 0, 0.2), (0, 1, 0.5), (1, -1, 0.02), (1, 0, 0.18), (1, 1, 0.8)) AS s(class, vote, p),
+               (VALUES {", ".join(f"('{r}')" for r in rules)}) AS r(rule))""",
+        "t0 AS MATERIALIZED (SELECT * FROM start)",
+        "g0 AS MATERIALIZED (SELECT 0.8::DOUBLE AS good)",
+    ]
+
+    def odds(turn: int) -> str:
+        return f"""SELECT c.shape, ln(any_value(good)) - ln(1 - any_value(good)) + sum(CASE WHEN class = 1 THEN ln(p) ELSE -ln(p) END) AS odds
+          FROM cast_votes AS c JOIN t{turn} AS t ON t.rule = c.rule AND t.vote = c.vote, g{turn} GROUP BY c.shape"""
+
+    for turn in range(rounds):
+        steps += [
+            f"q{turn} AS MATERIALIZED (SELECT shape, n, 1 / (1 + exp(-odds)) AS q FROM fitted JOIN ({odds(turn)}) USING (shape))",
+            f"""s{turn} AS MATERIALIZED (
+              SELECT s.class, s.rule, s.vote, 10 * s.p + coalesce(seen, 0) AS w FROM start AS s LEFT JOIN (
+                SELECT class, rule, vote, sum(n * CASE WHEN class = 1 THEN q ELSE 1 - q END) AS seen
+                FROM q{turn} JOIN cast_votes USING (shape), (VALUES (0), (1)) AS k(class) GROUP BY ALL
+              ) AS o ON o.class = s.class AND o.rule = s.rule AND o.vote = s.vote)""",
+            f"t{turn + 1} AS MATERIALIZED (SELECT class, rule, vote, w / sum(w) OVER (PARTITION BY class, rule) AS p FROM s{turn})",
+            f"g{turn + 1} AS MATERIALIZED (SELECT (coalesce(sum(n * q), 0) + 8) / (coalesce(sum(n), 0) + 10) AS good FROM q{turn})",
+        ]
+    return f"""WITH {", ".join(steps)}
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, counts.failed AS base_failed,
+               NOT counts.failed AND odds >= 0 AS kept
+        FROM counts JOIN shapes USING (row_id) JOIN ({odds(rounds)}) USING (shape)"""

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countersign.llm import ann, centroids, chat, mixing, near_dedup, omh, packing, pii, prefix_trie, quality, toxicity, urls
+from countersign.llm import ann, centroids, chat, mixing, near_dedup, omh, packing, pii, prefix_trie, quality, toxicity, urls, weak_rules
 from countersign.llm import oracle
 from countersign.llm.shared import in_fold
 
@@ -154,6 +154,19 @@ def op11_prefix_trie(spark, sf_dir):
     )
 
 
+#: What fails whatever the rules say: few words, or most of them in repeated windows.
+BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
+
+
+def op12_weak_rules(spark, sf_dir):
+    """Rules are weighed by the texts that pass the base; more likely good than bad is kept."""
+    judged, _ = weak_rules.judged(table(spark, sf_dir, "documents"), fit_on=f"NOT ({BASE_FAILED})")
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        F.expr(BASE_FAILED).alias("base_failed"), (F.expr(f"NOT ({BASE_FAILED})") & (F.col("quality") >= 0.5)).alias("kept"),
+    )
+
+
 def op13_centroids(spark, sf_dir):
     return centroids.clusters(table(spark, sf_dir, "embeddings"))[0]
 
@@ -177,10 +190,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_near_dedup": op9_near_dedup,
         "op10_url_rules": op10_url_rules,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_weak_rules": op12_weak_rules,
         "op13_centroids": op13_centroids,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_prefix_trie": oracle.prefix_trie(), "op13_centroids": oracle.centroids()}
+    return {
+        "op11_prefix_trie": oracle.prefix_trie(),
+        "op12_weak_rules": oracle.weak_rules(),
+        "op13_centroids": oracle.centroids(),
+    }
