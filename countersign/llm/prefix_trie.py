@@ -59,7 +59,8 @@ def turns_in_place(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows["conv_id"].cast("bigint").alias("conv_id"), rows["turn"].alias("turn"),
         turn_id(role, text).alias("id"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("words"),
     )
-    placed = numbered(turns, "conv_id", F.col("turn").asc_nulls_first(), "id").drop("turn")
+    # Written first: numbering samples its input, and texts are read and hashed once.
+    placed = numbered(written(turns, "turns"), "conv_id", F.col("turn").asc_nulls_first(), "id").drop("turn")
     convs = placed.groupBy("conv_id").agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n_turns"))
     return placed, written(convs, "conversations")
 
