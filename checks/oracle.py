@@ -1,7 +1,7 @@
 """The queries' expected results as SQL for DuckDB, written apart from the engine."""
 
 from checks.pairs import (
-    DOCUMENTS, DOCUMENTS_BY_PT, EVENTS, EVENTS_HOURLY, EVENTS_NULL_KEY, LINEITEM, MIXED, ORDERS,
+    DOCUMENTS, DOCUMENTS_BY_PT, EVENTS, EVENTS_HOURLY, EVENTS_NULL_KEY, LINEITEM, LINEITEM_COLUMNS, MIXED, ORDERS,
     ORDERS_BY_PT, SUITE, TABLES, Pair, day,
 )
 
@@ -136,13 +136,19 @@ def wide(sql: str, columns, key: str | None = None, where: str = "true") -> str:
     return f"SELECT {', '.join(parts)} FROM ({sql}) AS t WHERE {where} {group}"
 
 
+def exact_sum(value: str, bits: int = 70) -> str:
+    """The double nearest to the exact sum of doubles that are multiples of 2^-bits. As text the sum is rounded once."""
+    return f"CAST(CAST(sum(CAST({value} * pow(2, {bits}) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / pow(2, {bits})"
+
+
 def long_profile(table: str, columns: list[tuple[str, str]]) -> str:
-    """Count, and maximum and minimum of every numeric column; sums where they are exact."""
+    """Count, sum, maximum and minimum of every numeric column."""
     row = "SELECT '{0}' AS table_name, '{1}' AS \"column\", '{2}' AS type, '{3}' AS metric, CAST({4} AS DOUBLE) AS value FROM {0}"
     rows = [row.format(table, "*", "-", "count", "count(*)")]
     for column, label in columns:
-        for metric in ("sum", "max", "min")[0 if label not in ("float", "double") else 1:]:
-            rows.append(row.format(table, column, label, metric, f"{metric}({column})"))
+        for metric in ("sum", "max", "min"):
+            exact = metric == "sum" and label == "double"
+            rows.append(row.format(table, column, label, metric, exact_sum(column) if exact else f"{metric}({column})"))
     return " UNION ALL ".join(rows)
 
 
@@ -284,6 +290,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT table_name, status, CAST(row_number() OVER (ORDER BY table_name) AS INTEGER) AS number
             FROM ({verdicts}) AS v WHERE NOT match""",
         "reasons": reasons(suite),
+        "double_sums": f"""
+            SELECT {day("l_shipdate")} AS pt, count(*) AS total_count, {exact_sum("l_extendedprice")} AS price_sum,
+                   {exact_sum("l_discount")} AS l_discount_sum, {exact_sum("l_tax * pow(2, -50)", 115)} AS tiny_sum,
+                   max(l_tax * pow(2, -50)) AS tiny_max
+            FROM lineitem GROUP BY 1""",
+        "compare_reshuffled": f"""
+            SELECT pt, "column", metric, true AS match, false AS diff
+            FROM (SELECT DISTINCT {day("l_shipdate")} AS pt FROM lineitem), (
+              SELECT * FROM (VALUES {", ".join(f"('{c}')" for c, _ in LINEITEM_COLUMNS)}) AS c("column"),
+                            (VALUES ('sum'), ('max'), ('min')) AS m(metric)
+              UNION ALL SELECT '*', 'count')""",
         "exact_sums": f"""
             SELECT {day("l_shipdate")} AS pt, count(*) AS total_count,
                    CAST(sum(CAST((l_orderkey % 100000) * 70368744177664 AS HUGEINT)) AS VARCHAR) AS big_sum,

@@ -2,6 +2,7 @@
 
 from collections.abc import Container, Iterable
 
+from countersign.functions.exact import integer_sum
 from countersign.functions.names import quoted
 
 METRICS = ("sum", "max", "min")
@@ -12,18 +13,20 @@ def metric_alias(column: str, metric: str) -> str:
     return f"{column}_{metric}"
 
 
+def aggregate(column: str, metric: str, integers: Container[str] = ()) -> str:
+    """SQL of one metric of a column."""
+    return integer_sum(quoted(column)) if metric == "sum" and column in integers else f"{metric}({quoted(column)})"
+
+
 def aggregate_expressions(columns: Iterable[str], integers: Container[str] = ()) -> list[str]:
-    """SQL of every aggregate, in report order. The same text is run and shown.
+    """SQL of every aggregate, in report order.
 
     Sums of ``integers`` are decimals of 38 digits, so 64-bit ids add up exactly whatever the ANSI setting.
     """
     expressions = [f"count(1) AS {COUNT}"]
     for column in columns:
         for metric in METRICS:
-            alias = quoted(metric_alias(column, metric))
-            exact = metric == "sum" and column in integers
-            value = f"CAST({quoted(column)} AS DECIMAL(28,0))" if exact else quoted(column)
-            expressions.append(f"{metric}({value}) AS {alias}")
+            expressions.append(f"{aggregate(column, metric, integers)} AS {quoted(metric_alias(column, metric))}")
     return expressions
 
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from countersign.functions.equality import values_match
-from countersign.functions.metrics import COUNT, METRICS, metric_alias, profile_expression
+from countersign.functions.metrics import COUNT, METRICS, metric_alias
 from countersign.functions.names import literal, quoted
 from countersign.functions.text import value_text
 from countersign.operators.ordering import numbered
 from countersign.operators.partitions import partition_range
-from countersign.operators.schema import field_type, integer_columns, numeric_columns
+from countersign.operators.profile import fingerprints
+from countersign.operators.schema import field_type, numeric_columns
 
 
 METRICS_SCHEMA = (
@@ -32,7 +33,7 @@ def _check_key_types(left: DataFrame, right: DataFrame, column: str) -> None:
 
 
 def merge_profiles(
-    left: DataFrame, right: DataFrame, columns: Sequence[str], by: str | None = None
+    left: DataFrame, right: DataFrame, columns: Sequence[str], by: str | None = None, exact_doubles: bool = True
 ) -> DataFrame:
     """Profiles of both sides next to each other: ``l, r`` and the key as ``pt``, a row per key.
 
@@ -42,13 +43,9 @@ def merge_profiles(
     carry profile rows only. NULL keys meet like any other key, which they would not do in
     an equi-join.
     """
-    def packed(df: DataFrame, side: str) -> DataFrame:
-        fingerprint = F.expr(profile_expression(columns, integer_columns(df))).alias(side)
-        if by:
-            return df.groupBy(F.col(quoted(by)).alias("pt")).agg(fingerprint)
-        return df.agg(fingerprint)
-
-    united = packed(left, "l").unionByName(packed(right, "r"), allowMissingColumns=True)
+    united = fingerprints(left, columns, by, "l", exact_doubles).unionByName(
+        fingerprints(right, columns, by, "r", exact_doubles), allowMissingColumns=True
+    )
     # Each key has at most one profile per side, so max only picks the one that is there.
     return united.groupBy(*["pt"] if by else []).agg(F.max("l").alias("l"), F.max("r").alias("r"))
 
@@ -174,20 +171,22 @@ def compare(
     end: str | None = None,
     nan_equal: bool = True,
     rel_tol: float | None = None,
+    exact_doubles: bool = True,
 ) -> DataFrame:
     """All metrics of both copies and whether they match, as one lazy DataFrame.
 
     Columns and type labels come from the left copy; a numeric column the right copy lacks
     fails the analysis, and the right copy's additional columns are ignored. Without numeric
     columns only row counts are compared. With a partition column the comparison is per key,
-    narrowed to ``start``..``end`` where given; without one the bounds do not apply.
+    narrowed to ``start``..``end`` where given; without one the bounds do not apply. Sums of
+    doubles are exact, so that two layouts of the same rows agree; ``exact_doubles=False`` adds them as they come.
     """
     columns = numeric_columns(left)
     if partition_column:
         _check_key_types(left, right, partition_column)
         left = partition_range(left, partition_column, start, end)
         right = partition_range(right, partition_column, start, end)
-    merged = merge_profiles(left, right, [name for name, _ in columns], partition_column)
+    merged = merge_profiles(left, right, [name for name, _ in columns], partition_column, exact_doubles)
     return metric_rows(
         merged, columns, table_name=table_name, partitioned=bool(partition_column),
         nan_equal=nan_equal, rel_tol=rel_tol,

@@ -26,6 +26,11 @@ def integer_columns(df: DataFrame) -> set[str]:
     return {field.name for field in df.schema.fields if isinstance(field.dataType, T.IntegralType)}
 
 
+def floating_columns(df: DataFrame) -> set[str]:
+    """Names of the columns whose plain sums depend on the order of addition."""
+    return {field.name for field in df.schema.fields if isinstance(field.dataType, (T.FloatType, T.DoubleType))}
+
+
 def is_partitioned(partition_columns: Iterable[str], name: str = PARTITION_COLUMN) -> bool:
     """Whether the table is compared per partition: only a column of exactly this name counts."""
     return name in list(partition_columns)
