@@ -46,7 +46,7 @@ class NearSettings:
     bands: int = 40
     rows: int = 5
     seed: int = 9
-    known_words: int = 400_000
+    known_words: int = 100_000
 
     @property
     def bins(self) -> int:
@@ -142,17 +142,33 @@ def sketches(docs: DataFrame, settings: NearSettings) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(sketched, SKETCH)
 
 
+#: 64-bit words of a set's bitmap.
+PARITY = [f"p{i}" for i in range(16)]
+
+
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Of the hashes at each place (their lowest bits), is the number odd? As 64-bit words."""
+    places = len(PARITY) * 64
+    odd = np.bincount((hashes & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def shingle_sets(docs: DataFrame, settings: NearSettings) -> DataFrame:
-    """``doc_id, hashes``: the full set as sorted 64-bit numbers in one binary value."""
+    """``doc_id, hashes`` and the bitmap: the full set as sorted 64-bit numbers in one binary value."""
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(settings)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                sets = [shingler.hashes(t).tobytes() for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "hashes"])
+                sets = [shingler.hashes(t) for t in part.column("text").to_pylist()]
+                words = np.array([parity(s) for s in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary()), *(pa.array(w) for w in words.T)],
+                    names=["doc_id", "hashes", *PARITY],
+                )
 
-    return docs.select("doc_id", "text").mapInArrow(full, "doc_id bigint, hashes binary")
+    types = "doc_id bigint, hashes binary, " + ", ".join(f"{p} bigint" for p in PARITY)
+    return docs.select("doc_id", "text").mapInArrow(full, types)
 
 
 @F.pandas_udf(T.LongType())
@@ -261,7 +277,8 @@ def linked_components(docs: DataFrame, members: DataFrame, settings: NearSetting
             seated.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("order").alias("first"))
             .filter("low < high").select("bucket", "first")
         )
-        waiting = written(seated.join(open_buckets, "bucket"), "waiting")
+        bitmaps = sets.select(F.col("doc_id").alias("rep"), *PARITY)
+        waiting = written(seated.join(open_buckets, "bucket").join(bitmaps, "rep"), "waiting")
         if waiting.isEmpty():
             return labels
         pairs = _candidates(waiting, turn, settings)
@@ -292,9 +309,12 @@ def _candidates(waiting: DataFrame, turn: int, settings: NearSettings) -> DataFr
     centres = waiting.filter(is_centre).select(
         "bucket", F.col("rep").alias("centre"), F.col("n").alias("centre_n"),
         F.col("order").alias("centre_order"), F.col("component").alias("centre_component"),
+        *[F.col(p).alias(f"centre_{p}") for p in PARITY],
     )
     enough = 100 * F.least("n", "centre_n") >= settings.similarity * F.greatest("n", "centre_n")
-    stars = waiting.join(centres, "bucket").filter((F.col("component") != F.col("centre_component")) & enough)
+    differ = F.expr(" + ".join(f"bit_count({p} ^ centre_{p})" for p in PARITY))
+    may_link = differ * (100 + settings.similarity) <= (F.col("n") + F.col("centre_n")) * (100 - settings.similarity)
+    stars = waiting.join(centres, "bucket").filter((F.col("component") != F.col("centre_component")) & enough & may_link)
     if turn < SINGLE_TURNS:
         stars = stars.groupBy("rep").agg(F.max(F.struct("centre_order", "centre")).alias("best"))
         stars = stars.select("rep", F.col("best.centre").alias("centre"))

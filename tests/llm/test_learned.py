@@ -1,5 +1,6 @@
 """Classifiers, neighbours, near duplicates, packing, URL rules, against brute force."""
 
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -290,3 +291,46 @@ def test_rules_matched_by_a_join(spark):
     got = urls.judge(pages, table, {}).collect()
     assert sorted(map(str, got)) == want
     assert sorted((r.page_id or 0, r.verdict) for r in got) == [(0, "allow"), (1, "block"), (1, "block"), (2, "allow"), (3, "block")]
+
+
+def test_bitmaps_never_rule_out_a_link():
+    drawn = random.Random(4)
+    for _ in range(300):
+        both = [drawn.getrandbits(64) for _ in range(drawn.randrange(1, 600))]
+        own = [[drawn.getrandbits(64) for _ in range(drawn.randrange(0, 1 + len(both) // 6))] for _ in range(2)]
+        sets = [np.unique(np.array(both + extra, np.uint64)) for extra in own]
+        differ = len(set(sets[0].tolist()) ^ set(sets[1].tolist()))
+        a, b = (near_dedup.parity(s).view(np.uint64) for s in sets)
+        seen = sum(int(x).bit_count() for x in (a ^ b).tolist())
+        assert seen <= differ
+        common = len(set(sets[0].tolist()) & set(sets[1].tolist()))
+        if 100 * common >= 80 * (differ + common):
+            assert seen * 180 <= (len(sets[0]) + len(sets[1])) * 20
+
+
+def test_a_large_group_that_is_not_similar_enough_makes_few_pairs(spark, monkeypatch):
+    """300 texts, any two of which share 0.65 to 0.79 of their shingles: 44,850 pairs, no link."""
+    drawn = random.Random(8)
+    original = [f"w{i}" for i in range(300)]
+    texts = []
+    for number in range(300):
+        words = list(original)
+        for place in drawn.sample(range(300), 12):
+            words[place] = f"own{number}x{place}"
+        texts.append((number, " ".join(words)))
+    sets = [set(zip(w := t.split(), w[1:])) for _, t in texts]
+    likeness = [len(a & b) / len(a | b) for a, b in itertools.combinations(sets, 2)]
+    assert 0.65 < min(likeness) and max(likeness) < 0.8
+    pairs = []
+    keep = near_dedup.written
+
+    def counted(df, purpose):
+        out = keep(df, purpose)
+        if purpose == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", counted)
+    found = near_dedup.near_groups(spark.createDataFrame(texts, "doc_id bigint, text string"), near_dedup.NearSettings(shingle=2)).collect()
+    assert all(r.kept for r in found) and len(found) == 300
+    assert sum(pairs) < 300 * 299 / 2 / 20
