@@ -290,6 +290,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT table_name, status, CAST(row_number() OVER (ORDER BY table_name) AS INTEGER) AS number
             FROM ({verdicts}) AS v WHERE NOT match""",
         "reasons": reasons(suite),
+        "stored_keys": f"""
+            SELECT DISTINCT pt FROM (SELECT pt FROM ({left(EVENTS_NULL_KEY)}) UNION ALL SELECT pt FROM ({right(EVENTS_NULL_KEY)}))""",
+        "update_stored": f"""
+            SELECT pt, count(*) AS n, CAST(sum(o_totalprice + CASE WHEN met THEN 1 ELSE 0 END) AS DOUBLE) AS price,
+                   count(*) FILTER (WHERE met) AS changed
+            FROM (SELECT *, o_totalprice > 490000 AND o_orderstatus <> 'P' AS met FROM ({left(ORDERS_BY_PT)})) GROUP BY pt""",
         "double_sums": f"""
             SELECT {day("l_shipdate")} AS pt, count(*) AS total_count, {exact_sum("l_extendedprice")} AS price_sum,
                    {exact_sum("l_discount")} AS l_discount_sum, {exact_sum("l_tax * pow(2, -50)", 115)} AS tiny_sum,

@@ -17,7 +17,7 @@ from countersign.functions.metrics import metric_alias
 from countersign.functions.names import quoted
 from countersign.plans.report import metric_lines
 from countersign.plans.report import report_lines as all_lines
-from countersign.sources.storage import drop_table, update_rows, work_folder, write_table
+from countersign.sources.storage import drop_table, update_rows, update_table, work_folder, write_table
 from countersign.sources.tables import open_side
 
 
@@ -234,6 +234,34 @@ def scan_roundtrip(spark, sf_dir):
     )
 
 
+def update_stored(spark, sf_dir):
+    """A stored table after an update of some of its partitions, by partition."""
+    folder, name = work_folder(spark, "updated"), f"orders_{uuid.uuid4().hex}"
+    write_table(sides(spark, sf_dir, ORDERS_BY_PT)[0], name, "pt", f"{folder}/orders")
+    update_table(
+        spark, name, {"o_totalprice": "o_totalprice + 1", "o_orderpriority": "'CHANGED'"},
+        "o_totalprice > 490000 AND o_orderstatus <> 'P'", "pt",
+    )
+    drop_table(spark, name)  # its files stay
+    return open_side(spark, cs.Stored(f"{folder}/orders")).groupBy("pt").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").cast("double").alias("price"),
+        F.count_if(F.col("o_orderpriority") == "CHANGED").alias("changed"),
+    )
+
+
+def stored_keys(spark, sf_dir):
+    """Keys of two stored tables from the catalog, without a look at their rows."""
+    folder, names = work_folder(spark, "keys"), []
+    for side in sides(spark, sf_dir, EVENTS_NULL_KEY):
+        names.append(f"events_{uuid.uuid4().hex}")
+        write_table(side, names[-1], "pt", f"{folder}/{names[-1]}")
+    keys = cs.stored_partition_keys(spark, *names)
+    keys.write.parquet(f"{folder}/found")
+    for name in names:
+        drop_table(spark, name)
+    return spark.read.parquet(f"{folder}/found")
+
+
 def specs_of(spark, sf_dir, pairs) -> dict[str, cs.TableSpec]:
     return {
         pair.table_name: cs.TableSpec(pair.table_name, *sides(spark, sf_dir, pair), pair.key)
@@ -329,6 +357,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "count_global": count_global,
         "count_by_pt": count_by_pt,
         "partition_keys": partition_keys,
+        "stored_keys": stored_keys,
         "partition_bounds": partition_bounds,
         "compare_global": comparison(ORDERS),
         "compare_by_pt": comparison(LINEITEM),
@@ -358,6 +387,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "manifest": manifest,
         "metadata_join": metadata_join,
         "scan_roundtrip": scan_roundtrip,
+        "update_stored": update_stored,
         "multi_table_run": multi_table_run,
         "report_lines": report_lines,
         "report_sections": report_sections,

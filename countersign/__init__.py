@@ -2,7 +2,9 @@
 
 from countersign.operators.compare import compare, differences, in_order, places_in_order
 from countersign.operators.ordering import numbered
-from countersign.operators.partitions import partition_bounds, partition_keys, partition_range
+from countersign.operators.partitions import (
+    partition_bounds, partition_keys, partition_range, stored_partition_keys,
+)
 from countersign.operators.profile import profile, row_counts
 from countersign.operators.rollup import (
     failing_tables, partition_reasons, partition_status, run_totals, table_status,
@@ -20,5 +22,5 @@ __all__ = [
     "differences", "failing_tables", "in_order", "is_partitioned", "numbered", "numeric_columns",
     "partition_bounds", "partition_keys", "partition_range", "partition_reasons",
     "partition_status", "places_in_order", "prefetch_metadata", "profile", "read_manifest", "report_lines",
-    "row_counts", "run", "run_totals", "table_metadata", "table_status", "write_report",
+    "row_counts", "run", "run_totals", "stored_partition_keys", "table_metadata", "table_status", "write_report",
 ]

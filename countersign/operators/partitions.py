@@ -1,10 +1,12 @@
 """Partition keys: range filter, distinct keys of two tables, their bounds."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countersign.functions.bounds import range_condition
-from countersign.functions.names import quoted
+from countersign.functions.names import literal, quoted, quoted_table
 from countersign.operators.schema import PARTITION_COLUMN, field_type
 
 
@@ -25,6 +27,26 @@ def partition_keys(left: DataFrame, right: DataFrame, column: str = PARTITION_CO
     return left.select(key).union(right.select(key)).distinct()
 
 
+NULL_KEY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def stored_partition_keys(spark: SparkSession, *names: str, column: str = PARTITION_COLUMN) -> DataFrame:
+    """Every key of the named catalog tables, once, as text, from the catalog: no file is listed or read.
+
+    Takes tables partitioned by ``column``, alone or among others. A partition that is registered counts, also when its last row
+    is gone. ``partition_keys`` looks at rows instead, and takes any copies.
+    """
+    def keys(name: str) -> DataFrame:
+        # A listing has lines such as "pt=20240101/hour=3", where odd characters are written as %XX.
+        listed = spark.sql(f"SHOW PARTITIONS {quoted_table(name)}").toDF("line")
+        part = f"element_at(filter(split(line, '/'), p -> lower(split(p, '=')[0]) = {literal(column.lower())}), 1)"
+        text = f"substring({part}, {len(column) + 2})"
+        plain = f"url_decode(replace({text}, '+', '%2B'))"
+        return listed.selectExpr(f"if({text} = '{NULL_KEY}', NULL, {plain}) AS {quoted(column)}")
+
+    return reduce(DataFrame.union, map(keys, names)).distinct()
+
+
 def partition_bounds(
     left: DataFrame,
     right: DataFrame,

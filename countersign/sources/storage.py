@@ -74,3 +74,36 @@ def update_rows(df: DataFrame, assignments: Mapping[str, str], condition: str) -
             for name, dtype in types.items()
         ]
     )
+
+
+def update_table(
+    spark: SparkSession, name: str, assignments: Mapping[str, str], condition: str, partition_column: str | None = None
+) -> None:
+    """``UPDATE name SET ... WHERE`` on a stored table: only partitions with a row that meets the condition are rewritten.
+
+    Their rows, updated and others alike, are written beside the table first and then put in their place, so a job that
+    fails before leaves the table as it was. Files of all other partitions stay untouched; the search for
+    the rows reads the condition's columns and the key alone. Without a partition column the whole table is rewritten, where
+    a row meets the condition. Rows do not move between partitions.
+    """
+    if partition_column and partition_column.lower() in {column.lower() for column in assignments}:
+        raise ValueError(f"{partition_column} is the partition column; an update does not move rows")
+    table = spark.table(name)
+    met = table.filter(condition)
+    if met.isEmpty():
+        return
+    rows = table
+    if partition_column:
+        key = quoted(partition_column)
+        touched = met.select(F.col(key).alias("touched")).distinct()
+        rows = table.join(touched, F.col(key).eqNullSafe(F.col("touched")), "left_semi")
+    staged = work_folder(spark, "update")
+    updated = update_rows(rows, assignments, condition)
+    updated.write.parquet(staged)
+    own = spark.newSession()  # the mode of overwriting is a setting of a session
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    placed = own.read.schema(updated.schema).parquet(staged)
+    if partition_column:
+        placed = placed.hint("rebalance", F.col(quoted(partition_column)))
+    placed.select(*[quoted(c) for c in table.columns]).write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(name)
