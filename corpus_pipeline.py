@@ -7,6 +7,7 @@ Each stage works on all rows the one before it kept. All but the last return the
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from countersign.functions.names import free_name
 from countersign.llm import mixing, near_dedup, pii, quality
 from countersign.llm.queries import PIPELINE_TARGETS, TEST_KEY, packed, quality_model, table
 from countersign.llm.shared import written
@@ -23,14 +24,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id. Rows without an id stay."""
+    """One document of each group stays: the one with the smallest id. Rows without an id stay, and so do all rows
+    that repeat the id of one that stays."""
     groups = near_dedup.near_groups(docs)
     gone = groups.filter("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hidden = pii.pseudonymise(docs, TEST_KEY, kinds_column="private_kinds").drop("private_kinds")
+    kinds = free_name(docs.columns, "private_kinds")
+    hidden = pii.pseudonymise(docs, TEST_KEY, kinds_column=kinds).drop(kinds)
     chars = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))
     types = dict(docs.dtypes)
     return hidden.withColumn("n_chars", chars.cast(types["n_chars"])).select(*docs.columns)
