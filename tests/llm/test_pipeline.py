@@ -19,6 +19,15 @@ def test_stages(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
 
 
+def test_columns_with_names_of_the_stages_own(spark):
+    docs = table(spark, DATA, "documents").limit(20).selectExpr(
+        "*", "1 AS private_kinds", "2 AS private_kinds_", "'x' AS component", "0.5D AS score", "3 AS kept"
+    )
+    hidden = dict(corpus_pipeline.STAGES)["private_data"](spark, docs, DATA)
+    assert hidden.dtypes == docs.dtypes and hidden.count() == 20
+    assert {(r.private_kinds, r.private_kinds_) for r in hidden.collect()} == {(1, 2)}
+
+
 def test_empty_table(spark):
     docs = table(spark, DATA, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
@@ -29,4 +38,4 @@ def test_empty_table(spark):
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in names} and "pipeline" in names
