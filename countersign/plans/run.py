@@ -85,6 +85,7 @@ def _entries(
     lookup: Lookup | None,
     left_format: str,
     workers: int,
+    timeout_s: float,
 ) -> list[tuple[str, TableSpec | Exception]]:
     """The manifest on the driver: names and how to open them, no table data."""
     if "line_no" not in manifest.columns:
@@ -93,7 +94,7 @@ def _entries(
     if lookup:
         names = [row.table_name for row in manifest.select("table_name").collect()]
         unspecified = [name for name in names if name not in specs]
-        manifest = attach_metadata(manifest, prefetch_metadata(spark, unspecified, lookup, workers))
+        manifest = attach_metadata(manifest, prefetch_metadata(spark, unspecified, lookup, workers, timeout_s))
     entries: list[tuple[str, TableSpec | Exception]] = []
     for entry in sorted(manifest.collect(), key=lambda e: e.line_no):
         spec: TableSpec | Exception | None = specs.get(entry.table_name)
@@ -199,14 +200,14 @@ def run(
     and partition columns): the left copy by location, the right one by name. Tables are
     compared by concurrent Spark jobs, each of which writes its metrics to a folder of its
     own; the driver keeps names, times and error messages. A table that fails or exceeds
-    ``timeout_s`` is reported as ERROR and does not touch the others.
+    ``timeout_s``, or whose lookup does, is reported as ERROR and does not touch the others.
     """
     began = time.time()
     run_id = f"r{uuid.uuid4().hex}"
     out = (out or work_folder(spark, "run")).rstrip("/")
     folder = f"{out}/metrics/run_id={run_id}"
     runner = _Runner(spark, folder, timeout_s, start, end, nan_equal, rel_tol)
-    entries = _entries(spark, manifest, specs or {}, lookup, left_format, workers)
+    entries = _entries(spark, manifest, specs or {}, lookup, left_format, workers, timeout_s)
     prefetch_s = time.time() - began
 
     attempts = [_Attempt(i, f"countersign-{run_id}-{i}") for i in range(1, len(entries) + 1)]

@@ -1,7 +1,10 @@
 """Table metadata: where a copy is stored and what it is partitioned by."""
 
+import queue
+import threading
+import time
+from collections import deque
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,11 +33,12 @@ def prefetch_metadata(
     names: Iterable[str],
     lookup: Lookup = table_metadata,
     workers: int = 15,
+    timeout_s: float | None = None,
 ) -> DataFrame:
     """``table_name, location, partition_cols, error`` of each name.
 
     A lookup that fails gives an empty location and its message, so that only this table
-    ends as an error. The names are those of the manifest: catalog calls, no table data.
+    ends as an error; so does one that has not answered ``timeout_s`` seconds after it began. The names are those of the manifest: catalog calls, no table data.
     ``lookup`` may ask another catalog for the left copy.
     """
     def one(name: str):
@@ -44,11 +48,34 @@ def prefetch_metadata(
         except Exception as problem:
             return (name, "", [], str(problem))
 
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        rows = list(pool.map(one, dict.fromkeys(names)))
+    rows = _answers(list(dict.fromkeys(names)), one, workers, timeout_s)
     return spark.createDataFrame(rows, METADATA_SCHEMA)
 
 
+def _answers(names: list[str], one: Callable[[str], tuple], workers: int, timeout_s: float | None) -> list[tuple]:
+    """``one`` of each name, ``workers`` at a time. A call that is late gives its place to the next one and is left behind:
+    a thread cannot be ended, but nothing waits for it any more."""
+    answered: queue.Queue = queue.Queue()
+    waiting, began, found = deque(names), {}, {}
+    while waiting or began:
+        while waiting and len(began) < workers:
+            name = waiting.popleft()
+            began[name] = time.monotonic()
+            threading.Thread(target=lambda name=name: answered.put((name, one(name))), daemon=True).start()
+        try:
+            left = None if timeout_s is None else max(0.0, min(began.values()) + timeout_s - time.monotonic())
+            name, row = answered.get(timeout=left)
+        except queue.Empty:
+            now = time.monotonic()
+            for name in [name for name, start in began.items() if now - start >= timeout_s]:
+                del began[name]
+                found[name] = (name, "", [], f"no answer from the catalog within {timeout_s:g} s")
+            continue
+        if began.pop(name, None) is not None:
+            found[name] = row
+    return [found[name] for name in names]
+
+
 def attach_metadata(manifest: DataFrame, metadata: DataFrame) -> DataFrame:
     """Each manifest line with its table's metadata, empty where there is none."""
     return manifest.join(metadata, "table_name", "left").select(

@@ -1,0 +1,53 @@
+"""Lookups that hang, fail or answer late."""
+
+import threading
+import time
+
+import countersign as cs
+from countersign.sources.catalog import _answers
+
+
+def test_a_hanging_lookup_ends_as_an_error_of_its_table(spark):
+    released = threading.Event()
+
+    def lookup(session, name):
+        if name.startswith("hangs"):
+            released.wait(60)
+        if name == "fails":
+            raise RuntimeError("404")
+        return f"/at/{name}", ["pt"]
+
+    listed = ["hangs_1", "a", "hangs_2", "fails", "b", "a"]
+    began = time.monotonic()
+    rows = cs.prefetch_metadata(spark, listed, lookup, workers=2, timeout_s=0.5).collect()
+    assert time.monotonic() - began < 20
+    released.set()
+    assert [(r.table_name, r.location, r.error) for r in rows] == [
+        ("hangs_1", "", "no answer from the catalog within 0.5 s"), ("a", "/at/a", None),
+        ("hangs_2", "", "no answer from the catalog within 0.5 s"), ("fails", "", "404"), ("b", "/at/b", None),
+    ]
+
+
+def test_a_run_goes_on_without_the_table_that_hangs(spark):
+    released = threading.Event()
+
+    def lookup(session, name):
+        released.wait(60)
+        return "", []
+
+    manifest = spark.createDataFrame([("known",), ("hangs",)], "table_name string")
+    df = spark.range(3)
+    result = cs.run(spark, manifest, {"known": cs.TableSpec("known", df, df)}, lookup=lookup, timeout_s=8)
+    rows = {r.table_name: r for r in result.tables.collect()}
+    released.set()
+    assert rows["known"].status == "PASS" and rows["hangs"].status == "ERROR" and "no answer" in rows["hangs"].error
+
+
+def test_late_answers_are_dropped_and_places_given_back():
+    def one(name):
+        time.sleep(0.6 if name < 3 else 0.0)
+        return (name, "there", [], None)
+
+    found = _answers(list(range(8)), one, 3, 0.2)
+    assert [row[1] for row in found] == ["", "", ""] + ["there"] * 5
+    assert _answers([], one, 3, 0.2) == [] and [r[1] for r in _answers([7, 1], one, 1, None)] == ["there"] * 2
