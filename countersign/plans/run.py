@@ -1,6 +1,7 @@
 """Comparing many tables at once: workers, time limits, isolated errors, result tables."""
 
 import logging
+import re
 import threading
 import time
 import uuid
@@ -23,11 +24,12 @@ from countersign.operators.schema import (
 )
 from countersign.operators.sqltext import check_sql
 from countersign.sources.catalog import Lookup, attach_metadata, prefetch_metadata
-from countersign.sources.storage import work_folder
+from countersign.sources.storage import read_if_there, work_folder
 from countersign.sources.tables import Stored, TableSpec, check_two_copies, open_side
 
 log = logging.getLogger(__name__)
 
+RUN_ID = re.compile(r"[A-Za-z0-9._-]+")
 WORKERS = 15
 TIMEOUT_S = 600.0
 POLL_S = 0.2
@@ -38,6 +40,8 @@ OUTCOME_SCHEMA = (
     "branch string, sql string, error string, started timestamp, elapsed_s double"
 )
 RUN_KEY = ("line_no", "table_name")
+# What a finished line leaves behind in a run that can be resumed: its outcome, and the settings it was compared with.
+MARK_SCHEMA = f"{OUTCOME_SCHEMA}, settings string"
 
 
 class RunResult(NamedTuple):
@@ -108,9 +112,10 @@ def _entries(
 
 
 class _Runner:
-    def __init__(self, spark, folder, timeout_s, start, end, nan_equal, rel_tol):
+    def __init__(self, spark, folder, marks, timeout_s, start, end, nan_equal, rel_tol):
         self.spark = spark
         self.folder = folder
+        self.marks = marks
         self.timeout_s = timeout_s
         self.start, self.end = start, end
         self.options = {"nan_equal": nan_equal, "rel_tol": rel_tol}
@@ -118,6 +123,30 @@ class _Runner:
     def table_folder(self, line_no: int) -> str:
         return f"{self.folder}/line_no={line_no}"
 
+    @property
+    def settings(self) -> str:
+        return repr({"start": self.start, "end": self.end, **self.options})
+
+    def finished_before(self, entries: list[tuple[str, TableSpec | Exception]]) -> list[dict]:
+        """Outcomes of the lines that an earlier attempt at this run has finished: their metrics are complete."""
+        found = read_if_there(self.spark, self.marks, MARK_SCHEMA) if self.marks else None
+        marks = found.collect() if found is not None else []  # a row a manifest line
+        for mark in marks:
+            if not 0 < mark.line_no <= len(entries) or entries[mark.line_no - 1][0] != mark.table_name:
+                raise ValueError(f"line {mark.line_no} of the run to resume was {mark.table_name}; the manifest differs")
+            if mark.settings != self.settings:
+                raise ValueError(f"the run to resume was started with {mark.settings}, not {self.settings}")
+        return [{name: value for name, value in mark.asDict().items() if name != "settings"} for mark in marks]
+
+    def mark_finished(self, outcome: dict) -> None:
+        """Written after the line's metrics, so a line with a mark has all of them."""
+        row = {**outcome, "settings": self.settings}
+        types = [column.split(" ") for column in MARK_SCHEMA.split(", ")]
+        mark = self.spark.sql(
+            "SELECT " + ", ".join(f"CAST(:{name} AS {dtype}) AS {name}" for name, dtype in types), args=row
+        )
+        mark.write.mode("overwrite").parquet(f"{self.marks}/line={outcome['line_no']}")
+
     def compare_table(self, attempt: _Attempt, name: str, spec: TableSpec | Exception) -> dict:
         """Write the metrics of one table; anything that goes wrong becomes its error."""
         context = self.spark.sparkContext
@@ -156,6 +185,8 @@ class _Runner:
             outcome["branch"] = ("numeric" if columns else "count_only") + (
                 "_by_partition" if key else "_global"
             )
+            if self.marks:
+                self.mark_finished({**outcome, "elapsed_s": time.time() - began})
         except Exception as problem:
             outcome["error"] = (
                 f"timed out after {self.timeout_s:g} s" if attempt.expired else str(problem)
@@ -193,6 +224,7 @@ def run(
     rel_tol: float | None = None,
     labels: tuple[str, str] = LABELS,
     out: str | None = None,
+    run_id: str | None = None,
 ) -> RunResult:
     """Compare every table of the manifest and write the result tables below ``out``.
 
@@ -201,22 +233,33 @@ def run(
     compared by concurrent Spark jobs, each of which writes its metrics to a folder of its
     own; the driver keeps names, times and error messages. A table that fails or exceeds
     ``timeout_s``, or whose lookup does, is reported as ERROR and does not touch the others.
+
+    A run that is given a ``run_id`` can be resumed: each compared line leaves a mark below ``out``, and
+    the next run of that id into the same ``out`` takes over the lines with a mark and compares the others, those that
+    ended as ERROR included. Its result tables replace those of the attempt before, one row a line. The manifest
+    and the bounds and rules of comparison must be the same; the copies are taken to be so.
     """
     began = time.time()
-    run_id = f"r{uuid.uuid4().hex}"
+    if run_id is not None and not (out and RUN_ID.fullmatch(run_id)):
+        raise ValueError("a run to resume needs out, and an id of letters, digits, '.', '_' and '-'")
+    marks = f"{out.rstrip('/')}/marks/run_id={run_id}" if run_id else None
+    run_id = run_id or f"r{uuid.uuid4().hex}"
     out = (out or work_folder(spark, "run")).rstrip("/")
     folder = f"{out}/metrics/run_id={run_id}"
-    runner = _Runner(spark, folder, timeout_s, start, end, nan_equal, rel_tol)
+    runner = _Runner(spark, folder, marks, timeout_s, start, end, nan_equal, rel_tol)
     entries = _entries(spark, manifest, specs or {}, lookup, left_format, workers, timeout_s)
     prefetch_s = time.time() - began
 
-    attempts = [_Attempt(i, f"countersign-{run_id}-{i}") for i in range(1, len(entries) + 1)]
-    outcomes = []
+    outcomes = runner.finished_before(entries)
+    finished = {outcome["line_no"] for outcome in outcomes}
+    todo = [(i, *entry) for i, entry in enumerate(entries, 1) if i not in finished]
+    attempt_id = uuid.uuid4().hex  # jobs of an earlier attempt at this run are not to be taken for this one's
+    attempts = [_Attempt(i, f"countersign-{attempt_id}-{i}") for i, _, _ in todo]
     with ThreadPoolExecutor(max_workers=workers, thread_name_prefix="countersign") as pool:
         pending: set[Future] = {
             # Wrapped one by one: each wrapper hands its own copy of the job settings to its thread.
             pool.submit(inheritable_thread_target(spark)(runner.compare_table), attempt, name, spec)
-            for attempt, (name, spec) in zip(attempts, entries)
+            for attempt, (_, name, spec) in zip(attempts, todo)
         }
         try:
             while pending:
@@ -235,8 +278,8 @@ def run(
     compared = spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
     if any(o["error"] is None for o in outcomes):
         # One read of the whole folder. A stopped table may have left rows, so only finished lines count.
-        finished = F.broadcast(compared.filter("error IS NULL").select("line_no"))  # the manifest's size
-        metrics = spark.read.schema(RUN_METRICS_SCHEMA).parquet(folder).join(finished, "line_no", "left_semi")
+        complete = F.broadcast(compared.filter("error IS NULL").select("line_no"))  # the manifest's size
+        metrics = spark.read.schema(RUN_METRICS_SCHEMA).parquet(folder).join(complete, "line_no", "left_semi")
     else:
         metrics = spark.createDataFrame([], RUN_METRICS_SCHEMA)
 

@@ -3,6 +3,7 @@
 import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,16 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """Parquet files anywhere below a folder; None where there is no such folder."""
+    try:
+        return spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quoted_table(name)}")
 
