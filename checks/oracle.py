@@ -199,6 +199,14 @@ def run_statuses() -> str:
         UNION ALL SELECT 'unknown', 'ERROR', false, 0, 0, count(*) > 0 FROM orders"""
 
 
+def resumed_statuses() -> str:
+    """Verdicts of the suite: those of a run that was taken up again are those of one run."""
+    numbers = " ".join(f"WHEN '{pair.table_name}' THEN {n}" for n, pair in enumerate(SUITE, 1))
+    return f"""
+        SELECT CAST(CASE table_name {numbers} END AS BIGINT) AS line_no, table_name, status, partitions_compared, n_diffs
+        FROM ({VERDICTS.format(metrics=all_metrics(SUITE))}) AS v"""
+
+
 def metric_report() -> str:
     """The table rows and difference items of the report on the events pair."""
     item = DIFFERENCE.format(separator=", ")
@@ -334,6 +342,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'not_there', false, false, true, 0 FROM region HAVING count(*) > 0""",
         "scan_roundtrip": metrics(ORDERS_BY_PT),
         "multi_table_run": run_statuses(),
+        "resumed_run": resumed_statuses(),
+        "footer_counts": metrics(DOCUMENTS_BY_PT),
         "report_lines": metric_report(),
         "report_sections": report_sections(),
         "listed_in_order": f"""

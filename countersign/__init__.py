@@ -15,12 +15,12 @@ from countersign.plans.report import report_lines, write_report
 from countersign.plans.run import RunResult, run
 from countersign.sources.catalog import attach_metadata, prefetch_metadata, table_metadata
 from countersign.sources.manifest import read_manifest
-from countersign.sources.tables import Stored, TableSpec
+from countersign.sources.tables import Stored, TableSpec, open_for_counts
 
 __all__ = [
     "RunResult", "Stored", "TableSpec", "attach_metadata", "check_sql", "compare",
     "differences", "failing_tables", "in_order", "is_partitioned", "numbered", "numeric_columns",
-    "partition_bounds", "partition_keys", "partition_range", "partition_reasons",
+    "open_for_counts", "partition_bounds", "partition_keys", "partition_range", "partition_reasons",
     "partition_status", "places_in_order", "prefetch_metadata", "profile", "read_manifest", "report_lines",
     "row_counts", "run", "run_totals", "stored_partition_keys", "table_metadata", "table_status", "write_report",
 ]

@@ -32,4 +32,7 @@ def aggregate_expressions(columns: Iterable[str], integers: Container[str] = ())
 
 def profile_expression(columns: Iterable[str], integers: Container[str] = ()) -> str:
     """All aggregates as one struct, so that a wide table takes one expression to plan."""
-    return f"struct({', '.join(aggregate_expressions(columns, integers))})"
+    count, *others = aggregate_expressions(columns, integers)
+    # Counts that Spark takes from footers are NULL where there are no rows; greatest passes over NULLs.
+    counted = f"greatest({count.removesuffix(f' AS {COUNT}')}, 0L) AS {COUNT}"
+    return f"struct({', '.join([counted, *others])})"

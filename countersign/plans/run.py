@@ -25,7 +25,7 @@ from countersign.operators.schema import (
 from countersign.operators.sqltext import check_sql
 from countersign.sources.catalog import Lookup, attach_metadata, prefetch_metadata
 from countersign.sources.storage import read_if_there, work_folder
-from countersign.sources.tables import Stored, TableSpec, check_two_copies, open_side
+from countersign.sources.tables import Stored, TableSpec, check_two_copies, open_for_counts, open_side
 
 log = logging.getLogger(__name__)
 
@@ -175,6 +175,8 @@ class _Runner:
                 integers=integer_columns(left),
                 **({"partition_type": field_type(left, key)} if key else {}),
             )
+            if not columns:
+                left, right = open_for_counts(self.spark, spec.left), open_for_counts(self.spark, spec.right)
             metrics = compare(
                 left, right, table_name=name, partition_column=key,
                 start=self.start, end=self.end, **self.options,

@@ -9,6 +9,14 @@ from pyspark.sql import types as T
 from countersign.sources.catalog import table_metadata
 
 INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
+# Formats whose files tell their number of rows, and the settings by which Spark asks them for it.
+COUNTED_FORMATS = ("parquet", "orc")
+FOOTER_COUNTS = {
+    "spark.sql.sources.useV1SourceList": "",
+    "spark.sql.parquet.aggregatePushdown": "true",
+    "spark.sql.orc.aggregatePushdown": "true",
+    INFERENCE: "false",
+}
 # Formats whose partition values are only text in directory names, so that Spark guesses a type.
 DIRECTORY_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro")
 
@@ -63,6 +71,29 @@ def open_path(spark: SparkSession, stored: Stored) -> DataFrame:
     return reader.schema(schema).load(stored.path)
 
 
+def _session_like(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
+    """A session of its own with the settings of the given one, but for those that are named."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name not in settings and own.conf.isModifiable(name) and own.conf.get(name, None) != value:
+            own.conf.set(name, value)
+    for name, value in settings.items():
+        own.conf.set(name, value)
+    return own
+
+
+def open_for_counts(spark: SparkSession, side: Side) -> DataFrame:
+    """Like ``open_side``, for a table of which only rows are counted, as a whole or by directory key.
+
+    Spark then takes the numbers from the footers of Parquet and ORC files and reads no column. Keys that are
+    ordinary columns, filters on such, other formats and copies given otherwise are scanned as ever, with the same counts.
+    """
+    if not isinstance(side, Stored) or side.format.lower() not in COUNTED_FORMATS:
+        return open_side(spark, side)
+    reader = _session_like(spark, FOOTER_COUNTS).read.format(side.format).options(**side.options)
+    return (reader.schema(side.schema) if side.schema is not None else reader).load(side.path)
+
+
 def _folder(location: str) -> str:
     """A location in one form: ``file:/a``, ``file:///a`` and ``/a/`` are the same folder."""
     scheme, colon, rest = location.partition(":")
