@@ -21,6 +21,7 @@ def main() -> None:
     parser.add_argument("--pt-start", help="first partition, included")
     parser.add_argument("--pt-end", help="last partition, included")
     parser.add_argument("--run-id", help="a name for the run; a second job of that name and output resumes it")
+    parser.add_argument("--together-below", type=int, default=0, help="tables of fewer bytes share jobs")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("countersign").getOrCreate()
@@ -31,7 +32,7 @@ def main() -> None:
     result = run(
         spark, read_manifest(spark, args.manifest), lookup=lookup, left_format=args.left_format, workers=args.workers,
         timeout_s=args.timeout, start=args.pt_start, end=args.pt_end, out=args.output,
-        run_id=args.run_id,
+        run_id=args.run_id, together_below=args.together_below,
     )
     write_report(result, f"{args.output.rstrip('/')}/report")
     verdicts = result.tables.orderBy("line_no").select("table_name", "status", "n_diffs", "elapsed_s")

@@ -22,7 +22,7 @@ METRICS_SCHEMA = (
 )
 
 
-def _check_key_types(left: DataFrame, right: DataFrame, column: str) -> None:
+def check_key_types(left: DataFrame, right: DataFrame, column: str) -> None:
     left_type, right_type = field_type(left, column), field_type(right, column)
     both_integral = isinstance(left_type, T.IntegralType) and isinstance(right_type, T.IntegralType)
     if left_type != right_type and not both_integral:
@@ -95,8 +95,9 @@ def metric_rows(
     partitioned: bool,
     nan_equal: bool = True,
     rel_tol: float | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Long form of merged profiles: one row per key and metric (``METRICS_SCHEMA``).
+    """Long form of merged profiles: one row per key and metric (``METRICS_SCHEMA``), with the columns to ``keep``.
 
     ``match`` compares the values of a row. ``diff`` marks the rows that count as
     differences: where a partition exists on one side only, a table with numeric columns has
@@ -154,6 +155,7 @@ def metric_rows(
         listings.append(f"transform({zipped}, entry -> {compared})")
 
     return merged.selectExpr(
+        *keep,
         f"{literal(table_name)} AS table_name",
         f"{str(partitioned).lower()} AS partitioned",
         "CAST(pt AS STRING) AS pt" if partitioned else "CAST(NULL AS STRING) AS pt",
@@ -183,7 +185,7 @@ def compare(
     """
     columns = numeric_columns(left)
     if partition_column:
-        _check_key_types(left, right, partition_column)
+        check_key_types(left, right, partition_column)
         left = partition_range(left, partition_column, start, end)
         right = partition_range(right, partition_column, start, end)
     merged = merge_profiles(left, right, [name for name, _ in columns], partition_column, exact_doubles)

@@ -23,6 +23,7 @@ from countersign.operators.schema import (
     PARTITION_COLUMN, field_type, integer_columns, is_partitioned, numeric_columns,
 )
 from countersign.operators.sqltext import check_sql
+from countersign.operators.together import Opened, compare_together, estimated_bytes, shape
 from countersign.sources.catalog import Lookup, attach_metadata, prefetch_metadata
 from countersign.sources.storage import read_if_there, work_folder
 from countersign.sources.tables import Stored, TableSpec, check_two_copies, open_for_counts, open_side
@@ -33,6 +34,8 @@ RUN_ID = re.compile(r"[A-Za-z0-9._-]+")
 WORKERS = 15
 TIMEOUT_S = 600.0
 POLL_S = 0.2
+# So many small tables share a job: more of them would make its plan slow.
+TOGETHER = 100
 
 RUN_METRICS_SCHEMA = f"line_no bigint, {METRICS_SCHEMA}"
 OUTCOME_SCHEMA = (
@@ -58,7 +61,7 @@ class RunResult(NamedTuple):
 class _Attempt:
     """One table in work: what the watching thread needs to stop it."""
 
-    line_no: int
+    line_no: int  # 0: a batch of small tables
     tag: str
     deadline: float | None = None
     expired: bool = False
@@ -138,18 +141,82 @@ class _Runner:
                 raise ValueError(f"the run to resume was started with {mark.settings}, not {self.settings}")
         return [{name: value for name, value in mark.asDict().items() if name != "settings"} for mark in marks]
 
-    def mark_finished(self, outcome: dict) -> None:
-        """Written after the line's metrics, so a line with a mark has all of them."""
-        row = {**outcome, "settings": self.settings}
-        types = [column.split(" ") for column in MARK_SCHEMA.split(", ")]
-        mark = self.spark.sql(
-            "SELECT " + ", ".join(f"CAST(:{name} AS {dtype}) AS {name}" for name, dtype in types), args=row
-        )
-        mark.write.mode("overwrite").parquet(f"{self.marks}/line={outcome['line_no']}")
+    def mark_finished(self, *outcomes: dict) -> None:
+        """Written after the lines' metrics, so a line with a mark has all of them."""
+        rows = [{**outcome, "settings": self.settings} for outcome in outcomes]
+        marks = self.spark.createDataFrame(rows, MARK_SCHEMA).coalesce(1)  # a row a line of the batch
+        marks.write.mode("overwrite").parquet(f"{self.marks}/line={outcomes[0]['line_no']}")
+
+    def opened(self, line_no: int, name: str, spec: TableSpec) -> Opened:
+        check_two_copies(self.spark, spec)
+        left, right = open_side(self.spark, spec.left), open_side(self.spark, spec.right)
+        return Opened(line_no, name, left, right, spec.partition_column)
+
+    def described(self, table: Opened) -> dict:
+        """What the outcome of a table says about its comparison."""
+        key = table.partition_column
+        columns = [column for column, _ in numeric_columns(table.left)]
+        return {
+            "partitioned": key is not None, "partition_column": key,
+            "branch": ("numeric" if columns else "count_only") + ("_by_partition" if key else "_global"),
+            "sql": check_sql(
+                table.table_name, columns, key, self.start, self.end,
+                integers=integer_columns(table.left),
+                **({"partition_type": field_type(table.left, key)} if key else {}),
+            ),
+        }
+
+    def small_table(self, line_no: int, name: str, spec: TableSpec | Exception, below: int) -> Opened | None:
+        """The table, if both copies are smaller than ``below`` bytes; whatever goes wrong is left to its own comparison."""
+        try:
+            if isinstance(spec, Exception):
+                return None
+            table = self.opened(line_no, name, spec)
+            shape(table)
+            small = max(estimated_bytes(table.left), estimated_bytes(table.right)) < below
+            return table if small else None
+        except Exception:
+            return None
+
+    def compare_batch(self, attempt: _Attempt, tables: list[Opened]) -> list[dict] | None:
+        """Write the metrics of many small tables in one job; None where that fails, and each is on its own then."""
+        began, started = time.time(), datetime.now()
+        attempt.deadline = began + self.timeout_s
+        self._begin(attempt)
+        try:
+            metrics = compare_together(self.spark, tables, self.start, self.end, **self.options)
+            # Each line's rows become a file in a folder of its own, as those of a table compared alone do.
+            metrics = metrics.repartition("line_no").sortWithinPartitions("line_no")
+            if attempt.expired:
+                raise TimeoutError
+            metrics.write.mode("append").partitionBy("line_no").parquet(self.folder)
+            outcomes = [
+                {"line_no": t.line_no, "table_name": t.table_name, "error": None, "started": started,
+                 "elapsed_s": time.time() - began, **self.described(t)}
+                for t in tables
+            ]
+            if self.marks:
+                self.mark_finished(*outcomes)
+            return outcomes
+        except Exception as problem:
+            log.info("%d small tables are compared one by one: %s", len(tables), problem)
+            return None
+        finally:
+            self._end(attempt)
+
+    def _begin(self, attempt: _Attempt) -> None:
+        context = self.spark.sparkContext
+        # Jobs of one pool run in order, pools share the cluster when the scheduler is FAIR.
+        context.setLocalProperty("spark.scheduler.pool", threading.current_thread().name)
+        context.addJobTag(attempt.tag)
+        context.setInterruptOnCancel(True)  # a table past its limit frees its executors at once
+
+    def _end(self, attempt: _Attempt) -> None:
+        attempt.deadline = None
+        self.spark.sparkContext.removeJobTag(attempt.tag)
 
     def compare_table(self, attempt: _Attempt, name: str, spec: TableSpec | Exception) -> dict:
         """Write the metrics of one table; anything that goes wrong becomes its error."""
-        context = self.spark.sparkContext
         outcome = {
             "line_no": attempt.line_no, "table_name": name, "partitioned": False,
             "partition_column": None, "branch": "error", "sql": None, "error": None,
@@ -157,25 +224,17 @@ class _Runner:
         }
         began = time.time()
         attempt.deadline = began + self.timeout_s
-        # Jobs of one pool run in order, pools share the cluster when the scheduler is FAIR.
-        context.setLocalProperty("spark.scheduler.pool", threading.current_thread().name)
-        context.addJobTag(attempt.tag)
-        context.setInterruptOnCancel(True)  # a table past its limit frees its executors at once
+        self._begin(attempt)
         try:
             if isinstance(spec, Exception):
                 raise spec
             key = spec.partition_column
             outcome.update(partitioned=key is not None, partition_column=key)
-            check_two_copies(self.spark, spec)
-            left = open_side(self.spark, spec.left)
-            right = open_side(self.spark, spec.right)
-            columns = [column for column, _ in numeric_columns(left)]
-            outcome["sql"] = check_sql(
-                name, columns, key, self.start, self.end,
-                integers=integer_columns(left),
-                **({"partition_type": field_type(left, key)} if key else {}),
-            )
-            if not columns:
+            table = self.opened(attempt.line_no, name, spec)
+            left, right = table.left, table.right
+            described = self.described(table)
+            outcome["sql"] = described["sql"]
+            if not numeric_columns(left):
                 left, right = open_for_counts(self.spark, spec.left), open_for_counts(self.spark, spec.right)
             metrics = compare(
                 left, right, table_name=name, partition_column=key,
@@ -184,18 +243,16 @@ class _Runner:
             if attempt.expired:
                 raise TimeoutError
             metrics.write.mode("overwrite").parquet(self.table_folder(attempt.line_no))
-            outcome["branch"] = ("numeric" if columns else "count_only") + (
-                "_by_partition" if key else "_global"
-            )
+            outcome["branch"] = described["branch"]
             if self.marks:
                 self.mark_finished({**outcome, "elapsed_s": time.time() - began})
         except Exception as problem:
+            outcome["branch"] = "error"
             outcome["error"] = (
                 f"timed out after {self.timeout_s:g} s" if attempt.expired else str(problem)
             ) or type(problem).__name__
         finally:
-            attempt.deadline = None
-            context.removeJobTag(attempt.tag)
+            self._end(attempt)
         outcome["elapsed_s"] = time.time() - began
         log.info("%s: %s", name, outcome["error"] or "compared")
         return outcome
@@ -227,6 +284,7 @@ def run(
     labels: tuple[str, str] = LABELS,
     out: str | None = None,
     run_id: str | None = None,
+    together_below: int = 0,
 ) -> RunResult:
     """Compare every table of the manifest and write the result tables below ``out``.
 
@@ -240,6 +298,10 @@ def run(
     the next run of that id into the same ``out`` takes over the lines with a mark and compares the others, those that
     ended as ERROR included. Its result tables replace those of the attempt before, one row a line. The manifest
     and the bounds and rules of comparison must be the same; the copies are taken to be so.
+
+    Tables of which both copies are smaller than ``together_below`` bytes, by Spark's estimate, share jobs, up to
+    ``TOGETHER`` of them a job, while the others are compared on their own. When such a job fails or exceeds
+    ``timeout_s``, its tables are compared one by one.
     """
     began = time.time()
     if run_id is not None and not (out and RUN_ID.fullmatch(run_id)):
@@ -256,17 +318,50 @@ def run(
     finished = {outcome["line_no"] for outcome in outcomes}
     todo = [(i, *entry) for i, entry in enumerate(entries, 1) if i not in finished]
     attempt_id = uuid.uuid4().hex  # jobs of an earlier attempt at this run are not to be taken for this one's
-    attempts = [_Attempt(i, f"countersign-{attempt_id}-{i}") for i, _, _ in todo]
+    attempts: list[_Attempt] = []
+
+    def attempt_at(line_no: int) -> _Attempt:
+        attempts.append(_Attempt(line_no, f"countersign-{attempt_id}-{len(attempts)}"))
+        return attempts[-1]
+
     with ThreadPoolExecutor(max_workers=workers, thread_name_prefix="countersign") as pool:
-        pending: set[Future] = {
+        pending: dict[Future, list[int]] = {}
+        waiting: list[list[Opened]] = []
+
+        def submit(lines: list[int], work, *args) -> None:
             # Wrapped one by one: each wrapper hands its own copy of the job settings to its thread.
-            pool.submit(inheritable_thread_target(spark)(runner.compare_table), attempt, name, spec)
-            for attempt, (_, name, spec) in zip(attempts, todo)
-        }
+            pending[pool.submit(inheritable_thread_target(spark)(work), *args)] = lines
+
+        def submit_batch() -> None:
+            """One at a time: all of them write below the same folder."""
+            if waiting:
+                tables = waiting.pop(0)
+                submit([table.line_no for table in tables], runner.compare_batch, attempt_at(0), tables)
+
+        def submit_line(line_no: int) -> None:
+            submit([line_no], runner.compare_table, attempt_at(line_no), *entries[line_no - 1])
+
+        small: list[Opened] = []
+        if together_below:
+            look = [pool.submit(inheritable_thread_target(spark)(runner.small_table), *line, together_below) for line in todo]
+            small = [table for table in (future.result() for future in look) if table]
+        shared = {table.line_no for table in small}
+        waiting += [small[at:at + TOGETHER] for at in range(0, len(small), TOGETHER)]
+        submit_batch()
+        for line_no, _, _ in todo:
+            if line_no not in shared:
+                submit_line(line_no)
         try:
             while pending:
-                done, pending = wait(pending, timeout=POLL_S, return_when=FIRST_COMPLETED)
-                outcomes += [future.result() for future in done]
+                done, _ = wait(pending, timeout=POLL_S, return_when=FIRST_COMPLETED)
+                for future in done:
+                    lines, found = pending.pop(future), future.result()
+                    outcomes += [] if found is None else found if isinstance(found, list) else [found]
+                    if found is None or isinstance(found, list):
+                        submit_batch()
+                    if found is None:
+                        for line_no in lines:
+                            submit_line(line_no)
                 _stop_late(spark, attempts)
         except BaseException:  # an interrupted run leaves no jobs behind
             pool.shutdown(wait=False, cancel_futures=True)

@@ -1,0 +1,89 @@
+"""Small tables that share a job: the same rows, the same verdicts, errors on their own."""
+
+import time
+
+import pytest
+
+import countersign as cs
+import fixtures as fx
+from countersign.operators.together import Opened, compare_together, estimated_bytes
+from test_run import names, slow
+
+HUGE = 1 << 62
+
+
+def in_rows(df):
+    return sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=repr)
+
+
+def test_rows_are_those_of_single_comparisons(spark):
+    left, right = fx.keyed(spark)
+    counted_left, counted_right = fx.texts(spark, 5)
+    odd = spark.createDataFrame([(1, 2.5, "x"), (2, float("nan"), None)], "`a b` int, `c``d` double, pt string")
+    tables = [
+        Opened(1, "keyed", left, right, "pt"), Opened(2, "flat", *fx.flat(spark)), Opened(3, "same", right, right, "pt"),
+        Opened(4, "texts", counted_left, counted_right, "pt"), Opened(5, "whole", counted_left, counted_right),
+        Opened(6, "none", left.limit(0), right.limit(0)), Opened(7, "no keys", left.limit(0), right.limit(0), "pt"),
+        Opened(8, "one side", left, right.limit(0), "pt"), Opened(9, "odd names", odd, odd.limit(1), "pt"),
+        Opened(10, "odd names", odd, odd, None), Opened(11, "other key", odd, odd.withColumnRenamed("a b", "A B"), "pt"),
+    ]
+    for bounds in ({}, {"start": "20250102", "end": "20250102"}):
+        found = compare_together(spark, tables, **bounds)
+        for t in tables:
+            single = cs.compare(t.left, t.right, table_name=t.table_name, partition_column=t.partition_column, **bounds)
+            got = found.filter(f"line_no = {t.line_no}").drop("line_no")
+            assert in_rows(got) == in_rows(single), t.table_name
+
+
+def test_no_tables(spark):
+    assert compare_together(spark, []).count() == 0
+
+
+def test_a_plan_holds_one_profile_a_side_for_a_shape(spark):
+    left, right = fx.keyed(spark)
+    tables = [Opened(n, f"t{n}", left, right, "pt") for n in range(20)]
+    plan = compare_together(spark, tables)._jdf.queryExecution().executedPlan().toString()
+    one = compare_together(spark, tables[:1])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == one.count("HashAggregate") > 0
+
+
+def test_run_shares_jobs(spark, tmp_path):
+    specs = {}
+    for number, (name, spec) in enumerate(list(fx.suite(spark).items())[:12]):
+        copies = []
+        for side in ("left", "right"):
+            path = str(tmp_path / f"{number}_{side}")
+            getattr(spec, side).coalesce(1).write.parquet(path)
+            copies.append(cs.Stored(path))
+        specs[name] = cs.TableSpec(name, *copies, spec.partition_column)
+    listed = names(spark, [*specs, "unknown", next(iter(specs))])
+    assert estimated_bytes(spark.read.parquet(copies[0].path)) < 1 << 20
+    alone = cs.run(spark, listed, specs, out=str(tmp_path / "alone"))
+    shared = cs.run(spark, listed, specs, out=str(tmp_path / "shared"), together_below=1 << 20, run_id="r")
+    verdicts = [r.tables.drop("started", "elapsed_s") for r in (alone, shared)]
+    assert in_rows(verdicts[0]) == in_rows(verdicts[1])
+    assert in_rows(alone.metrics) == in_rows(shared.metrics)
+    assert in_rows(alone.reasons) == in_rows(shared.reasons)
+    assert shared.tables.filter("error IS NULL").select("started").distinct().count() == 1  # one job
+    again = cs.run(spark, listed, {}, out=str(tmp_path / "shared"), run_id="r")
+    assert in_rows(again.tables.drop("started", "elapsed_s")) == in_rows(verdicts[0])
+
+
+def test_one_that_fails_does_not_touch_the_others(spark):
+    left, right = fx.flat(spark)
+    bad = spark.sql("SELECT raise_error('no such thing') AS s, id FROM range(2)").selectExpr("length(CAST(s AS STRING)) AS n", "id")
+    specs = {"good": cs.TableSpec("good", left, right), "bad": cs.TableSpec("bad", bad, bad),
+             "lacks": cs.TableSpec("lacks", left, right.drop(cs.numeric_columns(left)[0][0]))}
+    found = cs.run(spark, names(spark, specs), specs, together_below=HUGE * 4).tables.orderBy("line_no").collect()
+    assert [r.status for r in found] == ["FAIL", "ERROR", "ERROR"] and found[0].n_diffs == 6
+    assert "no such thing" in found[1].error
+
+
+def test_a_late_batch_ends_and_its_tables_are_on_their_own(spark):
+    specs = {"slow": cs.TableSpec("slow", slow(spark, 60), slow(spark, 60)), "quick": cs.TableSpec("quick", *fx.flat(spark))}
+    began = time.time()
+    found = cs.run(
+        spark, names(spark, specs), specs, timeout_s=8, together_below=HUGE * 4,
+    ).tables.orderBy("line_no").collect()
+    assert time.time() - began < 60
+    assert [r.status for r in found] == ["ERROR", "FAIL"] and found[0].error == "timed out after 8 s"
