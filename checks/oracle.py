@@ -207,6 +207,38 @@ def resumed_statuses() -> str:
         FROM ({VERDICTS.format(metrics=all_metrics(SUITE))}) AS v"""
 
 
+def report_file() -> str:
+    """Every line of the report on a range of the events pair, apart from SQL and blank lines, with times masked."""
+    found = metrics(EVENTS, "pt >= '20240104' AND pt <= '20240111'")
+    item = DIFFERENCE.format(separator=", ")
+    once = [
+        "# Table Comparison Report", "- Generated: TIME", "- Tables: 1", "- Workers: 4",
+        "- Partition filter: from 20240104 through 20240111", "- Metadata pre-fetch: TIME", "## Difference Summary",
+        "## Table: `events`", "- Partitioned: Yes (pt)", "- Partition range: from 20240104 through 20240111",
+        "- Started: TIME", "**SQL:**", "> Completed in TIME", "## Execution Summary", "- Total tables: 1",
+        "- Comparison time: TIME",
+    ]
+    rows = [f"SELECT '{line}' FROM t" for line in once] + [
+        "SELECT 'Tables with differences: **1** / 1' FROM t WHERE NOT match",
+        "SELECT '| # | Table | Status | Difference Reason |' FROM t WHERE NOT match",
+        "SELECT '| 1 | events | FAIL | ' || reason || ' |' FROM r",
+        "SELECT 'All tables PASS - no differences found.' FROM t WHERE match",
+        "SELECT '### events — Partitioned Aggregate Check: **' || status || '**' FROM t",
+        "SELECT '**Conclusion: ' || status || '**' FROM t",
+        "SELECT '#### Partition pt=' || pt || ' — **' || status || '**' FROM p",
+        "SELECT '| Column | Type | Metric | Left | Right | Match |' FROM p",
+        "SELECT 'Differences:' FROM p WHERE NOT match",
+        """SELECT '| ' || "column" || ' | ' || type || ' | ' || metric || ' | ' || coalesce(left_value, 'None') || ' | '
+             || coalesce(right_value, 'None') || ' | ' || CASE WHEN match THEN 'Y' ELSE 'N' END || ' |'
+           FROM m WHERE metric <> 'partition'""",
+        f"SELECT '- ' || {item} FROM m WHERE diff",
+    ]
+    return f"""
+        WITH m AS ({found}), p AS ({PARTITIONS.format(metrics="SELECT * FROM m")}), r AS ({reasons("SELECT * FROM m")}),
+        t AS ({VERDICTS.format(metrics="SELECT * FROM m")})
+        SELECT line FROM ({" UNION ALL ".join(rows)}) AS lines(line)"""
+
+
 def metric_report() -> str:
     """The table rows and difference items of the report on the events pair."""
     item = DIFFERENCE.format(separator=", ")
@@ -344,6 +376,7 @@ def oracle_sql() -> dict[str, str]:
         "multi_table_run": run_statuses(),
         "resumed_run": resumed_statuses(),
         "footer_counts": metrics(DOCUMENTS_BY_PT),
+        "report_file": report_file(),
         "report_lines": metric_report(),
         "report_sections": report_sections(),
         "listed_in_order": f"""

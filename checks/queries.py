@@ -308,6 +308,17 @@ def footer_counts(spark, sf_dir):
     return cs.compare(*opened, table_name=DOCUMENTS_BY_PT.table_name, partition_column="pt")
 
 
+def report_file(spark, sf_dir):
+    """The written report of a run over a range, read back, with times masked; texts of SQL and blank lines are left out."""
+    specs = specs_of(spark, sf_dir, [EVENTS])
+    listed = spark.createDataFrame([(n,) for n in specs], "table_name string")
+    path = work_folder(spark, "report")
+    cs.write_report(cs.run(spark, listed, specs, workers=4, start="20240104", end="20240111"), path)
+    masked = F.regexp_replace("value", r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$|\d+\.\ds$", "TIME")
+    lines = spark.read.text(path).filter(r"value RLIKE '^(#|- |\\| |> |\\*\\*|Tables |Differences)'")
+    return lines.select(masked.alias("line"))
+
+
 def report_lines(spark, sf_dir):
     specs = specs_of(spark, sf_dir, [EVENTS])
     listed = spark.createDataFrame([(n,) for n in specs], "table_name string")
@@ -418,6 +429,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "multi_table_run": multi_table_run,
         "resumed_run": resumed_run,
         "footer_counts": footer_counts,
+        "report_file": report_file,
         "report_lines": report_lines,
         "report_sections": report_sections,
         "listed_in_order": listed_in_order,
