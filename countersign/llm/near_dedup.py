@@ -8,10 +8,10 @@ Within a bucket not all pairs are made, but stars: members are compared with a c
 one that shares buckets with most texts, as the original of a group of edited copies does. Candidates are
 checked by the exact overlap of their full shingle sets. Texts linked so far are one component; a bucket
 whose members all belong to one needs no further work. Others go on with other centres, against
-members of other components only: for a few turns each text takes one centre, then all of its
-buckets' centres, four times as many with every turn, until no bucket has a pair left that is neither compared
-nor connected. So no link between texts of one bucket is lost, and large groups of near copies, whose members
-join their first centres, take about one comparison each. Large groups whose members are just not similar
+members of other components only: in the first turn each text takes one centre, then all of its
+buckets' centres, some 2,048 a bucket and four times as many with every turn, until no bucket has a pair left that is
+neither compared nor connected. So no link between texts of one bucket is lost, and large groups of near copies, whose
+members join their first centres, take about one comparison each. Large groups whose members are just not similar
 enough are what costs: there the pairs grow with the square of the group.
 
 Texts of equal sets are one before anything else: they are represented by the smallest id and never paired.
@@ -32,11 +32,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from countersign.llm.shared import written
+from countersign.llm.shared import marked, written
 
 
 @dataclass(frozen=True)
@@ -115,8 +115,8 @@ class Sketcher:
         return out.view(np.int64)
 
 
-#: Turns in which a text takes one centre.
-SINGLE_TURNS = 3
+#: Centres of a bucket in the second turn: a smaller bucket has all of its pairs made there.
+CENTRES = 2048
 
 SKETCH = "doc_id bigint, n_shingles bigint, content string, bands array<bigint>"
 
@@ -154,7 +154,7 @@ def parity(hashes: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, settings: NearSettings) -> DataFrame:
-    """``doc_id, hashes`` and the bitmap: the full set as sorted 64-bit numbers in one binary value."""
+    """``doc_id, n, hashes`` and the bitmap: the full set as sorted 64-bit numbers in one binary value, and its size."""
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(settings)
         for batch in batches:
@@ -162,12 +162,13 @@ def shingle_sets(docs: DataFrame, settings: NearSettings) -> DataFrame:
                 part = batch.slice(at, 512)
                 sets = [shingler.hashes(t) for t in part.column("text").to_pylist()]
                 words = np.array([parity(s) for s in sets])
+                sizes, full_sets = pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary()), *(pa.array(w) for w in words.T)],
-                    names=["doc_id", "hashes", *PARITY],
+                    [part.column("doc_id"), sizes, full_sets, *(pa.array(w) for w in words.T)],
+                    names=["doc_id", "n", "hashes", *PARITY],
                 )
 
-    types = "doc_id bigint, hashes binary, " + ", ".join(f"{p} bigint" for p in PARITY)
+    types = "doc_id bigint, n bigint, hashes binary, " + ", ".join(f"{p} bigint" for p in PARITY)
     return docs.select("doc_id", "text").mapInArrow(full, types)
 
 
@@ -188,10 +189,11 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``node, component``: the smallest node reachable over the links (``a, b``).
 
     Every node points at the smallest label among itself and its neighbours, then labels are followed to
-    where they point, so chains shrink by halves. Each round is a written table.
+    where they point, so chains shrink by halves. Each round is a written table, of a few files a core: its rows are short.
     """
-    edges = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = written(nodes.select("node", F.col("node").alias("component")), "labels")
+    files = 4 * nodes.sparkSession.sparkContext.defaultParallelism
+    edges = written(links.select("a", "b").union(links.select("b", "a")).distinct().coalesce(files), "edges")
+    labels = written(nodes.select("node", F.col("node").alias("component")).coalesce(files), "labels")
     while True:
         least = (
             edges.join(labels, edges["b"] == labels["node"])
@@ -200,7 +202,7 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         lowered = labels.join(least, labels["node"] == least["a"], "left").select(
             "node", "component", F.least("component", F.coalesce("least", "component")).alias("lower")
         )
-        lowered = written(lowered, "lowered")
+        lowered = written(lowered.coalesce(files), "lowered")
         jump = lowered.select(F.col("node").alias("at"), F.col("lower").alias("beyond"))
         # Where a node's label moved, the label's own node is told as well: roots of joined groups meet.
         told = lowered.filter("lower < component").groupBy(F.col("component").alias("root")).agg(F.min("lower").alias("told"))
@@ -212,7 +214,7 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
                 F.least("lower", F.coalesce("beyond", "lower"), F.coalesce("told", "lower")).alias("component"),
             )
         )
-        followed = written(followed, "labels")
+        followed = written(followed.coalesce(files), "labels")
         settled = followed.filter("component < before").isEmpty()
         labels = followed.select("node", "component")
         if settled:
@@ -226,16 +228,12 @@ def near_groups(docs: DataFrame, settings: NearSettings = NearSettings()) -> Dat
     # One text of each content: the one with the smallest id.
     first = F.row_number().over(Window.partitionBy("content").orderBy("doc_id"))
     texts = known.withColumn("place", first).filter("place = 1")
-    bucketed = texts.select(
-        F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
-    )
-    bucketed = written(bucketed, "buckets")
+    bucketed = written(texts.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket")), "buckets")
     shared = bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    members = bucketed.join(shared, "bucket")
-    shares = members.groupBy("rep").agg(F.sum("members").alias("shared_with"))
     # Texts by the number of others they share buckets with, as one number; a hash breaks ties.
-    order = F.shiftleft(F.least("shared_with", F.lit((1 << 23) - 1)), 40) + F.pmod(F.xxhash64("rep"), F.lit(1 << 40))
-    members = written(members.join(shares.select("rep", order.alias("order")), "rep"), "members")
+    shared_with = F.sum("members").over(Window.partitionBy("rep"))  # as many rows as bands
+    order = F.shiftleft(F.least(shared_with, F.lit((1 << 23) - 1)), 40) + F.pmod(F.xxhash64("rep"), F.lit(1 << 40))
+    members = written(bucketed.join(shared, "bucket").select("bucket", "rep", "members", order.alias("order")), "members")
     labels = linked_components(docs, members, settings)
 
     owners = known.groupBy("content").agg(F.min("doc_id").alias("rep"))
@@ -260,30 +258,31 @@ def near_groups(docs: DataFrame, settings: NearSettings = NearSettings()) -> Dat
 
 
 def linked_components(docs: DataFrame, members: DataFrame, settings: NearSettings) -> DataFrame:
-    """``node, component`` of all texts with a link; ``members`` is ``bucket, rep, n, members, order``."""
-    spark = docs.sparkSession
-    labels = spark.createDataFrame([], "node bigint, component bigint")
-    reps = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = written(shingle_sets(docs.select("doc_id", "text").join(reps, "doc_id", "left_semi"), settings), "sets")
+    """``node, component`` of all texts with a link; ``members`` is ``bucket, rep, members, order``."""
+    labels = docs.sparkSession.createDataFrame([], "node bigint, component bigint")
+    reps = members.select(F.col("rep").alias("doc_id"))
+    texts = docs.select("doc_id", "text")
+    # Most texts share no bucket: they are left where they are.
+    asked = marked(texts, "doc_id", reps, "asked").filter("asked").drop("asked")
+    sets = written(shingle_sets(asked.join(reps, "doc_id", "left_semi"), settings), "sets")
+    bitmaps = sets.drop("hashes").withColumnRenamed("doc_id", "rep")
     tested = links = None
     turn = 0
     while True:
-        seated = members.join(labels, F.col("rep") == F.col("node"), "left").select(
-            "bucket", "rep", "n", "members", "order", F.coalesce("component", "rep").alias("component")
-        )
-        # After a turn with all centres, and as many of them as members, all of a bucket's pairs were made.
-        seated = written(seated.filter(F.col("members") > _centres(turn - 1)) if turn > SINGLE_TURNS else seated, "seated")
-        open_buckets = (
-            seated.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("order").alias("first"))
-            .filter("low < high").select("bucket", "first")
-        )
-        bitmaps = sets.select(F.col("doc_id").alias("rep"), *PARITY)
-        waiting = written(seated.join(open_buckets, "bucket").join(bitmaps, "rep"), "waiting")
-        if waiting.isEmpty():
-            return labels
-        pairs = _candidates(waiting, turn, settings)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        if turn == 0:
+            pairs = _first_candidates(members, bitmaps, settings)
+        else:
+            # After a turn with as many centres as members, all of a bucket's pairs were made.
+            seated = members.filter(F.col("members") > _centres(turn - 1)).join(labels, F.col("rep") == F.col("node"), "left")
+            seated = written(seated.select("bucket", "rep", "members", F.coalesce("component", "rep").alias("component")), "seated")
+            open_buckets = (
+                seated.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                .filter("low < high").select("bucket")
+            )
+            waiting = written(seated.join(open_buckets, "bucket").join(bitmaps, "rep"), "waiting")
+            if waiting.isEmpty():
+                return labels
+            pairs = _candidates(waiting, turn, settings).join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         found = written(_confirmed(pairs, sets, settings), "links")
@@ -295,39 +294,52 @@ def linked_components(docs: DataFrame, members: DataFrame, settings: NearSetting
 
 
 def _centres(turn: int) -> int:
-    """About so many centres has a bucket."""
-    return 4 ** max(1, turn - 1)
+    """About so many centres has a bucket; the first turn makes no bucket's pairs whole."""
+    return CENTRES * 4 ** (turn - 1) if turn else 1
 
 
-def _candidates(waiting: DataFrame, turn: int, settings: NearSettings) -> DataFrame:
-    """``a, b``: centres and members of other components. The first turn takes the first member of each
-    bucket by order, later ones members drawn by a hash."""
-    if turn == 0:
-        is_centre = F.col("order") == F.col("first")
-    else:
-        is_centre = F.pmod(F.xxhash64("bucket", "rep"), F.col("members")) < _centres(turn)
-    centres = waiting.filter(is_centre).select(
-        "bucket", F.col("rep").alias("centre"), F.col("n").alias("centre_n"),
-        F.col("order").alias("centre_order"), F.col("component").alias("centre_component"),
-        *[F.col(p).alias(f"centre_{p}") for p in PARITY],
-    )
+def _may_link(settings: NearSettings) -> Column:
+    """Of a text and its centre: sizes and bitmaps allow a link."""
     enough = 100 * F.least("n", "centre_n") >= settings.similarity * F.greatest("n", "centre_n")
     differ = F.expr(" + ".join(f"bit_count({p} ^ centre_{p})" for p in PARITY))
-    may_link = differ * (100 + settings.similarity) <= (F.col("n") + F.col("centre_n")) * (100 - settings.similarity)
-    stars = waiting.join(centres, "bucket").filter((F.col("component") != F.col("centre_component")) & enough & may_link)
-    if turn < SINGLE_TURNS:
-        stars = stars.groupBy("rep").agg(F.max(F.struct("centre_order", "centre")).alias("best"))
-        stars = stars.select("rep", F.col("best.centre").alias("centre"))
+    return enough & (differ * (100 + settings.similarity) <= (F.col("n") + F.col("centre_n")) * (100 - settings.similarity))
+
+
+def _as_centres(texts: DataFrame) -> DataFrame:
+    return texts.select(
+        F.col("rep").alias("centre"), F.col("n").alias("centre_n"), *[F.col(p).alias(f"centre_{p}") for p in PARITY],
+        *[F.col(c).alias(c if c == "bucket" else f"centre_{c}") for c in ("bucket", "component") if c in texts.columns],
+    )
+
+
+def _first_candidates(members: DataFrame, bitmaps: DataFrame, settings: NearSettings) -> DataFrame:
+    """``a, b``: each text and, of the first members of its buckets by order, the first one it may be linked with."""
+    firsts = members.groupBy("bucket").agg(F.max(F.struct("order", "rep")).alias("first"))
+    stars = members.join(firsts, "bucket").filter(F.col("rep") != F.col("first.rep"))
+    stars = stars.select("rep", F.col("first.order").alias("centre_order"), F.col("first.rep").alias("centre")).distinct()
+    stars = stars.join(bitmaps, "rep").join(_as_centres(bitmaps), "centre").filter(_may_link(settings))
+    best = stars.groupBy("rep").agg(F.max(F.struct("centre_order", "centre")).alias("best"))
+    return best.select(F.least("rep", "best.centre").alias("a"), F.greatest("rep", "best.centre").alias("b"))
+
+
+def _candidates(waiting: DataFrame, turn: int, settings: NearSettings) -> DataFrame:
+    """``a, b``: members drawn by a hash as centres, and members of other components that may be linked with them."""
+    is_centre = F.pmod(F.xxhash64("bucket", "rep"), F.col("members")) < _centres(turn)
+    waiting = waiting.withColumn("is_centre", is_centre)
+    centres = _as_centres(waiting.filter("is_centre"))
+    # Of two centres one is the member.
+    once = ~F.col("is_centre") | (F.col("rep") < F.col("centre"))
+    stars = waiting.join(centres, "bucket").filter(once & (F.col("component") != F.col("centre_component")) & _may_link(settings))
     return stars.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, settings: NearSettings) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("left_set"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("right_set"))
+    left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("left_set"), F.col("n").alias("left_n"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("right_set"), F.col("n").alias("right_n"))
     sized = pairs.join(left, "a").join(right, "b").select(
         "a", "b", common("left_set", "right_set").alias("both"),
-        (F.length("left_set") / 8).cast("bigint").alias("left_n"), (F.length("right_set") / 8).cast("bigint").alias("right_n"),
+        "left_n", "right_n",
     )
     union = F.col("left_n") + F.col("right_n") - F.col("both")
-    return sized.filter(100 * F.col("both") >= settings.similarity * union).select("a", "b").distinct()
+    return sized.filter(100 * F.col("both") >= settings.similarity * union).select("a", "b")

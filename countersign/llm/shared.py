@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from countersign.functions.names import free_name
 from countersign.sources.storage import work_folder
 
 
@@ -15,6 +16,26 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits by which ``marked`` tells keys, whatever their number: 262,144 broadcast words of 64.
+KEY_BITS = 1 << 24
+
+
+def marked(df: DataFrame, key: str, among: DataFrame, flag: str) -> DataFrame:
+    """``df`` with ``flag``: may ``key`` be a value of the only column of ``among``? False means no, NULL keys aside.
+
+    A bit for each value's hash is broadcast, so rows are told apart where they are. An exact join of those that may
+    be follows; the more values there are, the more others it gets.
+    """
+    (value,) = among.columns
+    word, bits = (free_name([*df.columns, flag], name) for name in ("bits_word", "bits"))
+    bit = F.pmod(F.xxhash64(value), F.lit(KEY_BITS))
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))
+    told = among.select(F.shiftright(bit, 6).alias(word), mask.alias(bits)).groupBy(word).agg(F.bit_or(bits).alias(bits))
+    own = F.pmod(F.xxhash64(F.col(key).cast(among.schema[value].dataType)), F.lit(KEY_BITS))
+    joined = df.join(F.broadcast(told), F.shiftright(own, 6) == F.col(word), "left")
+    return joined.withColumn(flag, F.coalesce(F.getbit(bits, (own % 64).cast("int")) == 1, F.lit(False))).drop(word, bits)
+
+
 def whole_text(df: DataFrame, column: str = "text") -> Column:
     """The text column, with NULL as the empty text."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from countersign.llm import ann, near_dedup, packing, quality, toxicity, urls
 from countersign.llm.queries import FIXED_RULES, op2_ann_forest, op8_packing, op9_near_dedup, op10_url_rules
+from countersign.llm.shared import marked
 from countersign.llm.shared import in_fold
 
 DATA = "/root/testdata/sf0.001"
@@ -334,3 +335,34 @@ def test_a_large_group_that_is_not_similar_enough_makes_few_pairs(spark, monkeyp
     found = near_dedup.near_groups(spark.createDataFrame(texts, "doc_id bigint, text string"), near_dedup.NearSettings(shingle=2)).collect()
     assert all(r.kept for r in found) and len(found) == 300
     assert sum(pairs) < 300 * 299 / 2 / 20
+
+
+def test_large_buckets_take_few_turns(spark, monkeypatch):
+    """150 texts with like shingles and no link: all pairs are made in the second turn, and links between them are found."""
+    drawn = random.Random(11)
+    original = [f"w{i}" for i in range(200)]
+    texts = []
+    for number in range(150):
+        words = list(original)
+        for place in drawn.sample(range(200), 9):
+            words[place] = f"own{number}x{place}"
+        texts.append((number, " ".join(words)))
+    texts += [(1000 + number, f"{text} end") for number, text in texts[:40]]
+    turns = []
+    keep = near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, purpose: turns.append(purpose) or keep(df, purpose))
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(df, near_dedup.NearSettings(shingle=2)).collect()}
+    assert got == groups_by_hand(shingle_sets(texts, 2))
+    assert turns.count("pairs") <= 2
+
+
+def test_marked_keys_miss_none(spark):
+    among = spark.range(0, 3000, 3).selectExpr("if(id = 9, NULL, id) AS k")
+    df = spark.range(20_000).selectExpr("cast(if(id = 5, NULL, id) AS int) AS bits", "id AS bits_word")
+    told = marked(df, "bits", among, "may be")
+    assert told.columns == ["bits", "bits_word", "may be"] and "SortMergeJoin" not in told._jdf.queryExecution().toString()
+    rows = told.collect()
+    assert len(rows) == 20_000 and all(r["may be"] for r in rows if r.bits is not None and r.bits < 3000 and r.bits % 3 == 0 and r.bits != 9)
+    assert sum(r["may be"] for r in rows) < 1_020
+    assert marked(df, "bits", among.limit(0), "f").filter("f").isEmpty()
