@@ -181,12 +181,18 @@ def sql_text(counts_only: bool = False, *options: str) -> Callable[[SparkSession
     return result
 
 
+#: About so many parts has a file of the manifest.
+PARTS_A_FILE = 100_000
+
+
 def manifest(spark, sf_dir):
     """Table names made of part names, in several files, with padding and blank and header lines between."""
     name = "concat('  shop.', p_type, '.', replace(p_name, ' ', '_'), ' ')"
     lines = f"array('table_name', '', {name}, 'table_name,comment')"
     path = work_folder(spark, "manifest")
-    parts = table(spark, sf_dir, "part").repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey")
+    parts = table(spark, sf_dir, "part")
+    files = 4 + parts.count() // PARTS_A_FILE
+    parts = parts.repartitionByRange(files, "p_partkey").sortWithinPartitions("p_partkey")
     parts.selectExpr(f"explode({lines}) AS value").write.text(path)
     return cs.read_manifest(spark, path)
 

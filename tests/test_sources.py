@@ -177,6 +177,25 @@ def test_partitioned_write_has_few_files(spark, tmp_path):
     assert len(list((tmp_path / "few").glob("pt=*/*.parquet"))) == 5
 
 
+def test_manifest_lines_do_not_meet_in_one_task(spark, tmp_path):
+    """Files of several blocks: numbers follow the lines, and one row a block meets in one task."""
+    (tmp_path / "list").mkdir()
+    for name, rows in (("b.txt", 900), ("a.txt", 1), ("c.txt", 2000)):
+        (tmp_path / "list" / name).write_text("".join(f"{name}.{i}\n" if i % 3 else "\n" for i in range(1, rows + 1)))
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        read = cs.read_manifest(spark, str(tmp_path / "list"))
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        rows = {r.line_no: r.table_name for r in read.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    listed = ["a.txt.1"] + [f"b.txt.{i}" for i in range(1, 901)] + [f"c.txt.{i}" for i in range(1, 2001)]
+    assert rows == {n: name for n, name in enumerate(listed, 1) if int(name.rpartition(".")[2]) % 3}
+    assert plan.count("SinglePartition") == 1
+    assert "table_name" not in plan[plan.index("SinglePartition"):].split("FileScan")[1].split("\n")[0]
+
+
 def test_manifest_order_over_several_files(spark, tmp_path):
     (tmp_path / "list").mkdir()
     (tmp_path / "list" / "a.txt").write_text("a1\n")
