@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from countersign.functions.names import free_name
 from countersign.llm import mixing, near_dedup, pii, quality
 from countersign.llm.queries import PIPELINE_TARGETS, TEST_KEY, packed, quality_model, table
-from countersign.llm.shared import written
+from countersign.llm.shared import marked, written
 
 #: Documents whose score is below it go: more likely bad than good.
 REJECTED_BELOW = 0.5
@@ -25,10 +25,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest id. Rows without an id stay, and so do all rows
-    that repeat the id of one that stays."""
+    that repeat the id of one that stays. Most rows are told to stay without a shuffle of their texts."""
     groups = near_dedup.near_groups(docs)
-    gone = groups.filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = written(groups.filter("NOT kept").select("doc_id"), "gone")
+    may_go = free_name(docs.columns, "may_go")
+    told = marked(docs, "doc_id", gone, may_go)
+    stay = told.filter(~F.col(may_go)).select(*docs.columns)
+    return stay.union(told.filter(may_go).join(gone, "doc_id", "left_anti").select(*docs.columns))
 
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

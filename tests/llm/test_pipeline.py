@@ -39,3 +39,16 @@ def test_empty_table(spark):
 def test_registered():
     names = entry.queries()
     assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in names} and "pipeline" in names
+
+
+def test_texts_that_stay_are_not_shuffled(spark):
+    """Only rows that may go meet the anti join; rows without an id and unlike ones stay."""
+    import corpus_pipeline
+
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, words, 1), (2, words, 2), (3, "other words here", 3), (None, words, 4), (None, None, 5), (2, words, 6), (4, None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, may_go int")
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    assert sorted(r.may_go for r in left.collect()) == [1, 3, 4, 5, 7]
+    assert "Union" in left._jdf.queryExecution().optimizedPlan().toString()
