@@ -24,11 +24,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from countersign.llm.shared import bounded_sample, written
 
+#: Pairs of vectors whose exact products are made at once.
+EXACT_PAIRS = 20_000
+
 
 @dataclass(frozen=True)
 class ForestSettings:
@@ -134,20 +138,17 @@ def distinct_vectors(vectors: DataFrame, k: int) -> DataFrame:
 
 
 def _leaves_of(rows: DataFrame, forest: Forest, visits: int | None) -> DataFrame:
-    """``leaf, first_id, vec``: a row for each tree, or for each leaf that a query visits."""
-    def routed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``first_id, vec, leaves``: a leaf of each tree, or the leaves that a query visits. Spark, not Python, repeats vectors."""
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 1024):
-                part = batch.iloc[at : at + 1024]
-                x = np.stack(part["vec"].to_list())
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                x = part.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
                 found = forest.leaves(x) if visits is None else [forest.visited(q, visits) for q in x]
-                counts = [len(leaves) for leaves in found]
-                repeated = part.loc[part.index.repeat(counts)]
-                yield pd.DataFrame({
-                    "leaf": np.concatenate(found).astype("int64"), "first_id": repeated["first_id"], "vec": repeated["vec"],
-                })
+                leaves = pa.array([np.asarray(f, np.int32) for f in found], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, leaves], names=["first_id", "vec", "leaves"])
 
-    return rows.select("first_id", "vec").mapInPandas(routed, "leaf bigint, first_id bigint, vec array<double>")
+    return rows.select("first_id", "vec").mapInArrow(routed, "first_id bigint, vec array<double>, leaves array<int>")
 
 
 def nearest(
@@ -178,8 +179,11 @@ def nearest(
         members.join(distinct, "vec").select("query_id", "first_id"), "queries"
     )
     queries = distinct.join(asked.select("first_id").distinct(), "first_id", "left_semi")
-    indexed = _leaves_of(distinct, forest, None)
-    visiting = written(_leaves_of(queries, forest, settings.visits), "visits")
+    def by_leaf(routes: DataFrame) -> DataFrame:
+        return routes.select(F.explode("leaves").alias("leaf"), "first_id", "vec")
+
+    indexed = by_leaf(_leaves_of(distinct, forest, None))
+    visiting = by_leaf(written(_leaves_of(queries, forest, settings.visits), "visits"))
 
     # One row a leaf, at most trees * 2 * sample_rows / leaf_rows of them.
     sizes = (
@@ -220,9 +224,14 @@ def nearest(
             # Rounding may shift a product by a few units of its last place: take those too.
             near = rough >= (least - 1e-12 * longest**2)[:, None]
             who, which = np.nonzero(near)
+            # There may be any number of ties, so products are made some at a time and those beyond the k + 1 best dropped.
+            cuts = range(0, len(who), EXACT_PAIRS)
+            score = np.concatenate([(q[who[i : i + EXACT_PAIRS]] * x[which[i : i + EXACT_PAIRS]]).sum(axis=1) for i in cuts])
+            order = np.lexsort((which, -score, who))
+            place = np.arange(len(who)) - np.searchsorted(who, who[order])
+            best = order[place < keep]
             out.append(pd.DataFrame({
-                "first_id": part["first_id"].to_numpy()[who], "found_id": ids[which],
-                "score": (q[who] * x[which]).sum(axis=1),
+                "first_id": part["first_id"].to_numpy()[who[best]], "found_id": ids[which[best]], "score": score[best],
             }))
         return pd.concat(out)
 

@@ -161,6 +161,32 @@ def test_near_groups_around_edited_copies(spark, odd_docs):
     assert near_dedup.near_groups(odd_docs.limit(0)).count() == 0
 
 
+def test_routes_do_not_repeat_vectors_in_python(spark):
+    """A query that visits 400 leaves is one row of what the task returns."""
+    drawn = np.random.default_rng(5)
+    x = drawn.standard_normal((2000, 8))
+    forest = ann.grow_forest(x, float(np.sqrt((x**2).sum(axis=1)).max()), ann.ForestSettings(leaf_rows=4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "first_id bigint, vec array<double>").coalesce(1)
+    rows = ann._leaves_of(df, forest, 400).collect()
+    assert len(rows) == 2000 and [r.first_id for r in rows] == list(range(2000))
+    assert all(r.leaves == forest.visited(x[r.first_id], 400) and r.vec == x[r.first_id].tolist() for r in rows[1000:1050])
+    leaves = forest.leaves(x)
+    found = ann._leaves_of(df, forest, None).collect()
+    # A vector of the sample may lie on a plane, so that rounding tells its side.
+    assert sum(r.leaves == leaves[r.first_id].tolist() for r in found) > 1900 and all(len(r.leaves) == 10 for r in found)
+
+
+def test_neighbours_among_many_ties(spark):
+    """3,000 vectors of the same product with every query: the smallest ids are found."""
+    rows = [(i, [1.0, float(i % 7 + 1), float(i)] if i % 50 else [1.0, 0.0, 0.0]) for i in range(1, 3001)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = defaultdict(list)
+    settings = ann.ForestSettings(trees=1, leaf_rows=5000)
+    for r in ann.nearest(df, F.col("vec_id") % 1000 == 0, 5, settings).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert got == {i: [(j, 1.0) for j in range(1, 6)] for i in (1000, 2000, 3000)}
+
+
 def test_pieces_against_the_tokenizer(spark, rows_of, odd_docs):
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
     texts = dict(rows_of("documents", "doc_id, text"))
