@@ -10,7 +10,7 @@ checked by the exact overlap of their full shingle sets. Texts linked so far are
 whose members all belong to one needs no further work. Others go on with other centres, against
 members of other components only: in the first turn each text takes one centre, then all of its
 buckets' centres, some 2,048 a bucket and four times as many with every turn, until no bucket has a pair left that is
-neither compared nor connected. So no link between texts of one bucket is lost, and large groups of near copies, whose
+neither compared nor connected. Two texts that share several buckets are a candidate in the smallest of them alone. So no link between texts of one bucket is lost, and large groups of near copies, whose
 members join their first centres, take about one comparison each. Large groups whose members are just not similar
 enough are what costs: there the pairs grow with the square of the group.
 
@@ -279,7 +279,7 @@ def linked_components(docs: DataFrame, members: DataFrame, settings: NearSetting
                 seated.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                 .filter("low < high").select("bucket")
             )
-            waiting = written(seated.join(open_buckets, "bucket").join(bitmaps, "rep"), "waiting")
+            waiting = written(_with_buckets(seated.join(open_buckets, "bucket")).join(bitmaps, "rep"), "waiting")
             if waiting.isEmpty():
                 return labels
             pairs = _candidates(waiting, turn, settings).join(tested, ["a", "b"], "left_anti")
@@ -308,7 +308,7 @@ def _may_link(settings: NearSettings) -> Column:
 def _as_centres(texts: DataFrame) -> DataFrame:
     return texts.select(
         F.col("rep").alias("centre"), F.col("n").alias("centre_n"), *[F.col(p).alias(f"centre_{p}") for p in PARITY],
-        *[F.col(c).alias(c if c == "bucket" else f"centre_{c}") for c in ("bucket", "component") if c in texts.columns],
+        *[F.col(c).alias(c if c == "bucket" else f"centre_{c}") for c in ("bucket", "component", "buckets") if c in texts.columns],
     )
 
 
@@ -322,14 +322,26 @@ def _first_candidates(members: DataFrame, bitmaps: DataFrame, settings: NearSett
     return best.select(F.least("rep", "best.centre").alias("a"), F.greatest("rep", "best.centre").alias("b"))
 
 
+def _with_buckets(seated: DataFrame) -> DataFrame:
+    """``buckets`` added: all of the text's buckets here, small ones first; as many as bands."""
+    listed = F.collect_set(F.struct("members", "bucket")).over(Window.partitionBy("rep"))
+    return seated.withColumn("buckets", F.array_sort(listed)["bucket"])
+
+
 def _candidates(waiting: DataFrame, turn: int, settings: NearSettings) -> DataFrame:
-    """``a, b``: members drawn by a hash as centres, and members of other components that may be linked with them."""
+    """``a, b``: members drawn by a hash as centres, and members of other components that may be linked with them.
+
+    Only the first bucket that two texts share makes them a pair: like texts share many. Should they be no centres there, a
+    later turn makes the pair, as that bucket is not done before.
+    """
     is_centre = F.pmod(F.xxhash64("bucket", "rep"), F.col("members")) < _centres(turn)
     waiting = waiting.withColumn("is_centre", is_centre)
     centres = _as_centres(waiting.filter("is_centre"))
     # Of two centres one is the member.
     once = ~F.col("is_centre") | (F.col("rep") < F.col("centre"))
-    stars = waiting.join(centres, "bucket").filter(once & (F.col("component") != F.col("centre_component")) & _may_link(settings))
+    first_shared = F.get(F.array_intersect("buckets", "centre_buckets"), F.lit(0)) == F.col("bucket")
+    may_link = (F.col("component") != F.col("centre_component")) & _may_link(settings)
+    stars = waiting.join(centres, "bucket").filter(once & may_link & first_shared)
     return stars.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 

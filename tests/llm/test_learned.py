@@ -161,6 +161,41 @@ def test_near_groups_around_edited_copies(spark, odd_docs):
     assert near_dedup.near_groups(odd_docs.limit(0)).count() == 0
 
 
+def test_pairs_are_made_in_one_bucket(spark, monkeypatch):
+    """A chain whose neighbours share many buckets: the rows that leave the join of a bucket are no pair twice."""
+    rows = [(i, " ".join(f"c{j}" for j in range(4 * i, 4 * i + 60))) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    made, keep = [], near_dedup._candidates
+
+    def counted(*args):
+        with monkeypatch.context() as patch:
+            patch.setattr(type(df), "distinct", lambda self: self)
+            found = keep(*args)
+        made.append((found.count(), found.distinct().count()))
+        return found.distinct()
+
+    monkeypatch.setattr(near_dedup, "_candidates", counted)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(df, near_dedup.NearSettings(shingle=2)).collect()}
+    assert got == groups_by_hand(shingle_sets(rows, 2))
+    assert made[0][1] > 0 and all(rows_made == pairs for rows_made, pairs in made)
+
+
+def test_links_of_buckets_beyond_the_centres(spark, rows_of, monkeypatch):
+    """With two centres a bucket in the second turn, pairs wait for later turns; none is lost."""
+    monkeypatch.setattr(near_dedup, "CENTRES", 2)
+    drawn = random.Random(12)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in drawn.sample(range(100), drawn.randrange(2, 8)):
+            words[at] = f"x{i}.{at}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(df, near_dedup.NearSettings(shingle=2)).collect()}
+    assert got == groups_by_hand(shingle_sets(rows, 2))
+
+
 def test_routes_do_not_repeat_vectors_in_python(spark):
     """A query that visits 400 leaves is one row of what the task returns."""
     drawn = np.random.default_rng(5)
