@@ -14,6 +14,7 @@ Results in special cases: a NULL text is the empty one and gives one piece, the
 rows are documents of their own; an empty table gives no row; other columns are ignored.
 """
 
+import os
 import re
 import sys
 from bisect import insort
@@ -32,10 +33,12 @@ from pyspark.sql import functions as F
 from countersign.llm.shared import written
 
 SIZE, END_ID = 2048, 1
-CACHED_WORDS = 800_000
+CACHED_WORDS = 300_000
 STORE = "countersign_known_words"
-CHUNK_CHARACTERS = 2_000_000
+CHUNK_CHARACTERS = 1_000_000
 LINE_WORDS = 500
+# What the tokenizer returns for a word takes more memory than the word: so many in a call.
+CALL_WORDS = 2_000
 BUCKET_ROWS = 20_000
 
 # Where lowering letters first could matter: names of special tokens, capital sigma, dotted capital I, letters newer than Unicode 15.
@@ -78,6 +81,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
     ])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task has one core; each thread of the tokenizer's own would hold on to memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         # Words stay known to the worker process for the tasks that follow.
@@ -88,17 +93,21 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
         end = np.array([end_id], "<u4").tobytes()
 
         def alone(words: list[str]) -> list[bytes]:
-            found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            return [pack_into_bytes(f"<{len(e.ids)}I", *e.ids) for e in found]
+            out = []
+            for i in range(0, len(words), CALL_WORDS):
+                found = tokenizer.encode_batch_fast(words[i : i + CALL_WORDS], add_special_tokens=False)
+                out += [pack_into_bytes(f"<{len(e.ids)}I", *e.ids) for e in found]
+            return out
 
         def together(words: list[str]) -> list[bytes]:
             """Words of letters in few calls; should the tokenizer see other words in them, one by one."""
             lines = [" ".join(words[i : i + LINE_WORDS]) for i in range(0, len(words), LINE_WORDS)]
-            out = []
-            for e in tokenizer.encode_batch(lines, add_special_tokens=False):
-                ids = np.array(e.ids, "<u4").tobytes()
-                cuts = 4 * np.flatnonzero(np.diff(np.array(e.word_ids, np.int64), prepend=-1))
-                out += [ids[a:b] for a, b in pairwise([*cuts.tolist(), len(ids)])]
+            out, at_once = [], CALL_WORDS // LINE_WORDS
+            for i in range(0, len(lines), at_once):
+                for e in tokenizer.encode_batch(lines[i : i + at_once], add_special_tokens=False):
+                    ids = np.array(e.ids, "<u4").tobytes()
+                    cuts = 4 * np.flatnonzero(np.diff(np.array(e.word_ids, np.int64), prepend=-1))
+                    out += [ids[a:b] for a, b in pairwise([*cuts.tolist(), len(ids)])]
             return out if len(out) == len(words) else alone(words)
 
         def of_words(words: list[str]) -> list[bytes]:

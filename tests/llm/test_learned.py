@@ -222,6 +222,48 @@ def test_neighbours_among_many_ties(spark):
     assert got == {i: [(j, 1.0) for j in range(1, 6)] for i in (1000, 2000, 3000)}
 
 
+def test_a_worker_knows_few_words(spark, monkeypatch):
+    """However many different words there are, few are kept and few are in a call of the tokenizer."""
+    import sys
+
+    import pyarrow as pa
+    import tokenizers
+
+    calls = []
+
+    class Spied:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        @classmethod
+        def from_str(cls, text):
+            return cls(Tokenizer.from_str(text))
+
+        def encode_batch(self, texts, **more):
+            calls.append(sum(t.count(" ") + 1 for t in texts))
+            return self.tokenizer.encode_batch(texts, **more)
+
+        def encode_batch_fast(self, texts, **more):
+            calls.append(len(texts))
+            return self.tokenizer.encode_batch_fast(texts, **more)
+
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    tasks = []
+    monkeypatch.setattr(tokenizers, "Tokenizer", Spied)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, schema: tasks.append(task))
+    monkeypatch.setitem(sys.modules, packing.STORE, type(sys)(packing.STORE))
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "false")
+    packing.token_pieces(docs)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(w) for w in itertools.islice(itertools.product(letters, repeat=5), 420_000)]
+    texts = [" ".join([*words[i : i + 1000], f"{i}x"]) for i in range(0, len(words), 1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    pieces = [r for out in tasks[0]([batch]) for r in out.to_pylist()]
+    assert {r["doc_id"] for r in pieces} == set(range(len(texts)))
+    (_, known), = (v for v in sys.modules[packing.STORE].__dict__.values() if isinstance(v, tuple))
+    assert max(calls) <= 2_000 and len(known) < 500_000
+
+
 def test_pieces_against_the_tokenizer(spark, rows_of, odd_docs):
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
     texts = dict(rows_of("documents", "doc_id, text"))
