@@ -18,11 +18,11 @@ import os
 import re
 import sys
 from bisect import insort
-from collections import ChainMap
 from collections.abc import Iterator
 from itertools import pairwise
 from struct import pack as pack_into_bytes
 from types import ModuleType
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,9 @@ LINE_WORDS = 500
 CALL_WORDS = 2_000
 BUCKET_ROWS = 20_000
 
-# Where lowering letters first could matter: names of special tokens, capital sigma, dotted capital I, letters newer than Unicode 15.
-_CASE_MATTERS = r"<\||[\x{3a3}\x{130}\x{1c89}\x{a7cb}-\x{a7dc}\x{10d50}-\x{10d65}]"
+# Where lowering letters first could matter: names of special tokens, marks that compose with small letters alone, capital sigma,
+# dotted capital I, letters newer than Unicode 15.
+_CASE_MATTERS = r"<\||[\p{M}\x{3a3}\x{130}\x{1c89}\x{a7cb}-\x{a7dc}\x{10d50}-\x{10d65}]"
 # Marks that end a word. The tokenizer parts them from letters too; apostrophes and the marks of special tokens stay.
 _END_MARKS = r"([a-zß-öø-ÿ])([!-&(-/:;=?@\[-`{}~]+)([ \n]|$)"
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
@@ -61,7 +62,8 @@ def separable(texts: pa.StringArray) -> pa.StringArray:
     lowering first could matter (these names, a final sigma, a dotted I, letters not composed yet) keep their case.
     """
     cased = pc.match_substring_regex(texts, _CASE_MATTERS)
-    composed = pc.equal(pc.utf8_normalize(texts, "NFC"), texts)
+    # Not Arrow's normal form, which cuts off texts beyond ASCII, so that none of them seemed to be composed.
+    composed = pa.array([is_normalized("NFC", text) for text in texts.to_pylist()], pa.bool_())
     lowered = pc.if_else(pc.and_not(composed, cased), pc.utf8_lower(texts), texts)
     return pc.replace_substring_regex(lowered, _END_MARKS, r"\1 \2\3")
 
@@ -110,24 +112,26 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
                     out += [ids[a:b] for a, b in pairwise([*cuts.tolist(), len(ids)])]
             return out if len(out) == len(words) else alone(words)
 
-        def of_words(words: list[str]) -> list[bytes]:
-            missing = [word for word in words if word not in known]
-            letters = [word for word in missing if _LETTERS.fullmatch(word)]
-            others = [word for word in missing if not _LETTERS.fullmatch(word)]
-            new = dict(zip(letters, together(letters))) | dict(zip(others, alone(others)))
+        def of_words(words: pa.StringArray) -> list[bytes]:
+            listed = words.to_numpy(zero_copy_only=False).tolist()
+            ids = list(map(known.get, listed))
+            missing = [i for i, found in enumerate(ids) if found is None]
+            letters = [i for i in missing if _LETTERS.fullmatch(listed[i])]
+            others = [i for i in missing if not _LETTERS.fullmatch(listed[i])]
+            for places, tokenized in ((letters, together), (others, alone)):
+                for i, found in zip(places, tokenized([listed[i] for i in places])):
+                    ids[i] = found
             if len(known) < CACHED_WORDS:
-                known.update(new)
-                return [known[word] for word in words]
-            both = ChainMap(new, known)
-            return [both[word] for word in words]
+                known.update((listed[i], ids[i]) for i in missing)
+            return ids
 
         def encoded(texts: pa.StringArray) -> list[bytes]:
             split = pc.split_pattern(pc.replace_substring(separable(texts), "\n", " "), " ")
             words = split.flatten().dictionary_encode()  # each different word is looked up once
-            ids = of_words(words.dictionary.to_pylist())
-            lengths = np.array([len(i) // 4 for i in ids], np.int64)
-            starts = np.cumsum(lengths) - lengths
             at = words.indices.to_numpy()
+            ids = of_words(words.dictionary)
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            starts = np.cumsum(lengths) - lengths
             ends = np.concatenate([[0], np.cumsum(lengths[at])])
             # The ids of every word in turn, taken from those of the different words.
             places = np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], lengths[at])

@@ -4,8 +4,10 @@ import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
+from unittest.mock import MagicMock
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -264,6 +266,63 @@ def test_a_worker_knows_few_words(spark, monkeypatch):
     assert max(calls) <= 2_000 and len(known) < 500_000
 
 
+def tokenizing_task(monkeypatch):
+    """What a worker runs on batches, with a store of words of its own."""
+    import sys
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, task, schema):
+            return task
+
+    monkeypatch.setattr(packing, "F", MagicMock())
+    monkeypatch.setitem(sys.modules, packing.STORE, type(sys)(packing.STORE))
+    return packing.token_pieces(Docs()), sys.modules[packing.STORE].__dict__
+
+
+def lettered(n):
+    return ["".join(w) for w in itertools.islice(itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=4), n)]
+
+
+def docs_batch(texts):
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+
+
+def test_separable_texts_have_the_same_ids():
+    """Every letter with case, composed and with a mark; letters beyond ASCII are lowered too."""
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    cased = [c for c in map(chr, range(0x80, 0x1E950)) if not 0xD800 <= ord(c) < 0xE000 and c.lower() != c.upper()]
+    marks = "\u0300\u0301\u0308\u030a\u030c\u0331\u0345"
+    texts = [f"A{c}É b{c}! {c}Z {c}" for c in cased] + [f"{c}{m}Z" for c in [*cased, *"AHIJTWYahijtwy"] for m in marks]
+    told = packing.separable(pa.array(texts)).to_pylist()
+    for text, other in zip(tokenizer.encode_batch_fast(texts), tokenizer.encode_batch_fast(told)):
+        assert text.ids == other.ids
+    assert packing.separable(pa.array(["Über Ärger, Été."])).to_pylist() == ["über ärger , été ."]
+
+
+def test_words_beyond_the_store_cost_no_python_call_each(monkeypatch):
+    """Every word's ids are whole when the store has no room, without a Python function called for each."""
+    import sys
+
+    task, _ = tokenizing_task(monkeypatch)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 0)
+    texts = [" ".join(lettered(20_000)), "4a! b"]
+    list(task([docs_batch(["warm"])]))
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]) if event == "call" else None)
+    try:
+        out = list(task([docs_batch(texts)]))
+    finally:
+        sys.setprofile(None)
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    for doc, text in enumerate(texts):
+        ids = b"".join(r["ids"] for o in out for r in o.to_pylist() if r["doc_id"] == doc)
+        assert np.frombuffer(ids, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    assert calls["call"] < 10_000
+
+
 def test_pieces_against_the_tokenizer(spark, rows_of, odd_docs):
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
     texts = dict(rows_of("documents", "doc_id, text"))
