@@ -29,14 +29,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from countersign.llm.shared import marked, written
+from countersign.llm.shared import marked, tidy, written
 
 
 @dataclass(frozen=True)
@@ -139,7 +138,7 @@ def sketches(docs: DataFrame, settings: NearSettings) -> DataFrame:
                     pa.array([sketcher.bands(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
                 ], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(sketched, SKETCH)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(tidy(sketched), SKETCH)
 
 
 #: 64-bit words of a set's bitmap.
@@ -169,20 +168,20 @@ def shingle_sets(docs: DataFrame, settings: NearSettings) -> DataFrame:
                 )
 
     types = "doc_id bigint, n bigint, hashes binary, " + ", ".join(f"{p} bigint" for p in PARITY)
-    return docs.select("doc_id", "text").mapInArrow(full, types)
+    return docs.select("doc_id", "text").mapInArrow(tidy(full), types)
 
 
-@F.pandas_udf(T.LongType())
-def common(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Size of the intersection of two sets of hashes."""
+@F.arrow_udf(T.LongType())
+def common(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Size of the intersection of two sets of hashes, read where Arrow has them: copies of a batch's sets would fill a worker."""
     sizes = []
     for a, b in zip(left, right):
-        a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
         if len(a) > len(b):
             a, b = b, a
         at = np.minimum(np.searchsorted(b, a), len(b) - 1)
         sizes.append(int((b[at] == a).sum()))
-    return pd.Series(sizes, dtype="int64")
+    return pa.array(sizes, pa.int64())
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:

@@ -30,10 +30,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from countersign.llm.shared import written
+from countersign.llm.shared import tidy, written
 
 SIZE, END_ID = 2048, 1
 CACHED_WORDS = 300_000
+# Only words that a chunk has so often are kept: the others, most of them, are hardly met again.
+KEPT_FROM = 2
 STORE = "countersign_known_words"
 CHUNK_CHARACTERS = 1_000_000
 LINE_WORDS = 500
@@ -72,7 +74,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
     """``doc_id, start, length, doc_tokens, ids`` per piece; ids are little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins over a space or a line end, so texts are cut there and each
-    different word is tokenized once a worker process, as long as the store of words has room.
+    different word is tokenized once a chunk. Words that a chunk repeats are kept by the worker process, as long as their
+    store has room.
     """
     with open(tokenizer_path or default_tokenizer(), encoding="utf-8") as file:
         definition = file.read()  # about 2 MB; executors need not have the file
@@ -112,7 +115,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
                     out += [ids[a:b] for a, b in pairwise([*cuts.tolist(), len(ids)])]
             return out if len(out) == len(words) else alone(words)
 
-        def of_words(words: pa.StringArray) -> list[bytes]:
+        def of_words(words: pa.StringArray, often: np.ndarray) -> list[bytes]:
             listed = words.to_numpy(zero_copy_only=False).tolist()
             ids = list(map(known.get, listed))
             missing = [i for i, found in enumerate(ids) if found is None]
@@ -122,14 +125,14 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
                 for i, found in zip(places, tokenized([listed[i] for i in places])):
                     ids[i] = found
             if len(known) < CACHED_WORDS:
-                known.update((listed[i], ids[i]) for i in missing)
+                known.update((listed[i], ids[i]) for i in missing if often[i])
             return ids
 
         def encoded(texts: pa.StringArray) -> list[bytes]:
             split = pc.split_pattern(pc.replace_substring(separable(texts), "\n", " "), " ")
             words = split.flatten().dictionary_encode()  # each different word is looked up once
             at = words.indices.to_numpy()
-            ids = of_words(words.dictionary)
+            ids = of_words(words.dictionary, np.bincount(at, minlength=len(words.dictionary)) >= KEPT_FROM)
             lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             starts = np.cumsum(lengths) - lengths
             ends = np.concatenate([[0], np.cumsum(lengths[at])])
@@ -159,7 +162,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int =
                 )
 
     texts = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(cut, "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary")
+    return texts.mapInArrow(tidy(cut), "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary")
 
 
 def numbered(pieces: DataFrame) -> DataFrame:

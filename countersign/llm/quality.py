@@ -17,16 +17,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countersign.llm.shared import bounded_sample, sampled_texts
+from countersign.llm.shared import bounded_sample, sampled_texts, tidy
 
 STATISTICS = (
     "characters", "words", "lines", "word_length", "line_length", "upper", "lower", "digits", "blanks",
     "sentence_marks", "other_marks", "beyond_ascii", "pipes", "exclamations", "distinct_words",
     "distinct_lines", "capitalised", "longest_word", "bytes_used", "byte_entropy",
 )
+SCORED_TEXTS = 512
 _CLASSES = {
     "upper": range(65, 91), "lower": range(97, 123), "digits": range(48, 58), "blanks": (9, 10, 13, 32),
     "sentence_marks": (44, 46, 58, 59, 63), "pipes": (124,), "exclamations": (33,),
@@ -178,9 +180,13 @@ def train_quality(docs: DataFrame, labels: DataFrame, settings: BoostSettings =
 
 def quality(text: Column, trees: FlatTrees) -> Column:
     """Probability that the whole text is a good one, 0 to 1."""
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        stats = [statistics(t) for t in texts]
-        return pd.Series(trees.score(np.array(stats).reshape(len(stats), len(STATISTICS))), dtype="float64")
-
-    return scored(text)
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            scores = [np.zeros(0)]
+            # Few texts at a time: those of a whole batch would stay in the worker's memory.
+            for at in range(0, len(texts), SCORED_TEXTS):
+                stats = [statistics(t) for t in texts.slice(at, SCORED_TEXTS).to_pylist()]
+                scores.append(trees.score(np.array(stats)))
+            yield pa.array(np.concatenate(scores))
+
+    return F.arrow_udf(tidy(scored), "double")(text)

@@ -1,7 +1,9 @@
 """Small helpers of the operators: written tables, bounded samples, bindings in expressions."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,16 @@ def marked(df: DataFrame, key: str, among: DataFrame, flag: str) -> DataFrame:
     return joined.withColumn(flag, F.coalesce(F.getbit(bits, (own % 64).cast("int")) == 1, F.lit(False))).drop(word, bits)
 
 
+def tidy[T](task: Callable[[Iterator[T]], Iterator[T]]) -> Callable[[Iterator[T]], Iterator[T]]:
+    """The task over batches; at its end the memory that Arrow has free goes back to the system, as workers outlive tasks."""
+    @wraps(task)
+    def run(batches):
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def whole_text(df: DataFrame, column: str = "text") -> Column:
     """The text column, with NULL as the empty text."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from countersign.llm import ann, near_dedup, packing, quality, toxicity, urls
+from countersign.llm import ann, near_dedup, packing, quality, shared, toxicity, urls
 from countersign.llm.queries import FIXED_RULES, op2_ann_forest, op8_packing, op9_near_dedup, op10_url_rules
 from countersign.llm.shared import marked
 from countersign.llm.shared import in_fold
@@ -290,6 +290,15 @@ def docs_batch(texts):
     return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
 
 
+def test_a_worker_keeps_words_that_a_chunk_repeats(monkeypatch):
+    """Words met once, most of all different ones, take no lasting memory."""
+    task, store = tokenizing_task(monkeypatch)
+    words = lettered(20_000)
+    list(task([docs_batch([" ".join(words), " ".join(words[:100])])]))
+    (_, known), = (v for v in store.values() if isinstance(v, tuple))
+    assert set(known) == {"", *words[:100]}
+
+
 def test_separable_texts_have_the_same_ids():
     """Every letter with case, composed and with a mark; letters beyond ASCII are lowered too."""
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
@@ -323,6 +332,36 @@ def test_words_beyond_the_store_cost_no_python_call_each(monkeypatch):
     assert calls["call"] < 10_000
 
 
+def test_scores_of_few_texts_at_a_time(spark):
+    class Few(quality.FlatTrees):
+        def score(self, x):
+            assert len(x) <= 512
+            return super().score(x)
+
+    rng = np.random.default_rng(4)
+    grown = quality.boost(rng.random((300, 20)), rng.integers(0, 2, 300).astype(float))
+    docs = spark.createDataFrame([(i, None if i % 9 == 0 else f"Some text {i}. " * (i % 7)) for i in range(1500)], "i int, text string").coalesce(1)
+    found = {r.i: r.s for r in docs.select("i", quality.quality(docs["text"], Few(**vars(grown))).alias("s")).collect()}
+    texts = {r.i: r.text for r in docs.collect()}
+    stats = np.array([quality.statistics(texts[i]) for i in range(1500)])
+    assert [found[i] for i in range(1500)] == grown.score(stats).tolist()
+
+
+def test_overlap_is_read_from_arrow():
+    sets = [np.array(s, np.uint64).tobytes() for s in ([1, 2, 3], [2, 3, 4, 5], [9])]
+    left, right = pa.array(sets, pa.binary()), pa.array(sets[1:] + sets[:1], pa.binary())
+    assert near_dedup.common.func(left, right).to_pylist() == [2, 0, 0]
+
+
+def test_free_memory_goes_back_after_a_task(monkeypatch):
+    seen, pool = [], MagicMock()
+    pool.default_memory_pool.return_value.release_unused.side_effect = lambda: seen.append("released")
+    monkeypatch.setattr(shared, "pa", pool)
+    for out in shared.tidy(lambda batches: (2 * b for b in batches))([1, 2]):
+        seen.append(out)
+    assert seen == [2, 4, "released"]
+
+
 def test_pieces_against_the_tokenizer(spark, rows_of, odd_docs):
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
     texts = dict(rows_of("documents", "doc_id, text"))
